@@ -184,3 +184,115 @@ def bind(spark: SparkSession, sf_dir: str) -> StatsTables:
         match_stats=bound_match_stats(lines),
         player_stats=bound_player_stats(lines),
     )
+
+
+def lineup_payloads(lines: DataFrame) -> DataFrame:
+    """A lineups payload (JSON text) per line item: its player on its side, with statistics."""
+    q, disc = F.col("q"), F.col("disc")
+    statistics = F.struct(
+        F.least(q * 2, F.lit(90)).alias("minutesPlayed"),
+        F.when(F.col("rf") == "R", 1).alias("goals"),
+        F.floor(q / 5).alias("totalShots"),
+        F.floor(q / 12).alias("onTargetScoringAttempt"),
+        F.when(disc > 0, disc).alias("expectedGoals"),
+        q.alias("totalPass"),
+        F.floor(q * (1 - disc)).alias("accuratePass"),
+        F.col("ln").alias("duelWon"),
+        (7 - F.col("ln")).alias("duelLost"),
+        (F.col("ln") == 1).alias("captain"),
+        F.struct(q.alias("original")).alias("ratingVersions"),
+    )
+    name = F.concat(F.lit("PLAYER_"), F.col("player_id").cast("string"))
+    player = F.struct(
+        F.col("player_id").alias("id"),
+        name.alias("name"),
+        F.struct(F.lit(7500000.0).alias("value")).alias("proposedMarketValueRaw"),
+    )
+    listed = F.struct(F.lit("M").alias("position"), player.alias("player"), statistics.alias("statistics"))
+    on_side = F.struct(F.array(listed).alias("players"))
+    body = F.struct(
+        "match_id",
+        F.when(F.col("side") == "home", on_side).alias("home"),
+        F.when(F.col("side") == "away", on_side).alias("away"),
+    )
+    return lines.select(F.to_json(body).alias("body"))
+
+
+def statistics_payloads(match_stats: DataFrame) -> DataFrame:
+    """A statistics payload per match fact; percentages for one metric, totals for another."""
+    key, home, away = F.col("metric_key"), F.col("home_value"), F.col("away_value")
+    is_percent = key == "accuratePasses"
+    text = lambda v: F.when(is_percent, F.concat(v.cast("int").cast("string"), F.lit("%"))).otherwise(
+        v.cast("string")
+    )
+    item = F.struct(
+        key.alias("key"),
+        text(home).alias("homeValue"),
+        text(away).alias("awayValue"),
+        F.when(key == "passes", home + away).alias("homeTotal"),
+    )
+    period = F.struct(
+        "period", F.array(F.struct(F.array(item).alias("statisticsItems"))).alias("groups")
+    )
+    body = F.struct("match_id", F.array(period).alias("statistics"))
+    return match_stats.select(F.to_json(body).alias("body"))
+
+
+def event_payloads(matches: DataFrame, tournaments: DataFrame) -> DataFrame:
+    """An events payload per match."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    names = tournaments.select(
+        F.col("unique_tournament_id").alias("tournament_id"), "season_id", "name", "season_year"
+    )
+
+    def team(side: str):
+        return F.struct(
+            F.col(f"{side}_team_id").alias("id"),
+            F.col(f"{side}_team_name").alias("name"),
+            F.lit(False).alias("disabled"),
+            F.lit(True).alias("national"),
+        )
+
+    unique = F.struct(F.col("tournament_id").alias("id"), F.col("name").alias("name"))
+    event = F.struct(
+        F.col("match_id").alias("id"),
+        F.timestamp_diff("SECOND", epoch, F.col("match_date")).alias("startTimestamp"),
+        F.struct(unique.alias("uniqueTournament")).alias("tournament"),
+        F.struct(F.col("season_id").alias("id"), F.col("season_year").alias("year")).alias("season"),
+        F.struct(F.col("round_id").alias("round"), F.col("round_name").alias("name")).alias("roundInfo"),
+        F.struct(F.col("status_code").alias("code")).alias("status"),
+        team("home").alias("homeTeam"),
+        team("away").alias("awayTeam"),
+    )
+    body = F.struct("tournament_id", "season_id", F.array(event).alias("events"))
+    return matches.join(names, ["tournament_id", "season_id"], "left").select(
+        F.to_json(body).alias("body")
+    )
+
+
+def rounds_payloads(matches: DataFrame, tournaments: DataFrame) -> DataFrame:
+    """A rounds payload per known competition season; made unique before they are gathered."""
+    rounds = matches.select(
+        "tournament_id", "season_id", F.col("round_id").alias("round"), F.col("round_name").alias("name")
+    ).distinct()
+    known = tournaments.select(F.col("unique_tournament_id").alias("tournament_id"), "season_id")
+    listed = (
+        rounds.join(known, ["tournament_id", "season_id"], "left_semi")
+        .groupBy("tournament_id", "season_id")
+        .agg(F.collect_list(F.struct("round", "name")).alias("rounds"))
+    )
+    return listed.select(F.to_json(F.struct("*")).alias("body"))
+
+
+def land(spark: SparkSession, sf_dir: str, landing: str) -> StatsTables:
+    """Write the payloads of all bound tables as landed JSON files."""
+    tables = bind(spark, sf_dir)
+    lines = bound_lines(spark, sf_dir, tables.matches)
+    payloads = {
+        "events": event_payloads(tables.matches, tables.tournaments),
+        "lineups": lineup_payloads(lines),
+        "statistics": statistics_payloads(tables.match_stats),
+    }
+    for kind, rows in payloads.items():
+        rows.write.text(f"{landing}/{kind}")
+    return tables

@@ -20,6 +20,15 @@ def _list(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    return bool(_list(spark, path))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def _versions(spark: SparkSession, folder: str) -> list[int]:
     return sorted(
         int(name.removeprefix("version=")) for name in _list(spark, folder) if name.startswith("version=")
@@ -46,4 +55,4 @@ def table_path(spark: SparkSession, root: str, name: str) -> str | None:
     folder = f"{root}/{name}"
     if name in KEYS:
         return version_path(spark, folder)
-    return folder if _list(spark, folder) else None
+    return folder if exists(spark, folder) else None
