@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchstats.functions.metrics import best_flags, calc_value, ratio
-from matchstats.operators.context import competitions_of, grouped_context, with_club
+from matchstats.operators.context import competitions_of, with_club
 from matchstats.operators.facts import player_rows
 from matchstats.operators.leaderboards import club_totals, player_names, player_totals
 from matchstats.registry import CATEGORIES, RATIOS, club_sources, columns_for, player_sources
@@ -108,14 +108,13 @@ def compare(
     What players concede is not known, so ``against`` applies to clubs only.
     """
     by = ["competition", "season"]
-    context = grouped_context(ctx, tables.tournaments, by)
     if target == "player":
         entity, sources = "player_id", player_sources(category)
-        totals = player_totals(tables, context, sources, by, players=[a, b])
+        totals = player_totals(tables, ctx, sources, by, players=[a, b])
         totals = totals.join(player_names(tables.players), "player_id", "left_semi")
     elif target == "club":
         entity, sources = "team_id", club_sources(category, prefer_match=True)
-        totals = club_totals(tables, context, sources, by, perspective, teams=[a, b])
+        totals = club_totals(tables, ctx, sources, by, perspective, teams=[a, b])
     else:
         raise ValueError(f"unknown target {target!r}")
     sides = {

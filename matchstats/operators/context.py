@@ -8,7 +8,6 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchstats.functions.values import match_title
 from matchstats.schema import FINISHED_STATUS
 from matchstats.sources.tables import StatsTables
 
@@ -171,19 +170,14 @@ def with_competition(matches: DataFrame, tournaments: DataFrame, how: str = "lef
     return matches.join(competitions_of(tournaments), ["tournament_id", "season_id"], how)
 
 
-def grouped_context(ctx: DataFrame, tournaments: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The context with its grouping columns; matches without a group value drop out."""
-    if not by:
-        return ctx
-    return with_competition(ctx, tournaments, "inner").dropna(subset=list(by))
-
-
 def describable(ctx: DataFrame, tournaments: DataFrame) -> DataFrame:
-    """Matches a single-game table can list: known competition, season, title and date."""
-    titled = with_competition(ctx, tournaments, "inner").withColumn(
-        "title", match_title(F.col("home_team_name"), F.col("away_team_name"))
-    )
-    return titled.dropna(subset=["competition", "season", "title", "match_date"])
+    """Matches a single-game table can list: known competition, season, title and date.
+
+    A semi join, so that neither names nor their size estimate travel with the facts.
+    """
+    named = competitions_of(tournaments).dropna(subset=["competition", "season"])
+    titled = ctx.dropna(subset=["home_team_name", "away_team_name", "match_date"])
+    return titled.join(named, ["tournament_id", "season_id"], "left_semi")
 
 
 def select_matches(

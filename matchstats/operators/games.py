@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from matchstats.functions.metrics import with_ratios
-from matchstats.functions.values import day_text
-from matchstats.operators.context import describable
+from matchstats.functions.values import day_text, match_title
+from matchstats.operators.context import competitions_of, describable
 from matchstats.operators.facts import club_rows, metric_sum, player_rows
 from matchstats.operators.leaderboards import UNKNOWN_CLUB, club_names
 from matchstats.registry import MetricSource, club_sources, columns_for, player_sources
@@ -37,7 +37,11 @@ def player_games(
     venue: str = "both",
     teams: Iterable[int] | None = None,
 ) -> DataFrame:
-    """One row per player, club and match; only players listed for that club."""
+    """One row per player, club and match; only players listed for that club.
+
+    They are matched by an inner join on their unique key because a semi join would be moved
+    below the aggregation, onto the raw facts.
+    """
     rows = player_rows(
         tables, games, [s.key for s in sources], carry=["match_date"], teams=teams, venue=venue
     )
@@ -45,7 +49,7 @@ def player_games(
     return (
         rows.groupBy("player_id", "team_id", "match_id", "match_date")
         .agg(*[metric_sum(s) for s in sources])
-        .join(listed, ["player_id", "team_id"], "left_semi")
+        .join(listed, ["player_id", "team_id"])
     )
 
 
@@ -89,8 +93,10 @@ def described(target: str, tables: StatsTables, games: DataFrame, rows: DataFram
     """Attach names, competition, title and day to rows that have already been cut down."""
     identity = _IDENTITY[target]
     metrics = [c for c in rows.columns if c not in (*identity, "match_id", "match_date")]
+    title = match_title(F.col("home_team_name"), F.col("away_team_name")).alias("title")
     named = (
-        rows.join(games.select("match_id", "competition", "season", "title"), "match_id")
+        rows.join(games.select("match_id", "tournament_id", "season_id", title), "match_id")
+        .join(competitions_of(tables.tournaments), ["tournament_id", "season_id"])
         .join(club_names(tables.clubs), "team_id", "left")
         .withColumn("club", F.coalesce("club", F.lit(UNKNOWN_CLUB)))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchstats.functions.metrics import apply_calc_mode, with_ratios
-from matchstats.operators.context import GROUP_MODES, grouped_context, keep_ids
+from matchstats.operators.context import GROUP_MODES, competitions_of, keep_ids
 from matchstats.operators.facts import club_rows, metric_sum, player_rows
 from matchstats.registry import CATEGORIES, MetricSource, club_sources, player_sources
 from matchstats.schema import MINUTES
@@ -17,6 +17,32 @@ from matchstats.sources.tables import StatsTables
 UNKNOWN_CLUB = "Unknown"
 
 
+COMPETITION_IDS = ["tournament_id", "season_id"]
+
+
+def _carried(by: Sequence[str]) -> list[str]:
+    """Match columns to group facts by: the competition's ids stand for its names."""
+    named = [c for c in by if c in ("competition", "season")]
+    return [*(COMPETITION_IDS if named else []), *[c for c in by if c not in named]]
+
+
+def _by_name(
+    totals: DataFrame, tournaments: DataFrame, entity: str, by: Sequence[str], summed: Sequence[str]
+) -> DataFrame:
+    """Roll totals per competition id up to the wanted names; nameless groups drop out.
+
+    A match belongs to one competition season, so games add up.
+    """
+    if COMPETITION_IDS[0] not in totals.columns:
+        return totals
+    return (
+        totals.join(competitions_of(tournaments), COMPETITION_IDS)
+        .dropna(subset=list(by))
+        .groupBy(entity, *by)
+        .agg(*[F.sum(c).alias(c) for c in summed])
+    )
+
+
 def player_totals(
     tables: StatsTables,
     ctx: DataFrame,
@@ -31,16 +57,18 @@ def player_totals(
     A group needs at least one minutes row and one metric row.
     """
     keys = [s.key for s in sources] + [MINUTES]
-    rows = player_rows(tables, ctx, keys, by, teams, players, venue)
+    carried = _carried(by)
+    rows = player_rows(tables, ctx, keys, carried, teams, players, venue)
     is_minutes = F.col("metric_key") == MINUTES
+    totals = rows.groupBy("player_id", *carried).agg(
+        F.countDistinct(F.when(is_minutes, F.col("match_id"))).alias("games"),
+        F.sum(F.when(is_minutes, F.col("value"))).alias("minutes"),
+        F.count(F.when(~is_minutes, F.lit(1))).alias("_metric_rows"),
+        *[metric_sum(s) for s in sources],
+    )
+    summed = ["games", "minutes", "_metric_rows", *[s.metric for s in sources]]
     return (
-        rows.groupBy("player_id", *by)
-        .agg(
-            F.countDistinct(F.when(is_minutes, F.col("match_id"))).alias("games"),
-            F.sum(F.when(is_minutes, F.col("value"))).alias("minutes"),
-            F.count(F.when(~is_minutes, F.lit(1))).alias("_metric_rows"),
-            *[metric_sum(s) for s in sources],
-        )
+        _by_name(totals, tables.tournaments, "player_id", by, summed)
         .filter("games > 0 and _metric_rows > 0 and minutes is not null")
         .drop("_metric_rows")
     )
@@ -101,9 +129,8 @@ def player_leaderboard(
     by = GROUP_MODES[group_mode]
     sources = player_sources(category)
     metrics = [s.metric for s in sources]
-    context = grouped_context(ctx, tables.tournaments, by)
     board = (
-        player_totals(tables, context, sources, by, venue, teams, players)
+        player_totals(tables, ctx, sources, by, venue, teams, players)
         .filter((F.col("games") >= min_games) & (F.col("minutes") >= min_minutes))
         .join(player_names(tables.players, positions), "player_id")
         .join(club_lists(tables, ctx, teams, players), "player_id", "left")
@@ -128,18 +155,19 @@ def club_totals(
     Appearances, player metrics and match metrics go through one aggregation, which takes the
     place of joining three separately grouped tables.  Without metrics the result is empty.
     """
+    carried = _carried(by)
     rows = club_rows(
-        tables, ctx, sources, perspective, period, by, teams, venue, with_minutes=bool(sources)
+        tables, ctx, sources, perspective, period, carried, teams, venue, with_minutes=bool(sources)
     ).filter(F.col("team_id").isNotNull())
     is_minutes = F.col("metric_key") == MINUTES
-    games = F.countDistinct(F.when(is_minutes, F.col("match_id")))
+    totals = rows.groupBy("team_id", *carried).agg(
+        F.countDistinct(F.when(is_minutes, F.col("match_id"))).alias("games"),
+        F.count(F.when(~is_minutes, F.lit(1))).alias("_metric_rows"),
+        *[metric_sum(s, tagged=True) for s in sources],
+    )
+    summed = ["games", "_metric_rows", *[s.metric for s in sources]]
     return (
-        rows.groupBy("team_id", *by)
-        .agg(
-            games.alias("games"),
-            F.count(F.when(~is_minutes, F.lit(1))).alias("_metric_rows"),
-            *[metric_sum(s, tagged=True) for s in sources],
-        )
+        _by_name(totals, tables.tournaments, "team_id", by, summed)
         .filter("games > 0 and _metric_rows > 0")
         .drop("_metric_rows")
         .withColumn("minutes", F.col("games") * 90)
@@ -162,9 +190,8 @@ def club_leaderboard(
     """Clubs ranked by the category's first metric, by what they did or conceded."""
     by = GROUP_MODES[group_mode]
     sources = club_sources(category, prefer_match=True, period=period)
-    context = grouped_context(ctx, tables.tournaments, by)
     board = (
-        club_totals(tables, context, sources, by, perspective, period, venue, teams)
+        club_totals(tables, ctx, sources, by, perspective, period, venue, teams)
         .filter((F.col("games") >= min_games) & (F.col("minutes") >= min_minutes))
         .join(club_names(tables.clubs), "team_id", "left")
         .withColumn("club", F.coalesce("club", F.lit(UNKNOWN_CLUB)))

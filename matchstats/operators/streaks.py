@@ -29,12 +29,13 @@ def _day_summaries(games: DataFrame, entity: str) -> DataFrame:
     runs = (
         games.withColumn("day", F.to_date("match_date"))
         .withColumn("misses", F.sum(F.col("played") - F.col("hit")).over(so_far))
+        .withColumn("place", F.row_number().over(in_order))
         .groupBy(entity, "day", "misses")
         .agg(
             F.sum("hit").alias("run"),
             F.sum("played").alias("games"),
             F.max("recorded").alias("recorded"),
-            F.max(F.struct("match_date", "match_id", "team_id")).alias("latest"),
+            F.max_by("team_id", "place").alias("latest_team_id"),
         )
     )
     return runs.groupBy(entity, "day").agg(
@@ -45,7 +46,7 @@ def _day_summaries(games: DataFrame, entity: str) -> DataFrame:
         F.coalesce(F.max(F.when(F.col("misses") == 0, F.col("run"))), F.lit(0)).alias("head"),
         F.max_by("run", "misses").alias("tail"),
         F.max("recorded").alias("recorded"),
-        F.max("latest").alias("latest"),
+        F.max_by("latest_team_id", "misses").alias("latest_team_id"),
     )
 
 
@@ -74,7 +75,7 @@ def streak_summary(games: DataFrame, entity: str) -> DataFrame:
             F.sum(F.when(F.col("piece_no") == 0, F.col("hits"))).alias("hits"),
             F.max("longest").alias("longest"),
             F.max("recorded").alias("recorded"),
-            F.max("latest").alias("latest"),
+            F.max_by("latest_team_id", "day").alias("latest_team_id"),
         )
     )
     totals = runs.groupBy(entity).agg(
@@ -83,7 +84,7 @@ def streak_summary(games: DataFrame, entity: str) -> DataFrame:
         F.max_by("length", "run_id").alias("active_streak"),
         F.greatest(F.max("length"), F.max("longest")).alias("best_streak"),
         F.max("recorded").alias("recorded"),
-        F.max("latest")["team_id"].alias("latest_team_id"),
+        F.max_by("latest_team_id", "run_id").alias("latest_team_id"),
     )
     return totals.filter("games > 0 and recorded = 1").select(
         entity,
