@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchstats.functions.metrics import apply_calc_mode, with_ratios
 from matchstats.operators.context import GROUP_MODES, competitions_of, keep_ids
-from matchstats.operators.facts import club_rows, metric_sum, player_rows
+from matchstats.operators.facts import club_rows, player_rows
 from matchstats.registry import CATEGORIES, MetricSource, club_sources, player_sources
 from matchstats.schema import MINUTES
 from matchstats.sources.tables import StatsTables
@@ -26,22 +26,62 @@ def _carried(by: Sequence[str]) -> list[str]:
     return [*(COMPETITION_IDS if named else []), *[c for c in by if c not in named]]
 
 
-def _by_name(
-    totals: DataFrame, tournaments: DataFrame, entity: str, by: Sequence[str], summed: Sequence[str]
+def _totals(
+    rows: DataFrame,
+    tournaments: DataFrame,
+    entity: str,
+    sources: Sequence[MetricSource],
+    by: Sequence[str],
 ) -> DataFrame:
-    """Roll totals per competition id up to the wanted names; nameless groups drop out.
+    """Games, minutes and metric sums of long rows, one column per metric.
 
-    A match belongs to one competition season, so games add up.
+    First one narrow row per entity and metric, for minutes per match as well: that makes the
+    matches distinct, and what is shuffled is as wide for one metric as for twenty.  A very common
+    entity is spread over its matches there.  Only then do metrics become columns.  Competition
+    ids are rolled up to names last (a match belongs to one competition season, so games add up);
+    groups without a name drop out, as do those without a minutes row or without a metric row.
     """
-    if COMPETITION_IDS[0] not in totals.columns:
-        return totals
-    return (
-        totals.join(competitions_of(tournaments), COMPETITION_IDS)
-        .dropna(subset=list(by))
-        .groupBy(entity, *by)
-        .agg(*[F.sum(c).alias(c) for c in summed])
+    carried = _carried(by)
+    is_minutes = F.col("metric_key") == MINUTES
+    tagged = "source" in rows.columns
+    place = F.when(is_minutes, F.lit(0))
+    for number, source in enumerate(sources, start=1):
+        wanted = F.col("metric_key") == source.key
+        if tagged:
+            wanted = wanted & (F.col("source") == source.source)
+        place = place.when(wanted, F.lit(number))
+
+    sums = (
+        rows.withColumns({"place": place, "minutes_match": F.when(is_minutes, F.col("match_id"))})
+        .groupBy(entity, *carried, "place", "minutes_match")
+        .agg(F.sum("value").alias("value"))
     )
 
+    def summed(number: int):
+        return F.sum(F.when(F.col("place") == number, F.col("value")))
+
+    totals = sums.groupBy(entity, *carried).agg(
+        F.count("minutes_match").alias("games"),
+        summed(0).alias("minutes"),
+        F.max("place").alias("_last_place"),
+        *[
+            F.coalesce(summed(number), F.lit(0.0)).alias(source.metric)
+            for number, source in enumerate(sources, start=1)
+        ],
+    )
+    if COMPETITION_IDS[0] in carried:
+        metrics = [s.metric for s in sources]
+        totals = (
+            totals.join(competitions_of(tournaments), COMPETITION_IDS)
+            .dropna(subset=list(by))
+            .groupBy(entity, *by)
+            .agg(
+                *[F.sum(c).alias(c) for c in ("games", "minutes", *metrics)],
+                F.max("_last_place").alias("_last_place"),
+            )
+        )
+    return totals.filter("games > 0 and _last_place > 0").drop("_last_place")
+
 
 def player_totals(
     tables: StatsTables,
@@ -52,26 +92,11 @@ def player_totals(
     teams: Iterable[int] | None = None,
     players: Iterable[int] | None = None,
 ) -> DataFrame:
-    """Games, minutes and metric sums per player (and group) in one pass over the facts.
-
-    A group needs at least one minutes row and one metric row.
-    """
+    """Games, minutes and metric sums per player (and group) in one pass over the facts."""
     keys = [s.key for s in sources] + [MINUTES]
-    carried = _carried(by)
-    rows = player_rows(tables, ctx, keys, carried, teams, players, venue)
-    is_minutes = F.col("metric_key") == MINUTES
-    totals = rows.groupBy("player_id", *carried).agg(
-        F.countDistinct(F.when(is_minutes, F.col("match_id"))).alias("games"),
-        F.sum(F.when(is_minutes, F.col("value"))).alias("minutes"),
-        F.count(F.when(~is_minutes, F.lit(1))).alias("_metric_rows"),
-        *[metric_sum(s) for s in sources],
-    )
-    summed = ["games", "minutes", "_metric_rows", *[s.metric for s in sources]]
-    return (
-        _by_name(totals, tables.tournaments, "player_id", by, summed)
-        .filter("games > 0 and _metric_rows > 0 and minutes is not null")
-        .drop("_metric_rows")
-    )
+    rows = player_rows(tables, ctx, keys, _carried(by), teams, players, venue)
+    totals = _totals(rows, tables.tournaments, "player_id", sources, by)
+    return totals.filter(F.col("minutes").isNotNull())
 
 
 def player_names(players: DataFrame, positions: Sequence[str] | None = None) -> DataFrame:
@@ -155,23 +180,12 @@ def club_totals(
     Appearances, player metrics and match metrics go through one aggregation, which takes the
     place of joining three separately grouped tables.  Without metrics the result is empty.
     """
-    carried = _carried(by)
     rows = club_rows(
-        tables, ctx, sources, perspective, period, carried, teams, venue, with_minutes=bool(sources)
+        tables, ctx, sources, perspective, period, _carried(by), teams, venue,
+        with_minutes=bool(sources),
     ).filter(F.col("team_id").isNotNull())
-    is_minutes = F.col("metric_key") == MINUTES
-    totals = rows.groupBy("team_id", *carried).agg(
-        F.countDistinct(F.when(is_minutes, F.col("match_id"))).alias("games"),
-        F.count(F.when(~is_minutes, F.lit(1))).alias("_metric_rows"),
-        *[metric_sum(s, tagged=True) for s in sources],
-    )
-    summed = ["games", "_metric_rows", *[s.metric for s in sources]]
-    return (
-        _by_name(totals, tables.tournaments, "team_id", by, summed)
-        .filter("games > 0 and _metric_rows > 0")
-        .drop("_metric_rows")
-        .withColumn("minutes", F.col("games") * 90)
-    )
+    totals = _totals(rows, tables.tournaments, "team_id", sources, by)
+    return totals.withColumn("minutes", F.col("games") * 90)
 
 
 def club_leaderboard(
