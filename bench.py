@@ -24,7 +24,7 @@ from matchstats.operators.entities import context_entities  # noqa: E402
 from matchstats.operators.games import last_games, match_records  # noqa: E402
 from matchstats.operators.leaderboards import club_leaderboard, player_leaderboard  # noqa: E402
 from matchstats.operators.streaks import streaks  # noqa: E402
-from matchstats.session import scratch_root  # noqa: E402
+from matchstats.session import scratch_folder  # noqa: E402
 from matchstats.sources.orders_binding import bind  # noqa: E402
 from matchstats.sources.sinks import append_facts, as_table  # noqa: E402
 from matchstats.sources.storage import write_version  # noqa: E402
@@ -56,7 +56,7 @@ QUERIES = {
 
 def stored_tables(spark: SparkSession, sf_dir: str) -> StatsTables:
     """The bound tables, written and opened like ingested ones."""
-    root = f"{scratch_root(spark)}/bench"
+    root = scratch_folder(spark, "bench")
     bound = bind(spark, sf_dir)
     for name in ("tournaments", "clubs", "matches", "players"):
         write_version(as_table(getattr(bound, name), name), f"{root}/{name}")

@@ -35,7 +35,7 @@ from matchstats.operators.streaks import streaks
 from matchstats.plans.ingest import ingest, rebuilt_player_stats
 from matchstats.registry import club_sources, player_sources
 from matchstats.schema import MINUTES
-from matchstats.session import scratch_root, tune
+from matchstats.session import scratch_folder, tune
 from matchstats.sources import landing as L
 from matchstats.sources import orders_binding as B
 from matchstats.sources.sinks import append_facts, not_loaded, replace_by_match, upsert
@@ -204,19 +204,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("append_facts")
 def _(t: StatsTables) -> DataFrame:
     spark = t.matches.sparkSession
-    root = f"{scratch_root(spark)}/append-{spark.sparkContext.applicationId}-{_run_id()}"
+    root = scratch_folder(spark, "append")
     rows = t.match_stats.join(t.matches.select("match_id", "season_id"), "match_id")
     append_facts(rows.filter("period = 'ALL'"), root, "match_stats_log")
     append_facts(rows.filter("period <> 'ALL'"), root, "match_stats_log")
     return read_table(spark, root, "match_stats_log").drop("metric_name")
 
 
-def _run_id() -> str:
-    from uuid import uuid4
-
-    return uuid4().hex
-
-
 @query("replace_by_match")
 def _(t: StatsTables) -> DataFrame:
     fetched = t.matches.filter(F.col("status_code") == 60)
@@ -257,7 +251,7 @@ def _loaded_facts(spark: SparkSession, warehouse: str) -> DataFrame:
 
 @query_on_files("ingest_job")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = f"{scratch_root(spark)}/ingest-{_run_id()}"
+    root = scratch_folder(spark, "ingest")
     B.land(spark, sf_dir, f"{root}/landing")
     ingest(spark, f"{root}/landing", f"{root}/tables")
     return _loaded_facts(spark, f"{root}/tables")
@@ -265,7 +259,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query_on_files("stream_ingest")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = f"{scratch_root(spark)}/stream-{_run_id()}"
+    root = scratch_folder(spark, "stream")
     B.land(spark, sf_dir, f"{root}/landing")
     stream_ingest(
         spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoint"

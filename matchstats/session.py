@@ -1,5 +1,8 @@
 """Runtime SQL settings the operators are designed for."""
 
+import tempfile
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution coalesces small shuffle partitions, turns joins into broadcasts only after
@@ -21,14 +24,10 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """Folder for written intermediates: the cluster's shared folder if it names one.
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for written intermediates, in the cluster's shared folder if it names one.
 
     The machine-local fallback is used only where the session names none (tests, local mode).
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="matchstats-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return f"{shared.rstrip('/')}/matchstats-{name}-{uuid4().hex}"
