@@ -11,15 +11,18 @@ from matchstats.sources.sinks import not_loaded, replace_by_match, replace_facts
 from matchstats.sources.tables import read_table
 
 
-def latest_delivery(payloads: DataFrame) -> DataFrame:
-    """Payloads of each match's latest landing (a match may have been delivered more than once)."""
-    newest = payloads.groupBy(F.col("match_id").alias("newest_match")).agg(
-        F.max("landed_at").alias("newest_at")
+def delivered(payloads: DataFrame, matches: DataFrame) -> DataFrame:
+    """The matches that payloads are there for, with the time of the latest one."""
+    newest = payloads.groupBy("match_id").agg(F.max("landed_at").alias("newest_at"))
+    return matches.select("match_id", "season_id", "home_team_id", "away_team_id").join(
+        newest, "match_id"
     )
-    same = (F.col("match_id") == F.col("newest_match")) & F.col("landed_at").eqNullSafe(
-        F.col("newest_at")
-    )
-    return payloads.join(newest, same, "left_semi")
+
+
+def latest(payloads: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Each match's latest payloads (it may have been delivered more than once), in one join."""
+    is_latest = F.col("landed_at").eqNullSafe(F.col("newest_at"))
+    return payloads.join(fetched, "match_id").filter(is_latest)
 
 
 def load_events(events: DataFrame, warehouse: str) -> None:
@@ -33,20 +36,21 @@ def load_lineups(
     lineups: DataFrame, matches: DataFrame, warehouse: str, previous: DataFrame | None = None
 ) -> None:
     """Players and player facts of the given matches, as far as their lineups have landed."""
-    listed = L.with_side_team(L.flatten_lineups(latest_delivery(lineups)), matches)
+    fetched = delivered(lineups, matches).persist()
+    listed = L.flatten_lineups(latest(lineups, fetched))
     write_dimension(L.lineup_players(listed), warehouse, "players")
-    fetched = matches.join(lineups.select("match_id"), "match_id", "left_semi")
     replace_facts(L.lineup_stats(listed), fetched, warehouse, "player_stats_log", previous)
+    fetched.unpersist()
 
 
 def load_statistics(
     statistics: DataFrame, matches: DataFrame, warehouse: str, previous: DataFrame | None = None
 ) -> None:
     """Match facts of the given matches, as far as their statistics have landed."""
-    seasons = matches.select("match_id", "season_id")
-    rows = L.flatten_match_stats(latest_delivery(statistics)).join(seasons, "match_id")
-    fetched = matches.join(statistics.select("match_id"), "match_id", "left_semi")
+    fetched = delivered(statistics, matches).persist()
+    rows = L.flatten_match_stats(latest(statistics, fetched))
     replace_facts(rows, fetched, warehouse, "match_stats_log", previous)
+    fetched.unpersist()
 
 
 def ingest(spark: SparkSession, landing: str, warehouse: str, force: bool = False) -> None:
@@ -61,9 +65,9 @@ def ingest(spark: SparkSession, landing: str, warehouse: str, force: bool = Fals
     events = L.flatten_events(L.read_payloads(spark, landing, "events"))
     load_events(events, warehouse)
 
-    delivered = events.select(F.col("event.id").alias("match_id"))
+    landed = events.select(F.col("event.id").alias("match_id"))
     known = finished(read_table(spark, warehouse, "matches"))
-    wanted = known.join(delivered, "match_id", "left_semi")
+    wanted = known.join(landed, "match_id", "left_semi")
     if not force:
         wanted = not_loaded(wanted, read_table(spark, warehouse, "match_stats_log"))
     load_lineups(L.read_payloads(spark, landing, "lineups"), wanted, warehouse, previous)
@@ -80,6 +84,6 @@ def rebuilt_player_stats(
     player_stats: DataFrame, lineups: DataFrame, matches: DataFrame
 ) -> DataFrame:
     """The same repair as a DataFrame: finished matches with lineups get rebuilt rows."""
-    listed = L.with_side_team(L.flatten_lineups(lineups), finished(matches))
+    listed = L.flatten_lineups(L.with_match(lineups, finished(matches)))
     rebuilt = L.lineup_stats(listed).select(player_stats.columns)
     return replace_by_match(player_stats, rebuilt, listed)

@@ -165,15 +165,14 @@ def _(t: StatsTables) -> DataFrame:
 
 @query("ingest_match_stats")
 def _(t: StatsTables) -> DataFrame:
-    rows = L.flatten_match_stats(_parsed(B.statistics_payloads(t.match_stats), "statistics"))
-    return rows.drop("landed_at")
+    return L.flatten_match_stats(_parsed(B.statistics_payloads(t.match_stats), "statistics"))
 
 
 @query_on_files("ingest_player_stats")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     matches = B.bound_matches(spark, sf_dir)
     payloads = B.lineup_payloads(B.bound_lines(spark, sf_dir, matches))
-    listed = L.with_side_team(L.flatten_lineups(_parsed(payloads, "lineups")), matches)
+    listed = L.flatten_lineups(L.with_match(_parsed(payloads, "lineups"), matches))
     return (
         L.lineup_stats(listed)
         .groupBy("player_id", "team_id", "position", "metric_key", "metric_name")
@@ -185,7 +184,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     matches = B.bound_matches(spark, sf_dir)
     payloads = B.lineup_payloads(B.bound_lines(spark, sf_dir, matches))
-    listed = L.with_side_team(L.flatten_lineups(_parsed(payloads, "lineups")), matches)
+    listed = L.flatten_lineups(L.with_match(_parsed(payloads, "lineups"), matches))
     return L.lineup_players(listed).select(
         "player_id", "team_id", "name", "market_value", "last_updated_match_id"
     )

@@ -156,6 +156,8 @@ KEYS = {
     "players": ["player_id", "team_id"],
 }
 
+FACTS = ("match_stats_log", "player_stats_log")
+
 FINISHED_STATUS = (100, 110, 120)
 PERIODS = ("ALL", "1ST", "2ND")
 MINUTES = "minutesPlayed"

@@ -195,12 +195,19 @@ def event_matches(events: DataFrame) -> DataFrame:
     return _first_seen(rows, ["match_id"], [F.desc_nulls_last("status_code")]).drop("landed_at")
 
 
+def with_match(payloads: DataFrame, matches: DataFrame) -> DataFrame:
+    """Payloads of known matches, with the season and both clubs."""
+    known = matches.select("match_id", "season_id", "home_team_id", "away_team_id")
+    return payloads.join(known, "match_id")
+
+
 def flatten_match_stats(payloads: DataFrame) -> DataFrame:
     """Statistic items of a match, plus one extra row for each item that has totals."""
+    keep = [c for c in ("match_id", "season_id") if c in payloads.columns]
     items = (
-        payloads.select("match_id", "landed_at", F.explode("statistics").alias("p"))
-        .select("match_id", "landed_at", "p.period", F.explode("p.groups").alias("g"))
-        .select("match_id", "landed_at", "period", F.explode("g.statisticsItems").alias("item"))
+        payloads.select(*keep, F.explode("statistics").alias("p"))
+        .select(*keep, "p.period", F.explode("p.groups").alias("g"))
+        .select(*keep, "period", F.explode("g.statisticsItems").alias("item"))
         .filter(F.coalesce("item.key", F.lit("")) != "")
     )
     named = with_metric_name(items.withColumn("metric_key", F.col("item.key")))
@@ -218,35 +225,28 @@ def flatten_match_stats(payloads: DataFrame) -> DataFrame:
     )
     has_total = F.col("item.homeTotal").isNotNull() | F.col("item.awayTotal").isNotNull()
     variants = F.when(has_total, F.array(own, total)).otherwise(F.array(own))
-    rows = named.select("match_id", "landed_at", "period", F.explode(variants).alias("v"))
-    return rows.select("match_id", "period", "v.*", "landed_at")
+    return named.select(*keep, "period", F.explode(variants).alias("v")).select(*keep, "period", "v.*")
 
 
 def flatten_lineups(payloads: DataFrame) -> DataFrame:
-    """One row per listed player and side, with the player's statistics still as a map."""
+    """One row per listed player, with the club on whose side the player is listed.
+
+    The payloads carry their match's clubs; the statistics stay a map.
+    """
     sides = F.array(
-        F.struct(F.lit("home").alias("side"), F.col("home.players").alias("players")),
-        F.struct(F.lit("away").alias("side"), F.col("away.players").alias("players")),
+        F.struct(F.col("home_team_id").alias("team_id"), F.col("home.players").alias("players")),
+        F.struct(F.col("away_team_id").alias("team_id"), F.col("away.players").alias("players")),
     )
+    keep = ["match_id", "season_id", "landed_at"]
     return (
-        payloads.select("match_id", "landed_at", F.explode(sides).alias("s"))
-        .select("match_id", "landed_at", "s.side", F.explode("s.players").alias("listed"))
-        .select("match_id", "landed_at", "side", "listed.*")
-    )
-
-
-def with_side_team(lineups: DataFrame, matches: DataFrame) -> DataFrame:
-    """The club a listed player played for: the one on the player's side of that match."""
-    team = F.when(F.col("side") == "home", F.col("home_team_id")).otherwise(F.col("away_team_id"))
-    return (
-        lineups.join(matches.select("match_id", "season_id", "home_team_id", "away_team_id"), "match_id")
-        .withColumn("team_id", team)
-        .drop("home_team_id", "away_team_id")
+        payloads.select(*keep, F.explode(sides).alias("s"))
+        .select(*keep, "s.team_id", F.explode("s.players").alias("listed"))
+        .select(*keep, "team_id", "listed.*")
     )
 
 
 def lineup_players(lineups: DataFrame) -> DataFrame:
-    """Player rows of lineups with a club: one per player and club."""
+    """Player rows of lineups: one per player and club."""
     rows = lineups.select(
         F.col("player.id").alias("player_id"),
         F.col("player.name").alias("name"),
@@ -274,7 +274,6 @@ def lineup_stats(lineups: DataFrame) -> DataFrame:
         "team_id",
         "position",
         "season_id",
-        "landed_at",
         F.explode("statistics").alias("metric_key", "text"),
     ).filter(is_scalar(F.col("text")))
     return with_metric_name(stats).select(
@@ -286,5 +285,4 @@ def lineup_stats(lineups: DataFrame) -> DataFrame:
         "metric_name",
         stat_value(F.col("text")).alias("value"),
         "season_id",
-        "landed_at",
     )

@@ -12,6 +12,9 @@ from matchstats.schema import KEYS, TABLES
 from matchstats.sources import storage
 from matchstats.sources.tables import read_table
 
+# Seasons a load may touch for their partitions to be listed in the scan; beyond, they are joined.
+MAX_LISTED_SEASONS = 10_000
+
 
 def upsert(
     old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
@@ -65,6 +68,17 @@ def append_facts(new: DataFrame, root: str, name: str) -> None:
     _laid_out(as_table(new, name)).write.mode("append").partitionBy("season_id").parquet(f"{root}/{name}")
 
 
+def _rows_in(stored: DataFrame, seasons: DataFrame) -> DataFrame:
+    """Stored rows of some seasons.  A list of ordinary length prunes the partitions to read."""
+    season = F.col("season_id")
+    listed = [row[0] for row in seasons.limit(MAX_LISTED_SEASONS + 1).collect()]
+    if len(listed) <= MAX_LISTED_SEASONS:
+        wanted = season.isin([s for s in listed if s is not None])
+        return stored.filter(wanted | season.isNull() if None in listed else wanted)
+    same = F.expr("stored.season_id <=> seasons.season_id")
+    return stored.alias("stored").join(seasons.alias("seasons"), same, "left_semi")
+
+
 def replace_facts(
     new: DataFrame, fetched: DataFrame, root: str, name: str, previous: DataFrame | None = None
 ) -> None:
@@ -72,24 +86,24 @@ def replace_facts(
 
     Loading the same matches again leaves the same rows.  ``fetched`` has ``match_id`` and
     ``season_id``; ``previous`` are the matches as they were known before, in case one has moved
-    to another season.  A season that would lose its last row keeps its files.
+    to another season.  Every rewritten season gets one row without a match, which readers skip:
+    it makes the write replace a season that has lost its last match as well.
     """
     spark = new.sparkSession
-    path = f"{root}/{name}"
     result = as_table(new, name)
+    seasons = fetched.select("season_id")
     if storage.table_path(spark, root, name) is not None:
-        touched = fetched.select("season_id")
         if previous is not None:
             moved = previous.join(fetched.select("match_id"), "match_id", "left_semi")
-            touched = touched.union(moved.select("season_id"))
-        stored = read_table(spark, root, name).alias("stored")
-        same_season = F.expr("stored.season_id <=> touched.season_id")
-        affected = stored.join(touched.distinct().alias("touched"), same_season, "left_semi")
-        result = replace_by_match(affected, result, fetched)
+            seasons = seasons.union(moved.select("season_id"))
+        seasons = seasons.distinct().persist()
+        stored = _rows_in(read_table(spark, root, name), seasons)
+        result = replace_by_match(stored, result, fetched).unionByName(as_table(seasons, name))
     (
         _laid_out(result)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("season_id")
-        .parquet(path)
+        .parquet(f"{root}/{name}")
     )
+    seasons.unpersist()

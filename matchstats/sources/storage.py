@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matchstats.schema import KEYS
 
+KEPT_VERSIONS = 3
+
 
 def _list(spark: SparkSession, path: str) -> list[str]:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -44,10 +46,13 @@ def version_path(spark: SparkSession, folder: str) -> str | None:
 
 
 def write_version(df: DataFrame, folder: str) -> str:
-    """Write a new version next to the ones that may still be being read."""
-    versions = _versions(df.sparkSession, folder)
+    """Write a new version next to the ones that may still be being read; older ones go."""
+    spark = df.sparkSession
+    versions = _versions(spark, folder)
     path = f"{folder}/version={versions[-1] + 1 if versions else 1}"
     df.write.mode("error").parquet(path)
+    for old in versions[: 1 - KEPT_VERSIONS]:
+        remove(spark, f"{folder}/version={old}")
     return path
 
 

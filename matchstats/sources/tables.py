@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from matchstats.schema import KEYS, TABLES
+from matchstats.schema import FACTS, KEYS, TABLES
 from matchstats.sources import storage
 
 
@@ -44,7 +44,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = storage.table_path(spark, root, name)
     if path is None:
         return spark.createDataFrame([], TABLES[name])
-    return spark.read.schema(TABLES[name]).parquet(path)
+    stored = spark.read.schema(TABLES[name]).parquet(path)
+    return stored.filter(F.col("match_id").isNotNull()) if name in FACTS else stored
 
 
 def open_tables(spark: SparkSession, root: str) -> StatsTables:

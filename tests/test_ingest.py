@@ -174,6 +174,35 @@ def test_a_match_that_moves_to_another_season_leaves_no_rows_behind(spark, landi
     assert [r for r in facts(spark, warehouse, "match_id", "season_id", "value") if r[0] == 4] == [(4, 91, 30.0)]
 
 
+def test_a_season_that_loses_its_only_match_is_empty(spark, landing, tmp_path):
+    warehouse = str(tmp_path / "tables")
+    land(landing, "events", "b", {"events": [event(6, 100, season={"id": 95, "year": "2030"})]})
+    land(landing, "lineups", "b", lineups(6, [listed(7, "Ana", minutesPlayed=20)], []))
+    ingest(spark, str(landing), warehouse)
+    ingest(spark, str(landing), warehouse)
+    assert [r for r in facts(spark, warehouse, "match_id", "season_id") if r[0] == 6] == [(6, 95)]
+    land(landing, "events", "c", {"events": [event(6, 100, season={"id": 96, "year": "2031"})]})
+    ingest(spark, str(landing), warehouse, force=True)
+    assert [r for r in facts(spark, warehouse, "match_id", "season_id") if r[0] == 6] == [(6, 96)]
+    assert read_table(spark, warehouse, "player_stats_log").filter("match_id is null").isEmpty()
+
+
+def test_many_touched_seasons_are_joined_instead_of_listed(spark, landing, tmp_path, monkeypatch):
+    warehouse = str(tmp_path / "tables")
+    ingest(spark, str(landing), warehouse)
+    before = content(spark, warehouse)
+    monkeypatch.setattr("matchstats.sources.sinks.MAX_LISTED_SEASONS", 0)
+    ingest(spark, str(landing), warehouse, force=True)
+    assert content(spark, warehouse) == before
+
+
+def test_old_versions_of_a_dimension_go(spark, tmp_path):
+    row = as_table(spark.createDataFrame([(1, "Reds")], "team_id long, name string"), "clubs")
+    for _ in range(5):
+        write_version(row, str(tmp_path / "clubs"))
+    assert sorted(p.name for p in (tmp_path / "clubs").iterdir()) == ["version=3", "version=4", "version=5"]
+
+
 def test_reprocess_restores_the_club_of_the_side(spark, landing, tmp_path):
     warehouse = str(tmp_path / "tables")
     ingest(spark, str(landing), warehouse)
