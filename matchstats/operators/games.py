@@ -60,14 +60,28 @@ def club_games(
     perspective: str = "for",
     venue: str = "both",
     teams: Iterable[int] | None = None,
+    calendar: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per club and match."""
+    """One row per club and match.
+
+    With a ``calendar`` of matches, its fixtures go through the same aggregation: ``played`` tells
+    whether the match is in the calendar and ``recorded`` whether there is any statistic.
+    """
     rows = club_rows(
         tables, games, sources, perspective, carry=["match_date"], teams=teams, venue=venue
     )
-    return rows.groupBy("team_id", "match_id", "match_date").agg(
-        *[metric_sum(s, tagged=True) for s in sources]
-    )
+    sums = [metric_sum(s, tagged=True) for s in sources]
+    if calendar is not None:
+        fixtures = calendar.select(
+            F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"),
+            "match_id",
+            "match_date",
+            F.lit("calendar").alias("source"),
+        )
+        rows = rows.unionByName(fixtures, allowMissingColumns=True)
+        in_calendar = (F.col("source") == "calendar").cast("int")
+        sums += [F.max(in_calendar).alias("played"), F.max(1 - in_calendar).alias("recorded")]
+    return rows.groupBy("team_id", "match_id", "match_date").agg(*sums)
 
 
 def game_table(
@@ -79,13 +93,14 @@ def game_table(
     perspective: str = "for",
     teams: Iterable[int] | None = None,
     prefer_match: bool = False,
+    calendar: DataFrame | None = None,
 ) -> DataFrame:
     """Per-game wide table with narrow identity columns and the category's metrics and ratios."""
     sources = game_sources(target, category, prefer_match)
     if target == "player":
         wide = player_games(tables, games, sources, venue, teams)
     else:
-        wide = club_games(tables, games, sources, perspective, venue, teams)
+        wide = club_games(tables, games, sources, perspective, venue, teams, calendar)
     return with_ratios(wide, category, [s.metric for s in sources])
 
 

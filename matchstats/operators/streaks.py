@@ -110,35 +110,12 @@ def player_hits(games: DataFrame, hit) -> DataFrame:
     )
 
 
-def club_hits(ctx: DataFrame, games: DataFrame, hit) -> DataFrame:
-    """The club's finished matches; one without a recorded hit is a miss."""
-    calendar = finished(ctx).select(
-        F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"),
-        "match_date",
-        "match_id",
-        F.lit(1).alias("played"),
-        F.lit(0).alias("hit"),
-        F.lit(0).alias("recorded"),
-    )
-    recorded = games.select(
-        "team_id",
-        "match_date",
-        "match_id",
-        F.lit(0).alias("played"),
-        hit.cast("int").alias("hit"),
-        F.lit(1).alias("recorded"),
+def club_hits(games: DataFrame, hit) -> DataFrame:
+    """The club's finished matches; one without a statistic is a miss, whatever the condition."""
+    is_hit = hit & (F.col("played") == 1) & (F.col("recorded") == 1)
+    return games.filter(F.col("team_id").isNotNull()).select(
+        "team_id", "match_date", "match_id", "played", is_hit.cast("int").alias("hit"), "recorded"
     )
-    merged = (
-        calendar.unionByName(recorded)
-        .filter(F.col("team_id").isNotNull())
-        .groupBy("team_id", "match_date", "match_id")
-        .agg(
-            F.max("played").alias("played"),
-            F.max("hit").alias("hit"),
-            F.max("recorded").alias("recorded"),
-        )
-    )
-    return merged.withColumn("hit", F.col("hit") * F.col("played"))
 
 
 def streaks(
@@ -157,13 +134,16 @@ def streaks(
         raise ValueError(f"{target} tables of {category!r} have no metric {metric!r}")
     hit = condition(F.round(metric, 6), operator, threshold)
     described_games = describable(ctx, tables.tournaments)
-    games = game_table(target, tables, described_games, category, teams=teams)
     clubs = club_names(tables.clubs)
     if target == "player":
+        games = game_table(target, tables, described_games, category, teams=teams)
         summary = streak_summary(player_hits(games, hit), "player_id")
         entity, labels = "player_id", ["player", "current_club"]
     else:
-        summary = streak_summary(club_hits(ctx, games, hit), "team_id")
+        games = game_table(
+            target, tables, described_games, category, teams=teams, calendar=finished(ctx)
+        )
+        summary = streak_summary(club_hits(games, hit), "team_id")
         entity, labels = "team_id", ["club"]
     ranking = [F.desc("active_streak"), F.desc(F.round("success_pct", 6)), F.asc(entity)]
     if limit is not None:
