@@ -40,7 +40,7 @@ METRIC_NAMES = {
     "fouls": "Cometeu Falta",
     "minutesPlayed": "Minutos Jogados",
     "touches": "Ações com a Bola",
-    "rating": "Nota SofaScore",
+    "rating": "Nota",
     "possessionLostCtrl": "Perda de Posse",
     "expectedGoals": "xG (Gols Esperados)",
     "expectedAssists": "xA (Assistências Esperadas)",

@@ -24,7 +24,7 @@ def keep_ids(df: DataFrame, column: str, ids: Iterable | DataFrame | None) -> Da
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
-        return df.join(ids.select(F.col(ids.columns[0]).alias(column)).distinct(), column, "left_semi")
+        return df.join(ids.select(F.col(ids.columns[0]).alias(column)), column, "left_semi")
     ids = list(ids)
     return df.filter(F.col(column).isin(ids)) if ids else df
 
@@ -166,6 +166,18 @@ def competitions_of(tournaments: DataFrame) -> DataFrame:
     )
 
 
+def competitions_in(ctx: DataFrame, tournaments: DataFrame) -> DataFrame:
+    """Competitions and seasons a context has matches of, in order."""
+    keys = ctx.select("tournament_id", "season_id").distinct()
+    named = keys.join(competitions_of(tournaments), ["tournament_id", "season_id"])
+    return (
+        named.select("competition", "season")
+        .dropna()
+        .distinct()
+        .orderBy("competition", "season")
+    )
+
+
 def with_competition(matches: DataFrame, tournaments: DataFrame, how: str = "left") -> DataFrame:
     return matches.join(competitions_of(tournaments), ["tournament_id", "season_id"], how)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchstats.operators.context import competitions_of
+from matchstats.operators.context import competitions_of, keep_ids
 from matchstats.operators.facts import player_rows
 from matchstats.operators.leaderboards import club_names
 from matchstats.schema import MINUTES
@@ -27,3 +29,19 @@ def context_entities(tables: StatsTables, ctx: DataFrame) -> DataFrame:
         .groupBy("team_id", "player_id", "competition", "season")
         .agg(F.max("player").alias("player"), F.max("club").alias("club"))
     )
+
+
+def players_to_choose(
+    entities: DataFrame,
+    competitions: Sequence[str] | None = None,
+    seasons: Sequence[str] | None = None,
+    teams: Iterable[int] | None = None,
+) -> DataFrame:
+    """Players with the clubs they appeared for, within a selection, by name."""
+    chosen = keep_ids(keep_ids(entities, "competition", competitions), "season", seasons)
+    return (
+        keep_ids(chosen, "team_id", teams)
+        .select("player_id", "player", "team_id", "club")
+        .distinct()
+        .orderBy("player", "player_id", "team_id")
+    )

@@ -62,7 +62,7 @@ def ingest(spark: SparkSession, landing: str, warehouse: str, force: bool = Fals
     counts as loaded only after its lineups are in.
     """
     previous = read_table(spark, warehouse, "matches")
-    events = L.flatten_events(L.read_payloads(spark, landing, "events"))
+    events = L.flatten_events(L.read_payloads(spark, landing, "events")).persist()
     load_events(events, warehouse)
 
     landed = events.select(F.col("event.id").alias("match_id"))
@@ -72,6 +72,7 @@ def ingest(spark: SparkSession, landing: str, warehouse: str, force: bool = Fals
         wanted = not_loaded(wanted, read_table(spark, warehouse, "match_stats_log"))
     load_lineups(L.read_payloads(spark, landing, "lineups"), wanted, warehouse, previous)
     load_statistics(L.read_payloads(spark, landing, "statistics"), wanted, warehouse, previous)
+    events.unpersist()
 
 
 def reprocess(spark: SparkSession, landing: str, warehouse: str) -> None:

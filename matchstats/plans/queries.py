@@ -19,7 +19,7 @@ from matchstats.functions.metrics import apply_calc_mode, with_ratios
 from matchstats.functions.values import day_text, match_date, match_title, percent_value
 from matchstats.operators import context as X
 from matchstats.operators.compare import compare, with_without, with_without_split
-from matchstats.operators.entities import context_entities
+from matchstats.operators.entities import context_entities, players_to_choose
 from matchstats.operators.facts import club_match_rows, club_player_rows, club_rows, player_rows
 from matchstats.operators.games import club_games, game_sources, last_games, match_records, player_games
 from matchstats.operators.leaderboards import (
@@ -285,6 +285,11 @@ def _(t: StatsTables) -> DataFrame:
     return X.default_season(t.tournaments, COMPETITIONS)
 
 
+@query("ctx_competitions")
+def _(t: StatsTables) -> DataFrame:
+    return X.competitions_in(t.matches, t.tournaments)
+
+
 @query("ctx_bounds")
 def _(t: StatsTables) -> DataFrame:
     return X.bounds(t.matches)
@@ -401,6 +406,11 @@ def _(t: StatsTables) -> DataFrame:
     return context_entities(t, t.matches)
 
 
+@query("players_to_choose")
+def _(t: StatsTables) -> DataFrame:
+    return players_to_choose(context_entities(t, t.matches), COMPETITIONS, SEASONS, [CLUB_A, 3, 7])
+
+
 # Aggregations
 
 

@@ -100,7 +100,7 @@ METRICS = [
     Metric("Impedimentos", "totalOffside", "offsides", "player", "discipline"),
     Metric("Escanteios", "cornerKicks", None, "match", "discipline"),
     Metric("Tiros de Meta", "goalKicks", None, "match", "discipline"),
-    Metric("Nota SofaScore", "rating", None, "player", "index"),
+    Metric("Nota", "rating", None, "player", "index"),
 ]
 
 # Metrics and ratios of each category in display order; the first one sorts its board.

@@ -14,33 +14,35 @@ from matchstats.schema import KEYS
 KEPT_VERSIONS = 3
 
 
-def _list(spark: SparkSession, path: str) -> list[str]:
+def _located(spark: SparkSession, path: str):
+    """File system and path as the cluster sees them."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
-        return []
-    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    return bool(_list(spark, path))
+    fs, located = _located(spark, path)
+    return fs.exists(located)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    fs, located = _located(spark, path)
+    fs.delete(located, True)
 
 
 def _versions(spark: SparkSession, folder: str) -> list[int]:
-    return sorted(
-        int(name.removeprefix("version=")) for name in _list(spark, folder) if name.startswith("version=")
-    )
+    """Numbers of all versions, complete or not; never more than a few are kept."""
+    fs, located = _located(spark, folder)
+    if not fs.exists(located):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(located)]
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
 
 
 def version_path(spark: SparkSession, folder: str) -> str | None:
     """The newest complete version of a rewritten folder."""
     for version in reversed(_versions(spark, folder)):
-        if "_SUCCESS" in _list(spark, f"{folder}/version={version}"):
+        if exists(spark, f"{folder}/version={version}/_SUCCESS"):
             return f"{folder}/version={version}"
     return None
 
