@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from matchstats.operators.context import keep_ids
 from matchstats.registry import MetricSource
-from matchstats.schema import MINUTES
+from matchstats.schema import MINUTES, NO_SEASON
 from matchstats.sources.tables import StatsTables
 
 _SIDES = {"home": "home_team_id", "away": "away_team_id"}
@@ -27,10 +27,16 @@ def _check(value: str, allowed: Sequence[str]) -> None:
         raise ValueError(f"unknown value {value!r}; use one of {tuple(allowed)}")
 
 
-def _match_keys(facts: DataFrame, ctx: DataFrame) -> list[str]:
-    """Join on the partition column too where the facts have it, so that partitions are pruned."""
-    both = {"season_id"} & set(facts.columns) & set(ctx.columns)
-    return ["match_id", *both]
+def _with_matches(facts: DataFrame, ctx: DataFrame, columns: dict[str, Column], how: str) -> DataFrame:
+    """Join facts to the match columns wanted, by match and any further column of the same name.
+
+    Where the facts have the season, it is a join column as well, so that partitions are pruned.
+    """
+    wanted = {"match_id": F.col("match_id"), **columns}
+    if "season_id" in facts.columns and "season_id" in ctx.columns:
+        wanted["season_id"] = F.coalesce("season_id", F.lit(NO_SEASON))
+    matches = ctx.select(*[column.alias(name) for name, column in wanted.items()])
+    return facts.join(matches, [c for c in wanted if c in facts.columns], how)
 
 
 def at_venue(df: DataFrame, venue: str) -> DataFrame:
@@ -52,12 +58,10 @@ def player_rows(
     _check(venue, VENUES)
     facts = tables.player_stats.filter(F.col("metric_key").isin(list(keys)))
     facts = keep_ids(keep_ids(facts, "team_id", teams), "player_id", players)
-    on = _match_keys(facts, ctx)
-    matches = ctx.select(*on, *[c for c in carry if c not in on])
+    columns = {c: F.col(c) for c in carry}
     if venue != "both":
-        side = F.col(_SIDES[venue]).alias("team_id")
-        matches, on = ctx.select(*on, *[c for c in carry if c not in on], side), [*on, "team_id"]
-    joined = facts.join(matches, on, "inner" if carry else "left_semi")
+        columns["team_id"] = F.col(_SIDES[venue])
+    joined = _with_matches(facts, ctx, columns, "inner" if carry else "left_semi")
     return joined.select("match_id", "player_id", "team_id", "metric_key", "value", *carry)
 
 
@@ -78,10 +82,8 @@ def club_player_rows(
     facts = tables.player_stats.filter(F.col("metric_key").isin(list(keys)))
     if perspective == "for":
         facts = keep_ids(facts, "team_id", teams)
-    on = _match_keys(facts, ctx)
-    rows = facts.join(
-        ctx.select(*on, "home_team_id", "away_team_id", *[c for c in carry if c not in on]), on
-    )
+    columns = {c: F.col(c) for c in (*_SIDES.values(), *carry)}
+    rows = _with_matches(facts, ctx, columns, "inner")
     if perspective == "against":
         others = F.filter(
             F.array("home_team_id", "away_team_id"), lambda team: team != F.col("team_id")
@@ -108,10 +110,9 @@ def club_match_rows(
     facts = tables.match_stats.filter(
         (F.col("period") == period) & F.col("metric_key").isin(list(keys))
     )
-    on = _match_keys(facts, ctx)
-    rows = facts.join(
-        ctx.select(*on, "home_team_id", "away_team_id", *[c for c in carry if c not in on]), on
-    ).withColumn("team_id", F.explode(F.array("home_team_id", "away_team_id")))
+    columns = {c: F.col(c) for c in (*_SIDES.values(), *carry)}
+    sides = F.explode(F.array("home_team_id", "away_team_id"))
+    rows = _with_matches(facts, ctx, columns, "inner").withColumn("team_id", sides)
     own, other = ("home_value", "away_value") if perspective == "for" else ("away_value", "home_value")
     value = F.when(F.col("home_team_id") == F.col("team_id"), F.col(own)).otherwise(F.col(other))
     return at_venue(keep_ids(rows, "team_id", teams), venue).select(

@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.operators.context import finished
+from matchstats.schema import FACTS
 from matchstats.sources import landing as L
-from matchstats.sources.sinks import not_loaded, replace_by_match, replace_facts, write_dimension
+from matchstats.sources.sinks import (
+    move_facts,
+    not_loaded,
+    replace_by_match,
+    replace_facts,
+    write_dimension,
+)
 from matchstats.sources.tables import read_table
 
 
@@ -26,30 +33,39 @@ def latest(payloads: DataFrame, fetched: DataFrame) -> DataFrame:
 
 
 def load_events(events: DataFrame, warehouse: str) -> None:
-    """Tournaments, clubs and matches of delivered events."""
+    """Tournaments, clubs and matches of delivered events.
+
+    Facts of a match that has moved to another season move first: they are read by season.
+    """
+    matches = L.event_matches(events)
+    known = read_table(events.sparkSession, warehouse, "matches").select(
+        "match_id", F.col("season_id").alias("old_season_id")
+    )
+    changed = ~F.col("season_id").eqNullSafe(F.col("old_season_id"))
+    moved = matches.select("match_id", "season_id").join(known, "match_id").filter(changed).persist()
+    if not moved.isEmpty():
+        for name in FACTS:
+            move_facts(moved, warehouse, name)
+    moved.unpersist()
     write_dimension(L.event_tournaments(events), warehouse, "tournaments")
     write_dimension(L.event_clubs(events), warehouse, "clubs")
-    write_dimension(L.event_matches(events), warehouse, "matches")
+    write_dimension(matches, warehouse, "matches")
 
 
-def load_lineups(
-    lineups: DataFrame, matches: DataFrame, warehouse: str, previous: DataFrame | None = None
-) -> None:
+def load_lineups(lineups: DataFrame, matches: DataFrame, warehouse: str) -> None:
     """Players and player facts of the given matches, as far as their lineups have landed."""
     fetched = delivered(lineups, matches).persist()
     listed = L.flatten_lineups(latest(lineups, fetched))
     write_dimension(L.lineup_players(listed), warehouse, "players")
-    replace_facts(L.lineup_stats(listed), fetched, warehouse, "player_stats_log", previous)
+    replace_facts(L.lineup_stats(listed), fetched, warehouse, "player_stats_log")
     fetched.unpersist()
 
 
-def load_statistics(
-    statistics: DataFrame, matches: DataFrame, warehouse: str, previous: DataFrame | None = None
-) -> None:
+def load_statistics(statistics: DataFrame, matches: DataFrame, warehouse: str) -> None:
     """Match facts of the given matches, as far as their statistics have landed."""
     fetched = delivered(statistics, matches).persist()
     rows = L.flatten_match_stats(latest(statistics, fetched))
-    replace_facts(rows, fetched, warehouse, "match_stats_log", previous)
+    replace_facts(rows, fetched, warehouse, "match_stats_log")
     fetched.unpersist()
 
 
@@ -61,7 +77,6 @@ def ingest(spark: SparkSession, landing: str, warehouse: str, force: bool = Fals
     rows instead of appending them keeps its sums right.  Statistics are written last, so a match
     counts as loaded only after its lineups are in.
     """
-    previous = read_table(spark, warehouse, "matches")
     events = L.flatten_events(L.read_payloads(spark, landing, "events")).persist()
     load_events(events, warehouse)
 
@@ -70,8 +85,8 @@ def ingest(spark: SparkSession, landing: str, warehouse: str, force: bool = Fals
     wanted = known.join(landed, "match_id", "left_semi")
     if not force:
         wanted = not_loaded(wanted, read_table(spark, warehouse, "match_stats_log"))
-    load_lineups(L.read_payloads(spark, landing, "lineups"), wanted, warehouse, previous)
-    load_statistics(L.read_payloads(spark, landing, "statistics"), wanted, warehouse, previous)
+    load_lineups(L.read_payloads(spark, landing, "lineups"), wanted, warehouse)
+    load_statistics(L.read_payloads(spark, landing, "statistics"), wanted, warehouse)
     events.unpersist()
 
 

@@ -72,7 +72,10 @@ PLAYERS = _table(
     last_updated_match_id="long",
 )
 
-# season_id is carried on both facts so that they can be partitioned by it.
+# Facts are partitioned by their match's season; a match without one is kept under this value, as
+# a join on the partition column would lose NULL.
+NO_SEASON = -1
+
 MATCH_STATS = _table(
     match_id="long",
     period="string",

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from matchstats.schema import KEYS, TABLES
+from matchstats.schema import FACTS, KEYS, NO_SEASON, TABLES
 from matchstats.sources import storage
 from matchstats.sources.tables import read_table
 
@@ -40,12 +40,13 @@ def not_loaded(finished_matches: DataFrame, match_stats: DataFrame) -> DataFrame
 
 def as_table(df: DataFrame, name: str) -> DataFrame:
     """Columns in declared order and type; absent ones are NULL."""
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in TABLES[name].fields
-        ]
-    )
+
+    def column(name: str) -> Column:
+        value = F.col(name) if name in df.columns else F.lit(None)
+        return F.coalesce(value, F.lit(NO_SEASON)) if in_facts and name == "season_id" else value
+
+    in_facts = name in FACTS
+    return df.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields])
 
 
 def write_dimension(new: DataFrame, root: str, name: str) -> None:
@@ -70,40 +71,57 @@ def append_facts(new: DataFrame, root: str, name: str) -> None:
 
 def _rows_in(stored: DataFrame, seasons: DataFrame) -> DataFrame:
     """Stored rows of some seasons.  A list of ordinary length prunes the partitions to read."""
-    season = F.col("season_id")
     listed = [row[0] for row in seasons.limit(MAX_LISTED_SEASONS + 1).collect()]
     if len(listed) <= MAX_LISTED_SEASONS:
-        wanted = season.isin([s for s in listed if s is not None])
-        return stored.filter(wanted | season.isNull() if None in listed else wanted)
-    same = F.expr("stored.season_id <=> seasons.season_id")
-    return stored.alias("stored").join(seasons.alias("seasons"), same, "left_semi")
+        return stored.filter(F.col("season_id").isin(listed))
+    return stored.join(seasons, "season_id", "left_semi")
 
 
-def replace_facts(
-    new: DataFrame, fetched: DataFrame, root: str, name: str, previous: DataFrame | None = None
+def _rewrite_seasons(
+    root: str, name: str, seasons: DataFrame, change: Callable[[DataFrame], DataFrame]
 ) -> None:
-    """Replace the rows of the fetched matches, rewriting only the seasons they belong to.
+    """Overwrite the given seasons of a fact by what ``change`` makes of their rows.
 
-    Loading the same matches again leaves the same rows.  ``fetched`` has ``match_id`` and
-    ``season_id``; ``previous`` are the matches as they were known before, in case one has moved
-    to another season.  Every rewritten season gets one row without a match, which readers skip:
-    it makes the write replace a season that has lost its last match as well.
+    Every season gets one row without a match, which readers skip: it makes the write replace a
+    season that has lost its last match as well.
     """
-    spark = new.sparkSession
-    result = as_table(new, name)
-    seasons = fetched.select("season_id")
-    if storage.table_path(spark, root, name) is not None:
-        if previous is not None:
-            moved = previous.join(fetched.select("match_id"), "match_id", "left_semi")
-            seasons = seasons.union(moved.select("season_id"))
-        seasons = seasons.distinct().persist()
-        stored = _rows_in(read_table(spark, root, name), seasons)
-        result = replace_by_match(stored, result, fetched).unionByName(as_table(seasons, name))
+    seasons = as_table(seasons, name).distinct().persist()
+    stored = _rows_in(read_table(seasons.sparkSession, root, name), seasons.select("season_id"))
     (
-        _laid_out(result)
+        _laid_out(change(stored).unionByName(seasons))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("season_id")
         .parquet(f"{root}/{name}")
     )
     seasons.unpersist()
+
+
+def replace_facts(new: DataFrame, fetched: DataFrame, root: str, name: str) -> None:
+    """Replace the rows of the fetched matches, rewriting only the seasons they belong to.
+
+    Loading the same matches again leaves the same rows.  ``fetched`` has ``match_id`` and
+    ``season_id``.
+    """
+    _rewrite_seasons(
+        root,
+        name,
+        fetched.select("season_id"),
+        lambda stored: replace_by_match(stored, as_table(new, name), fetched),
+    )
+
+
+def move_facts(moved: DataFrame, root: str, name: str) -> None:
+    """Take the rows of matches whose season has changed from ``old_season_id`` to ``season_id``.
+
+    Rows that are there already stay, so it can be repeated.
+    """
+    targets = as_table(moved, name).select("match_id", F.col("season_id").alias("target"))
+    _rewrite_seasons(
+        root,
+        name,
+        moved.select("season_id").union(moved.select("old_season_id")),
+        lambda stored: stored.join(targets, "match_id", "left")
+        .withColumn("season_id", F.coalesce("target", "season_id"))
+        .drop("target"),
+    )

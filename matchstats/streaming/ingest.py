@@ -24,7 +24,6 @@ def load_batch(batch: DataFrame, batch_id: int, warehouse: str) -> None:
     spark = batch.sparkSession
     waiting_folder = f"{warehouse}/_waiting"
     batch = batch.persist()
-    previous = read_table(spark, warehouse, "matches")
     load_events(L.flatten_events(batch.filter(F.col("events").isNotNull())), warehouse)
 
     payloads = batch.filter(F.col("match_id").isNotNull()).select(_PAYLOAD)
@@ -34,9 +33,9 @@ def load_batch(batch: DataFrame, batch_id: int, warehouse: str) -> None:
 
     matches = finished(read_table(spark, warehouse, "matches"))
     with_lineups = payloads.filter(F.col("home").isNotNull() | F.col("away").isNotNull())
-    load_lineups(with_lineups, matches, warehouse, previous)
+    load_lineups(with_lineups, matches, warehouse)
     with_statistics = payloads.filter(F.col("statistics").isNotNull())
-    load_statistics(with_statistics, matches, warehouse, previous)
+    load_statistics(with_statistics, matches, warehouse)
 
     still_waiting = payloads.join(matches, "match_id", "left_anti").select(_PAYLOAD)
     still_waiting.write.mode("overwrite").parquet(f"{waiting_folder}/batch={batch_id}")

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 
+from matchstats.operators.leaderboards import player_leaderboard
 from matchstats.plans.ingest import ingest, reprocess
 from matchstats.schema import TABLES
 from matchstats.session import scratch_folder
@@ -170,8 +171,17 @@ def test_a_match_that_moves_to_another_season_leaves_no_rows_behind(spark, landi
     warehouse = str(tmp_path / "tables")
     ingest(spark, str(landing), warehouse)
     land(landing, "events", "b", {"events": [event(4, 120, season={"id": 91, "year": "2026"})]})
-    ingest(spark, str(landing), warehouse, force=True)
+    before = facts(spark, warehouse, "match_id", "metric_key", "value")
+    ingest(spark, str(landing), warehouse)
+    ingest(spark, str(landing), warehouse)
     assert [r for r in facts(spark, warehouse, "match_id", "season_id", "value") if r[0] == 4] == [(4, 91, 30.0)]
+    assert facts(spark, warehouse, "match_id", "metric_key", "value") == before
+    # A loaded match moves without being read again.
+    land(landing, "events", "c", {"events": [event(1, 100, season={"id": 91, "year": "2026"})]})
+    land(landing, "lineups", "c", lineups(1, [], []))
+    ingest(spark, str(landing), warehouse)
+    assert {r for r in facts(spark, warehouse, "match_id", "season_id")} == {(1, 91), (3, 90), (4, 91)}
+    assert facts(spark, warehouse, "match_id", "metric_key", "value") == before
 
 
 def test_a_season_that_loses_its_only_match_is_empty(spark, landing, tmp_path):
@@ -187,6 +197,20 @@ def test_a_season_that_loses_its_only_match_is_empty(spark, landing, tmp_path):
     assert read_table(spark, warehouse, "player_stats_log").filter("match_id is null").isEmpty()
 
 
+def test_a_match_without_a_season_is_found(spark, landing, tmp_path):
+    warehouse = str(tmp_path / "tables")
+    land(landing, "events", "b", {"events": [event(6, 100, season={})]})
+    land(landing, "lineups", "b", lineups(6, [listed(7, "Ana", minutesPlayed=20, goals=3)], []))
+    ingest(spark, str(landing), warehouse)
+    ingest(spark, str(landing), warehouse)
+    t = open_tables(spark, warehouse)
+    only = t.matches.filter("match_id = 6")
+    assert only.first().season_id is None
+    board = player_leaderboard(t, only, "finishing").first()
+    assert (board.player_id, board.games, board.goals) == (7, 1, 3.0)
+    assert player_leaderboard(t, only, "finishing", "by_season").isEmpty()
+
+
 def test_many_touched_seasons_are_joined_instead_of_listed(spark, landing, tmp_path, monkeypatch):
     warehouse = str(tmp_path / "tables")
     ingest(spark, str(landing), warehouse)
@@ -267,6 +291,10 @@ def test_stream_equals_batch_in_any_order(spark, landing, tmp_path):
     land(late, "lineups", "again", *[json.loads(x) for x in (landing / "lineups" / "a.json").read_text().splitlines()])
     run()
     assert content(spark, streamed) == content(spark, batch)
+    # A match that moves to another season takes its facts along, without being delivered again.
+    land(late, "events", "moved", {"events": [event(3, 110, 2, 1, "Blues", season={"id": 92, "year": "2027"})]})
+    run()
+    assert {r for r in facts(spark, streamed, "match_id", "season_id")} == {(1, 90), (3, 92), (4, 90)}
     # A match that finishes later takes up what has been waiting for it.
     land(late, "events", "b", {"events": [event(2, 100)]})
     run()
