@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 from matchstats.functions.metrics import best_flags, calc_value, ratio
 from matchstats.operators.context import competitions_of, with_club
-from matchstats.operators.facts import player_rows
-from matchstats.operators.leaderboards import club_totals, player_names, player_totals
+from matchstats.operators.facts import club_rows, player_rows
+from matchstats.operators.leaderboards import (
+    club_row_totals,
+    club_totals,
+    player_names,
+    player_totals,
+)
 from matchstats.registry import CATEGORIES, RATIOS, club_sources, columns_for, player_sources
 from matchstats.schema import MINUTES
 from matchstats.sources.tables import StatsTables
@@ -125,28 +130,45 @@ def compare(
     return _side_by_side(totals, sides, metrics, CATEGORIES[category], calc_mode)
 
 
-def with_without_split(
+def _club_matches(
     tables: StatsTables,
     ctx: DataFrame,
-    player: int,
     team: int,
-    competitions: Sequence[str] | None = None,
-    seasons: Sequence[str] | None = None,
+    competitions: Sequence[str] | None,
+    seasons: Sequence[str] | None,
 ) -> DataFrame:
-    """The club's matches with a flag: did the player get minutes, for whichever side."""
     matches = with_club(ctx, [team])
-    if competitions or seasons:
-        named = competitions_of(tables.tournaments).filter(_within(competitions, seasons))
-        matches = matches.join(named, ["tournament_id", "season_id"], "left_semi")
+    if not competitions and not seasons:
+        return matches
+    named = competitions_of(tables.tournaments).filter(_within(competitions, seasons))
+    return matches.join(named, ["tournament_id", "season_id"], "left_semi")
+
+
+def _with_played(
+    rows: DataFrame, tables: StatsTables, matches: DataFrame, player: int
+) -> DataFrame:
+    """Flag rows of matches in which the player got minutes, for whichever side."""
     appearances = (
         player_rows(tables, matches, [MINUTES], players=[player])
         .filter(F.col("value") > 0)
         .select("match_id", F.lit(True).alias("played"))
         .distinct()
     )
-    return matches.join(appearances, "match_id", "left").withColumn(
-        "played", F.coalesce("played", F.lit(False))
-    )
+    flagged = rows.join(appearances, "match_id", "left")
+    return flagged.withColumn("played", F.coalesce("played", F.lit(False)))
+
+
+def with_without_split(
+    tables: StatsTables,
+    ctx: DataFrame,
+    player: int,
+    team: int,
+    competitions: Sequence[str] | None = None,
+    seasons: Sequence[str] | None = None,
+) -> DataFrame:
+    """The club's matches with a flag: did the player play."""
+    matches = _club_matches(tables, ctx, team, competitions, seasons)
+    return _with_played(matches, tables, matches, player)
 
 
 def with_without(
@@ -161,9 +183,11 @@ def with_without(
     seasons: Sequence[str] | None = None,
 ) -> DataFrame:
     """The club's numbers in matches with and without the player, from one pass over the facts."""
-    matches = with_without_split(tables, ctx, player, team, competitions, seasons)
+    matches = _club_matches(tables, ctx, team, competitions, seasons)
     sources = club_sources(category, prefer_match=True)
-    totals = club_totals(tables, matches, sources, ["played"], perspective, teams=[team])
+    rows = club_rows(tables, matches, sources, perspective, teams=[team], with_minutes=True)
+    rows = _with_played(rows, tables, matches, player)
+    totals = club_row_totals(rows, tables, sources, ["played"])
     metrics = [s.metric for s in sources]
     sides = {"value_with": F.col("played"), "value_without": ~F.col("played")}
     return _side_by_side(totals, sides, metrics, columns_for(category, metrics), calc_mode)

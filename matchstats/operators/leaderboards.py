@@ -26,7 +26,7 @@ def _carried(by: Sequence[str]) -> list[str]:
     return [*(COMPETITION_IDS if named else []), *[c for c in by if c not in named]]
 
 
-def _totals(
+def entity_totals(
     rows: DataFrame,
     tournaments: DataFrame,
     entity: str,
@@ -95,7 +95,7 @@ def player_totals(
     """Games, minutes and metric sums per player (and group) in one pass over the facts."""
     keys = [s.key for s in sources] + [MINUTES]
     rows = player_rows(tables, ctx, keys, _carried(by), teams, players, venue)
-    totals = _totals(rows, tables.tournaments, "player_id", sources, by)
+    totals = entity_totals(rows, tables.tournaments, "player_id", sources, by)
     return totals.filter(F.col("minutes").isNotNull())
 
 
@@ -183,8 +183,16 @@ def club_totals(
     rows = club_rows(
         tables, ctx, sources, perspective, period, _carried(by), teams, venue,
         with_minutes=bool(sources),
-    ).filter(F.col("team_id").isNotNull())
-    totals = _totals(rows, tables.tournaments, "team_id", sources, by)
+    )
+    return club_row_totals(rows, tables, sources, by)
+
+
+def club_row_totals(
+    rows: DataFrame, tables: StatsTables, sources: Sequence[MetricSource], by: Sequence[str] = ()
+) -> DataFrame:
+    """Totals of club rows; a club's minutes are its games times 90."""
+    known = rows.filter(F.col("team_id").isNotNull())
+    totals = entity_totals(known, tables.tournaments, "team_id", sources, by)
     return totals.withColumn("minutes", F.col("games") * 90)
 
 
