@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from matchstats.operators.context import finished
 from matchstats.plans.ingest import load_events, load_lineups, load_statistics
@@ -15,6 +16,13 @@ from matchstats.sources.tables import read_table
 _PAYLOAD = ["match_id", "statistics", "home", "away", "landed_at"]
 
 
+def _latest(payloads: DataFrame) -> DataFrame:
+    """The latest delivery of each match's lineups and statistics."""
+    deliveries = Window.partitionBy("match_id", F.col("statistics").isNull())
+    newest = F.rank().over(deliveries.orderBy(F.desc_nulls_last("landed_at")))
+    return payloads.withColumn("_delivery", newest).filter("_delivery = 1").drop("_delivery")
+
+
 def load_batch(batch: DataFrame, batch_id: int, warehouse: str) -> None:
     """Load one micro-batch; running it again gives the same tables.
 
@@ -37,7 +45,7 @@ def load_batch(batch: DataFrame, batch_id: int, warehouse: str) -> None:
     with_statistics = payloads.filter(F.col("statistics").isNotNull())
     load_statistics(with_statistics, matches, warehouse)
 
-    still_waiting = payloads.join(matches, "match_id", "left_anti").select(_PAYLOAD)
+    still_waiting = _latest(payloads.join(matches, "match_id", "left_anti")).select(_PAYLOAD)
     still_waiting.write.mode("overwrite").parquet(f"{waiting_folder}/batch={batch_id}")
     storage.remove(spark, f"{waiting_folder}/batch={batch_id - 2}")
     batch.unpersist()

@@ -7,14 +7,17 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from matchstats import open_tables
 from matchstats.operators.compare import with_without
-from matchstats.operators.context import describable
+from matchstats.operators.context import describable, in_competition_season
 from matchstats.operators.facts import club_match_rows
 from matchstats.operators.games import last_games, match_records
 from matchstats.operators.leaderboards import player_leaderboard
 from matchstats.operators.streaks import streaks
 from matchstats.plans.oracle import VIEWS
 from matchstats.sources.orders_binding import bind
+from matchstats.sources.sinks import append_facts, as_table
+from matchstats.sources.storage import write_version
 
 SF = "/root/testdata/sf0.001"
 COUNTS = {
@@ -122,6 +125,18 @@ def test_metric_filter_reaches_the_scan(spark, t, tmp_path):
     assert not any("team_id" in line for line in scans if "value" in line)
 
 
+def test_a_season_reads_its_partition_only(spark, t, tmp_path):
+    root = str(tmp_path)
+    seasons = t.matches.select("match_id", "season_id")
+    append_facts(t.player_stats.join(seasons, "match_id"), root, "player_stats_log")
+    write_version(as_table(t.tournaments, "tournaments"), f"{root}/tournaments")
+    write_version(as_table(t.matches, "matches"), f"{root}/matches")
+    stored = open_tables(spark, root)
+    ctx = in_competition_season(stored.matches, stored.tournaments, ["ASIA"], ["1997"])
+    text = plan(player_leaderboard(stored, ctx, "finishing"))
+    assert "dynamicpruning" in text
+
+
 def test_top_and_last_games_are_limited_early(t):
     assert "TakeOrderedAndProject" in plan(match_records("player", t, t.matches, "finishing", "goals"))
     assert "WindowGroupLimit" in plan(last_games("player", t, t.matches, "finishing", 10))

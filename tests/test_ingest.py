@@ -1,6 +1,7 @@
 """Landed JSON into tables: golden rows, repeated and incremental loads, streaming."""
 
 import json
+import time
 from datetime import datetime
 
 import pytest
@@ -301,6 +302,21 @@ def test_stream_equals_batch_in_any_order(spark, landing, tmp_path):
     assert (2, 7, 1.0) in facts(spark, streamed, "match_id", "player_id", "value")
 
 
+def test_only_the_latest_delivery_waits(spark, tmp_path):
+    late, tables = tmp_path / "late", tmp_path / "tables"
+    for file, minutes in (("a", 10), ("b", 20), ("c", 30)):
+        land(late, "lineups", file, lineups(2, [listed(7, "Ana", minutesPlayed=minutes)], []))
+        if file == "a":
+            land(late, "statistics", file, statistics(2, ITEMS[0]))
+        stream_ingest(spark, str(late), str(tables), str(tmp_path / "checkpoint")).awaitTermination()
+        time.sleep(1.1)
+    newest = max((tables / "_waiting").iterdir(), key=lambda p: int(p.name.removeprefix("batch=")))
+    assert spark.read.parquet(str(newest)).count() == 2
+    land(late, "events", "a", {"events": [event(2, 100)]})
+    stream_ingest(spark, str(late), str(tables), str(tmp_path / "checkpoint")).awaitTermination()
+    assert facts(spark, str(tables), "match_id", "value") == [(2, 30.0)]
+
+
 def test_a_repeated_micro_batch_changes_nothing(spark, landing, tmp_path):
     from matchstats.streaming.ingest import load_batch
 
