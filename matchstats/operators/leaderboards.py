@@ -15,8 +15,6 @@ from matchstats.schema import MINUTES
 from matchstats.sources.tables import StatsTables
 
 UNKNOWN_CLUB = "Unknown"
-
-
 COMPETITION_IDS = ["tournament_id", "season_id"]
 
 

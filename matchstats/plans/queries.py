@@ -553,11 +553,12 @@ def _(t: StatsTables) -> DataFrame:
 def _(t: StatsTables) -> DataFrame:
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     seconds = F.timestamp_diff("SECOND", epoch, F.col("match_date")).cast("string")
+    day = F.date_format("match_date", "yyyy-MM-dd")
     text = (
         F.when(F.col("status_code") == 100, seconds)
         .when(F.col("round_id") == 27, "unknown")
-        .when(F.col("round_id") == 26, F.concat(F.date_format("match_date", "yyyy-MM-dd"), F.lit("T23:30:00-03:00")))
-        .otherwise(F.date_format("match_date", "yyyy-MM-dd"))
+        .when(F.col("round_id") == 26, F.concat(day, F.lit("T23:30:00-03:00")))
+        .otherwise(day)
     )
     return t.matches.select("match_id", match_date(text).alias("match_date"))
 
@@ -569,7 +570,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(F.col("rf") == "R", percent)
         .when(F.col("rf") == "A", F.concat(F.col("ln").cast("string"), F.lit("/7")))
-        .when(F.col("ln") == 1, F.concat(F.col("ln").cast("string"), F.lit("/7 ("), percent, F.lit(")")))
+        .when(F.col("ln") == 1, F.concat(F.lit("1/7 ("), percent, F.lit(")")))
         .when(F.col("ln") > 2, F.col("q").cast("string"))
     )
     return lines.select(
@@ -580,12 +581,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("metric_label_from_key")
 def _(t: StatsTables) -> DataFrame:
     keys = t.player_stats.select("metric_key").union(t.match_stats.select("metric_key")).distinct()
-    variants = keys.select(
-        F.explode(
-            F.array("metric_key", F.concat("metric_key", F.lit("OnTargetX")), F.concat("metric_key", F.lit("2ndHalf")))
-        ).alias("metric_key")
-    )
-    return with_metric_name(variants)
+    endings = F.array(F.lit(""), F.lit("OnTargetX"), F.lit("2ndHalf"))
+    variants = keys.select("metric_key", F.explode(endings).alias("ending"))
+    return with_metric_name(variants.select(F.concat("metric_key", "ending").alias("metric_key")))
 
 
 # Leaderboards
@@ -602,24 +600,34 @@ def _club_board(name: str, category: str, **options) -> None:
 PLAYER_BOARDS = {
     "leaderboard_player_total": ("finishing", {}),
     "leaderboard_player_cumulative": ("passing", {}),
-    "leaderboard_player_by_competition_season": ("finishing", {"group_mode": "by_competition_season"}),
+    "leaderboard_player_by_competition_season": (
+        "finishing", {"group_mode": "by_competition_season"},
+    ),
     "leaderboard_player_by_season": ("duels", {"group_mode": "by_season", "venue": "home"}),
     "leaderboard_player_by_competition": ("passing", {"group_mode": "by_competition"}),
     "leaderboard_player_per_game": ("finishing", {"calc_mode": "per_game"}),
     "leaderboard_player_per_90": ("finishing", {"calc_mode": "per_90", "venue": "away"}),
     "leaderboard_player_min_games": ("duels", {"min_games": 20, "min_minutes": 1500}),
-    "leaderboard_player_of_clubs": ("finishing", {"teams": [CLUB_A, CLUB_B], "positions": ["D", "F"]}),
+    "leaderboard_player_of_clubs": (
+        "finishing", {"teams": [CLUB_A, CLUB_B], "positions": ["D", "F"]},
+    ),
 }
 CLUB_BOARDS = {
     "leaderboard_club_total": ("finishing", {}),
     "leaderboard_club_cumulative": ("passing", {"perspective": "against"}),
-    "leaderboard_club_by_competition_season": ("finishing", {"group_mode": "by_competition_season", "perspective": "against"}),
+    "leaderboard_club_by_competition_season": (
+        "finishing", {"group_mode": "by_competition_season", "perspective": "against"},
+    ),
     "leaderboard_club_by_season": ("passing", {"group_mode": "by_season", "venue": "away"}),
     "leaderboard_club_by_competition": ("duels", {"group_mode": "by_competition"}),
     "leaderboard_club_per_game": ("finishing", {"calc_mode": "per_game"}),
-    "leaderboard_club_per_90": ("finishing", {"calc_mode": "per_90", "perspective": "against", "venue": "home"}),
+    "leaderboard_club_per_90": (
+        "finishing", {"calc_mode": "per_90", "perspective": "against", "venue": "home"},
+    ),
     "club_first_half": ("passing", {"period": "1ST"}),
-    "club_second_half_against": ("finishing", {"period": "2ND", "perspective": "against", "teams": [CLUB_A, CLUB_B]}),
+    "club_second_half_against": (
+        "finishing", {"period": "2ND", "perspective": "against", "teams": [CLUB_A, CLUB_B]},
+    ),
 }
 for _name, (_category, _options) in PLAYER_BOARDS.items():
     _player_board(_name, _category, **_options)

@@ -6,7 +6,7 @@ fact is one pass over the line items: the metric rows of a line are generated si
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.sources.tables import StatsTables
@@ -68,7 +68,7 @@ def bound_lines(spark: SparkSession, sf_dir: str, matches: DataFrame) -> DataFra
     )
 
 
-def _metric_rows(rows: dict[str, tuple]) -> "F.Column":
+def _metric_rows(rows: dict[str, tuple]) -> Column:
     """Array of (metric_key, value) with NULL entries where a metric does not apply."""
     return F.array(
         *[
@@ -222,9 +222,11 @@ def statistics_payloads(match_stats: DataFrame) -> DataFrame:
     """A statistics payload per match fact; percentages for one metric, totals for another."""
     key, home, away = F.col("metric_key"), F.col("home_value"), F.col("away_value")
     is_percent = key == "accuratePasses"
-    text = lambda v: F.when(is_percent, F.concat(v.cast("int").cast("string"), F.lit("%"))).otherwise(
-        v.cast("string")
-    )
+
+    def text(value: Column) -> Column:
+        percent = F.concat(value.cast("int").cast("string"), F.lit("%"))
+        return F.when(is_percent, percent).otherwise(value.cast("string"))
+
     item = F.struct(
         key.alias("key"),
         text(home).alias("homeValue"),
@@ -245,7 +247,7 @@ def event_payloads(matches: DataFrame, tournaments: DataFrame) -> DataFrame:
         F.col("unique_tournament_id").alias("tournament_id"), "season_id", "name", "season_year"
     )
 
-    def team(side: str):
+    def team(side: str) -> Column:
         return F.struct(
             F.col(f"{side}_team_id").alias("id"),
             F.col(f"{side}_team_name").alias("name"),
