@@ -56,7 +56,7 @@ def match_title(home: Column, away: Column) -> Column:
 
 
 def day_text(timestamp: Column) -> Column:
-    return F.date_format(timestamp, "dd/MM/yyyy")
+    return F.date_format(F.to_date(timestamp), "dd/MM/yyyy")
 
 
 def split_camel_case(key: Column) -> Column:

@@ -67,7 +67,7 @@ def tidy(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.IntegerType):
             value = value.cast("long")
         elif isinstance(field.dataType, T.TimestampNTZType):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+            value = value.cast("string")
         elif isinstance(field.dataType, T.DateType):
             value = F.date_format(value, "yyyy-MM-dd")
         return value.alias(field.name)
@@ -551,8 +551,7 @@ def _(t: StatsTables) -> DataFrame:
 
 @query("normalize_match_date")
 def _(t: StatsTables) -> DataFrame:
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    seconds = F.timestamp_diff("SECOND", epoch, F.col("match_date")).cast("string")
+    seconds = B.epoch_seconds().cast("string")
     day = F.date_format("match_date", "yyyy-MM-dd")
     text = (
         F.when(F.col("status_code") == 100, seconds)

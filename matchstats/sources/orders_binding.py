@@ -240,9 +240,14 @@ def statistics_payloads(match_stats: DataFrame) -> DataFrame:
     return match_stats.select(F.to_json(body).alias("body"))
 
 
+def epoch_seconds() -> Column:
+    """Seconds of ``match_date`` as UTC wall-clock time, whatever the session's time zone."""
+    since = "match_date - TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+    return F.expr(f"CAST(CAST({since} AS INTERVAL SECOND) AS BIGINT)")
+
+
 def event_payloads(matches: DataFrame, tournaments: DataFrame) -> DataFrame:
     """An events payload per match."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     names = tournaments.select(
         F.col("unique_tournament_id").alias("tournament_id"), "season_id", "name", "season_year"
     )
@@ -258,7 +263,7 @@ def event_payloads(matches: DataFrame, tournaments: DataFrame) -> DataFrame:
     unique = F.struct(F.col("tournament_id").alias("id"), F.col("name").alias("name"))
     event = F.struct(
         F.col("match_id").alias("id"),
-        F.timestamp_diff("SECOND", epoch, F.col("match_date")).alias("startTimestamp"),
+        epoch_seconds().alias("startTimestamp"),
         F.struct(unique.alias("uniqueTournament")).alias("tournament"),
         F.struct(F.col("season_id").alias("id"), F.col("season_year").alias("year")).alias("season"),
         F.struct(F.col("round_id").alias("round"), F.col("round_name").alias("name")).alias("roundInfo"),

@@ -61,6 +61,16 @@ def test_query_equals_sql(spark, con, name):
     assert oracle_check.difference(spark, con, name, SF) is None
 
 
+@pytest.mark.parametrize("name", ["ctx_date_range", "last_n_club", "ingest_matches", "normalize_match_date", "streaks_player"])
+def test_results_do_not_depend_on_the_session_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")  # skips midnights
+    try:
+        assert oracle_check.difference(spark, con, name, SF) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
