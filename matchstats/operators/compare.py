@@ -30,7 +30,10 @@ def _side_by_side(
     shown: Sequence[str],
     calc_mode: str,
 ) -> DataFrame:
-    """Sum each side's rows and list the metrics one below the other with better-of-two flags."""
+    """Sum each side's rows and list the metrics one below the other with better-of-two flags.
+
+    The lines come from one row, so they are in display order without a sort.
+    """
     first, second = sides
     summed = [*metrics, "games", "minutes"]
     one_row = totals.agg(
@@ -57,31 +60,26 @@ def _side_by_side(
 
     lines = [
         F.struct(
-            F.lit(place).alias("place"),
             F.lit(name).alias("metric"),
             shown_value(first, name).alias(first),
             shown_value(second, name).alias(second),
         )
-        for place, name in enumerate(shown)
+        for name in shown
     ]
     flags = best_flags(F.col(first), F.col(second), F.col("metric"))
-    return (
-        one_row.select(
-            F.inline(F.array(*lines)),
-            *[
-                total(side, c).cast("long").alias(f"{c}_{side.removeprefix('value_')}")
-                for side in sides
-                for c in ("games", "minutes")
-            ],
-        )
-        .withColumns(
-            {
-                f"{side.removeprefix('value_')}_best": flag
-                for side, flag in zip(sides, flags, strict=True)
-            }
-        )
-        .orderBy("place")
-        .drop("place")
+    listed = one_row.select(
+        F.inline(F.array(*lines)),
+        *[
+            total(side, c).cast("long").alias(f"{c}_{side.removeprefix('value_')}")
+            for side in sides
+            for c in ("games", "minutes")
+        ],
+    )
+    return listed.withColumns(
+        {
+            f"{side.removeprefix('value_')}_best": flag
+            for side, flag in zip(sides, flags, strict=True)
+        }
     )
 
 

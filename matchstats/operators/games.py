@@ -150,7 +150,8 @@ def match_records(
     rank_by = F.round(metric, 6)
     ranking = [rank_by.asc() if order == "lowest" else rank_by.desc(), "match_id", *_IDENTITY[target]]
     top = rows.orderBy(*ranking).limit(limit)
-    return described(target, tables, games, top).orderBy(*ranking)
+    # The second limit drops nothing: with it the few rows are merged in order, not range-sorted.
+    return described(target, tables, games, top).orderBy(*ranking).limit(limit)
 
 
 def last_games(

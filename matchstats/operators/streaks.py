@@ -164,6 +164,8 @@ def streaks(
         named = summary.join(clubs, "team_id", "left").withColumn(
             "club", F.coalesce("club", F.lit(UNKNOWN_CLUB))
         )
-    return named.select(
+    board = named.select(
         entity, *labels, "games", "hits", "success_pct", "active_streak", "best_streak"
     ).orderBy(*ranking)
+    # The second limit drops nothing: with it the few rows are merged in order, not range-sorted.
+    return board if limit is None else board.limit(limit)
