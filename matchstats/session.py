@@ -25,9 +25,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for written intermediates, in the cluster's shared folder if it names one.
+    """A new folder for written intermediates, in the cluster's shared folder.
 
-    The machine-local fallback is used only where the session names none (tests, local mode).
+    Only a local master, where driver and executors share their disk, may do without
+    ``spark.checkpoint.dir``.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/matchstats-{name}-{uuid4().hex}"
