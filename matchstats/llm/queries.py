@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from matchstats.llm import secrets
+from matchstats.llm import decontaminate, secrets, simhash
 
-_MODULES = (secrets,)
+_MODULES = (decontaminate, simhash, secrets)
 
 
 def registered() -> dict:
