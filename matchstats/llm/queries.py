@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from matchstats.llm import decontaminate, secrets, simhash
+from matchstats.llm import decontaminate, secrets, simhash, token_files
 
-_MODULES = (decontaminate, simhash, secrets)
+_MODULES = (token_files, decontaminate, simhash, secrets)
 
 
 def registered() -> dict:
