@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from matchstats.llm import decontaminate, secrets, simhash, token_files
+from matchstats.llm import decontaminate, secrets, sharding, simhash, token_files
 
-_MODULES = (token_files, decontaminate, simhash, secrets)
+_MODULES = (token_files, sharding, decontaminate, simhash, secrets)
 
 
 def registered() -> dict:
