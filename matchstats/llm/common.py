@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from matchstats.session import scratch_folder
 
@@ -32,12 +31,6 @@ def text_key(text: Column | str) -> Column:
     return F.unhex(F.md5(F.col(text) if isinstance(text, str) else text))
 
 
-def held_out(doc_id: Column | str, modulus: int, remainder: int) -> Column:
-    """Whether crc32 of the id's decimal text leaves the remainder; a NULL id never does."""
-    rest = F.crc32(F.col(doc_id).cast("string")) % modulus if isinstance(doc_id, str) else doc_id
-    return F.coalesce(rest == remainder, F.lit(False))
-
-
-def with_fields(schema: T.StructType, *fields: tuple[str, str]) -> T.StructType:
-    """A schema and further columns."""
-    return T.StructType([*schema.fields, *T._parse_datatype_string(", ".join(map(" ".join, fields)))])
+def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
+    """Whether crc32 of the id's decimal text leaves the remainder; that of a NULL id never does."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(False))

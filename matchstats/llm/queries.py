@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from matchstats.llm import decontaminate, secrets, sharding, simhash, token_files
+from matchstats.llm import decontaminate, embeddings, language, secrets, sharding, simhash, token_files
 
-_MODULES = (token_files, sharding, decontaminate, simhash, secrets)
+_MODULES = (token_files, sharding, language, embeddings, decontaminate, simhash, secrets)
 
 
 def registered() -> dict:
