@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Callable
+from functools import cache, wraps
+from pathlib import Path
+
+import matchstats
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +41,25 @@ def text_key(text: Column | str) -> Column:
 def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id's decimal text leaves the remainder; that of a NULL id never does."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(False))
+
+
+@cache
+def _sent(application: str) -> str:
+    """An archive of the package, which Spark's file server hands from the driver to executors."""
+    package = Path(matchstats.__file__).parent
+    path = Path(tempfile.mkdtemp()) / "matchstats.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    return str(path)
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The query, with the package sent to the executors first, which need not have it installed."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *rest: object) -> DataFrame:
+        spark.sparkContext.addPyFile(_sent(spark.sparkContext.applicationId))
+        return query(spark, *rest)
+
+    return run

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from matchstats.llm import decontaminate, embeddings, language, secrets, sharding, simhash, token_files
+from matchstats.llm.common import shipped
 
 _MODULES = (token_files, sharding, language, embeddings, decontaminate, simhash, secrets)
 
 
 def registered() -> dict:
-    return {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+    return {name: shipped(query) for module in _MODULES for name, query in module.QUERIES.items()}
 
 
 def registered_sql() -> dict:
