@@ -85,6 +85,11 @@ class PieceEncoder:
         self._learn()
         return places
 
+    def counts(self, pieces: list[str]) -> np.ndarray:
+        """The number of ids of each pre-token."""
+        places = self.pieces(pieces)
+        return self.sizes[places]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and the number of ids of each."""
         cut = [self.split(t) for t in texts]
