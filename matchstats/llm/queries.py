@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from matchstats.llm import decontaminate, embeddings, language, secrets, sharding, simhash, token_counts, token_files
+from matchstats.llm import decontaminate, embeddings, language, pieces, secrets, sharding, simhash, token_counts, token_files
 from matchstats.llm.common import shipped
 
-_MODULES = (token_files, sharding, language, token_counts, embeddings, decontaminate, simhash, secrets)
+_MODULES = (token_files, sharding, language, token_counts, embeddings, decontaminate, simhash, secrets, pieces)
 
 
 def registered() -> dict:
