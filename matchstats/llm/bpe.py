@@ -1,18 +1,25 @@
-"""Encoding texts by pre-tokens: each distinct pre-token is encoded once and remembered."""
+"""Encoding texts in parts: each distinct pre-token, or word with its blank, is encoded once and remembered."""
 
 from __future__ import annotations
 
+import re
 from functools import cache
 from itertools import islice
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
+_BLANK = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_CROWDED = f"{_BLANK}{{3}}|  "
+_BEHIND_BLANK = re.compile(r" \S+").fullmatch
+
 BYTE_BPE = "byte_bpe_50k.json"
-#: Pre-tokens remembered at a time: a process holds about 130 MB of them.
-REMEMBERED = 600_000
+#: Pre-tokens remembered at a time: a process holds about 200 MB of them.
+REMEMBERED = 1_000_000
 
 
 class _Places(dict):
@@ -41,24 +48,21 @@ class PieceEncoder:
         self.known = self.used = 0
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places of pieces in the list, their numbers of ids, and the ids one after the other.  Words
-        that begin with a blank are encoded as one text: the library parts them in the same places."""
-        words = [n for n, p in enumerate(pieces) if p[0] == " " and p[1:].isalpha()]
-        whole = self.tokenizer.encode("".join([pieces[n] for n in words]), add_special_tokens=False)
-        cuts = np.flatnonzero(np.diff(np.array(whole.word_ids, np.int64)))
-        if len(cuts) + 1 != len(words):
-            words, sizes, ids = [], np.zeros(0, np.int64), []
-        else:
-            ids = whole.ids
-            sizes = np.diff(np.concatenate([[-1], cuts, [len(ids) - 1]]))
-        apart = set(words)
+        """Places of pieces in the list, their numbers of ids, and the ids one after the other.  Pieces
+        of a blank and other characters are encoded as one text, which the library parts there too."""
+        joined = [n for n, p in enumerate(pieces) if _BEHIND_BLANK(p)]
+        whole = self.tokenizer.encode("".join([pieces[n] for n in joined]), add_special_tokens=False)
+        starts = np.fromiter((a for a, _ in whole.offsets), np.int64, len(whole.ids))
+        ends = np.cumsum([len(pieces[n]) for n in joined])
+        sizes = np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
+        apart = set(joined)
         others = [n for n in range(len(pieces)) if n not in apart]
         rest = self.tokenizer.encode_batch_fast([pieces[n] for n in others], add_special_tokens=False)
         more = [e.ids for e in rest]
         return (
-            np.array(words + others, np.int64),
+            np.array(joined + others, np.int64),
             np.concatenate([sizes, [len(x) for x in more]]).astype(np.int64),
-            np.array(ids + [x for part in more for x in part], np.uint32),
+            np.array(whole.ids + [x for part in more for x in part], np.uint32),
         )
 
     def _learn(self) -> None:
@@ -90,16 +94,35 @@ class PieceEncoder:
         places = self.pieces(pieces)
         return self.sizes[places]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, one after the other, and the number of ids of each."""
-        cut = [self.split(t) for t in texts]
-        counts = np.array([len(c) for c in cut], np.int64)
-        places = self.pieces([p for c in cut for p in c])
-        sizes, starts = self.sizes[places], self.starts[places]
-        ends = np.cumsum(sizes)
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (none NULL), one after the other, and the number of ids of each.
+
+        A pre-token has a blank in front at most, or is white space alone, so a text parts before
+        every blank; but not within white space of three or two blanks, or that ends the text.
+        Texts with such are parted into pre-tokens.
+        """
+        crowded = pc.or_(pc.match_substring_regex(texts, _CROWDED), pc.ends_with(texts, " "))
+        parted = pc.split_pattern(pc.if_else(crowded, "", texts), " ")
+        sizes = np.diff(parted.offsets.to_numpy())
+        coded = parted.flatten().dictionary_encode()
+        words = [" " + w for w in coded.dictionary.to_pylist()]
+        firsts = pc.list_element(parted, 0).to_pylist()
+        apart = np.flatnonzero(crowded.to_numpy(zero_copy_only=False))
+        cut = [self.split(texts[n].as_py()) for n in apart.tolist()]
+        known = self.pieces(words + firsts + [p for c in cut for p in c])
+        places = known[: len(words)][coded.indices.to_numpy()]
+        places[np.cumsum(sizes) - sizes] = known[len(words) : len(words) + len(firsts)]
+        if len(apart):
+            # a crowded text has one place so far, that of the empty piece
+            counts = np.array([len(c) for c in cut], np.int64)
+            at = np.repeat((np.cumsum(sizes) - sizes)[apart] + 1, counts)
+            places = np.insert(places, at, known[len(words) + len(firsts) :])
+            sizes[apart] += counts
+        lengths, starts = self.sizes[places], self.starts[places]
+        ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.arange(total) + np.repeat(starts - ends + sizes, sizes)]
-        upto = np.concatenate([[0], ends])[np.cumsum(counts)]
+        ids = self.ids[np.arange(total) + np.repeat(starts - ends + lengths, lengths)]
+        upto = np.concatenate([[0], ends])[np.cumsum(sizes)]
         return ids, np.diff(np.concatenate([[0], upto]))
 
 

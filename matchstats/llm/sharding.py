@@ -157,9 +157,10 @@ def _accumulated(groups: DataFrame) -> DataFrame:
         .mapInArrow(run, "part int, key binary, bytes long, sums long")
     )
     stored = saved(ordered, "ordered")
-    totals = stored.groupBy("part").agg(F.sum("bytes").alias("_bytes"))  # a row for each task
+    # two numbers for each task, which are broadcast
+    totals = stored.groupBy("part").agg(F.sum("bytes").alias("_bytes"))
     before = totals.selectExpr("part", "coalesce(sum(_bytes) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before")
-    return stored.join(before, "part").select("key", "bytes", (F.col("_before") + F.col("sums")).alias("upto"))
+    return stored.join(F.broadcast(before), "part").select("key", "bytes", (F.col("_before") + F.col("sums")).alias("upto"))
 
 
 def group_shards(groups: DataFrame, shards: int = SHARDS, known: int = KNOWN) -> DataFrame:
@@ -224,14 +225,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, known: int = KNOWN) -> DataFram
         )
     )
     stored = saved(dealt, "dealt")
-    # a row for each task and shard that meet
+    # a row for each task and, rows being dealt out in order, for each shard besides: broadcast
     runs = stored.groupBy("shard", "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_rows"))
     runs = runs.selectExpr(
         "shard", "_part",
         "_first - coalesce(sum(_rows) OVER (PARTITION BY shard ORDER BY _part "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _less",
     )
-    return stored.join(runs, ["shard", "_part"]).select(
+    return stored.join(F.broadcast(runs), ["shard", "_part"]).select(
         ID, "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("_row") - F.col("_less")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )

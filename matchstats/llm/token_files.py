@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,10 @@ BLOCK = 128
 #: Of a block's differences so many fit the packed width.
 PERCENTILE = 0.98
 END_ID = 0
-#: Ids after which a segment ends with the document that reaches them.
+#: Ids after which a segment ends with the document that reaches them, and bytes of the texts that
+#: are encoded together, at least one.
 SEGMENT = 1 << 18
+TOGETHER = 1 << 21
 
 _HEAD = 16
 
@@ -115,6 +118,17 @@ def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return ids[: total - first * BLOCK] if last == blocks else ids
 
 
+def slices(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
+    """Runs of texts with about ``TOGETHER`` bytes."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOGETHER)) + 1
+        upto = min(upto, len(texts))
+        yield at, upto
+        at = upto
+
+
 _SEGMENTS = "part int, number int, start long, n_ids long, doc_ids array<long>, lengths array<int>, data binary"
 
 
@@ -138,38 +152,20 @@ def write_ids(docs: DataFrame, folder: str, parts: int | None = None, path: str
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, start = TaskContext.get().partitionId(), 0, 0
-        held_ids: list[np.ndarray] = []
-        lengths: list[int] = []
-        keys: list[int | None] = []
-
-        def segment() -> pa.RecordBatch:
-            nonlocal number, start, held_ids, lengths, keys
-            ids = np.concatenate(held_ids)
-            row = [[part], [number], [start], [len(ids)], [keys], [lengths], [pack(ids)]]
-            number, start = number + 1, start + len(ids)
-            held_ids, lengths, keys = [], [], []
-            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
-
         encode = encoder(path).encode
         for batch in batches:
-            batch_keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            while at < len(texts):
-                upto, chars = at, 0
-                while upto < len(texts) and chars < SEGMENT:
-                    chars += len(texts[upto])
-                    upto += 1
-                ids, sizes = encode(texts[at:upto])
-                ends = np.cumsum(sizes)
-                ids = np.insert(ids, ends, end_id)
-                held_ids.append(ids.astype(np.uint32))
-                lengths += (sizes + 1).tolist()
-                keys += batch_keys[at:upto]
-                at = upto
-                if sum(map(len, held_ids)) >= SEGMENT:
-                    yield segment()
-        if keys:
-            yield segment()
+            for at, upto in slices(batch.column(1)):
+                keys = batch.column(0).slice(at, upto - at)
+                ids, sizes = encode(batch.column(1).slice(at, upto - at))
+                ids = np.insert(ids, np.cumsum(sizes), end_id).astype(np.uint32)
+                lengths = sizes + 1
+                ends = np.cumsum(lengths)
+                cuts = np.flatnonzero(np.diff((ends - lengths) // SEGMENT)) + 1
+                for a, b in zip([0, *cuts], [*cuts, upto - at], strict=True):
+                    held = ids[ends[a] - lengths[a] : ends[b - 1]]
+                    row = [[part], [number], [start], [len(held)], [keys.slice(a, b - a).to_pylist()], [lengths[a:b]], [pack(held)]]
+                    number, start = number + 1, start + len(held)
+                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
     schema = pa.schema(
         [("part", pa.int32()), ("number", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()),
@@ -179,12 +175,12 @@ def write_ids(docs: DataFrame, folder: str, parts: int | None = None, path: str
 
 
 def read_segments(spark: SparkSession, folder: str) -> DataFrame:
-    """Segments with ``first``: the ids of all documents before them.  The totals of the parts, as many
-    as tasks have written, are summed up in order."""
+    """Segments with ``first``: the ids of all documents before them.  The totals of the parts are summed
+    up in order; they are as many as tasks have written, two numbers each, and so are broadcast."""
     stored = spark.read.schema(_SEGMENTS).parquet(folder)
     totals = stored.groupBy("part").agg(F.sum("n_ids").alias("_ids"))
     before = totals.selectExpr("part", "coalesce(sum(_ids) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before")
-    return stored.join(before, "part").withColumn("first", F.col("_before") + F.col("start")).drop("_before")
+    return stored.join(F.broadcast(before), "part").withColumn("first", F.col("_before") + F.col("start")).drop("_before")
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
