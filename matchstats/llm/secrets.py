@@ -233,7 +233,7 @@ def listed(spans: Column) -> Column:
 def redact(spans: str, text: str = TEXT) -> Column:
     """The text with each secret replaced by its kind in angle brackets; one that begins inside an
     earlier one goes with it.  NULL stays NULL."""
-    return F.expr(
+    cleaned = F.expr(
         f"""aggregate({spans}, named_struct('at', 0L, 'out', CAST(array() AS ARRAY<STRING>)),
             (done, x) -> if(x.start < done.at,
                 named_struct('at', greatest(done.at, x.end), 'out', done.out),
@@ -241,6 +241,7 @@ def redact(spans: str, text: str = TEXT) -> Column:
                     substring({text}, int(done.at + 1), int(x.start - done.at)), concat('<', x.kind, '>'))))),
             done -> array_join(concat(done.out, array(substring({text}, int(done.at + 1)))), ''))"""
     )
+    return F.when(F.col(text).isNotNull(), cleaned)
 
 
 def _of_kinds(spans: str, *kinds: str) -> Column:
@@ -273,7 +274,8 @@ def _span_sql(rule: Rule, rank: int) -> str:
 
 
 def _secrets_sql() -> str:
-    all_spans = ", ".join(f"{_span_sql(r, k)} AS s{k}" for k, r in enumerate(RULES))
+    given = (BASE_RULES[0], Rule("access", "AKIA[A-Z0-9]+", 0, 20), Rule("hex", "[0-9a-f]+", 0, 24), *ADDED_RULES)
+    all_spans = ", ".join(f"{_span_sql(r, k)} AS s{k}" for k, r in enumerate(given))
     text_of = "list_aggregate(list_transform({}, lambda s: s.kind || ':' || s.start || ':' || (s.start + s.size)), 'string_agg', ',')"
     ordered = "list_sort({})"
     base = ordered.format(f"list_filter(spans, lambda s: s.rank < {len(BASE_RULES)})")
