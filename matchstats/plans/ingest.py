@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from matchstats.operators.context import finished
 from matchstats.schema import FACTS
+from matchstats.sources import landed
 from matchstats.sources import landing as L
 from matchstats.sources.sinks import (
     move_facts,
     not_loaded,
-    replace_by_match,
     replace_facts,
+    stored_near,
     write_dimension,
 )
 from matchstats.sources.tables import read_table
@@ -55,9 +56,12 @@ def load_events(events: DataFrame, warehouse: str) -> None:
 def load_lineups(lineups: DataFrame, matches: DataFrame, warehouse: str) -> None:
     """Players and player facts of the given matches, as far as their lineups have landed."""
     fetched = delivered(lineups, matches).persist()
-    listed = L.flatten_lineups(latest(lineups, fetched))
-    write_dimension(L.lineup_players(listed), warehouse, "players")
-    replace_facts(L.lineup_stats(listed), fetched, warehouse, "player_stats_log")
+    if not fetched.isEmpty():
+        # flattened once, for both tables
+        listed = L.flatten_lineups(latest(lineups, fetched)).persist()
+        write_dimension(L.lineup_players(listed), warehouse, "players")
+        replace_facts(L.lineup_stats(listed), fetched, warehouse, "player_stats_log")
+        listed.unpersist()
     fetched.unpersist()
 
 
@@ -69,37 +73,48 @@ def load_statistics(statistics: DataFrame, matches: DataFrame, warehouse: str) -
     fetched.unpersist()
 
 
-def ingest(spark: SparkSession, landing: str, warehouse: str, force: bool = False) -> None:
-    """Load everything that has landed: dimensions always, facts of finished matches that are not
-    loaded yet, or of all finished matches with ``force``.
+def ingest(
+    spark: SparkSession, landing: str, warehouse: str, force: bool = False, on_broken: str = "quarantine"
+) -> dict[str, int]:
+    """Load what has landed since the last load: dimensions always, facts of finished matches that are
+    not loaded yet; with ``force``, of all finished matches ever landed.
 
-    A match with lineups but no statistics counts as not loaded and is read again; replacing its
-    rows instead of appending them keeps its sums right.  Statistics are written last, so a match
-    counts as loaded only after its lineups are in.
+    A match is looked at when an event, lineups or statistics of it have newly landed.  One with
+    lineups but no statistics counts as not loaded and is read again then; replacing its rows
+    instead of appending them keeps its sums right.  Of a match that was delivered more than once
+    the latest delivery counts, as a whole.  Statistics are written last, so a match counts as
+    loaded only after its lineups are in.
+
+    Returns how many lines of each kind have been no payload so far (``landed.quarantine`` has them);
+    with ``on_broken="fail"`` such lines of new files raise before any table is written.
     """
-    events = L.flatten_events(L.read_payloads(spark, landing, "events")).persist()
+    last = landed.absorb(spark, landing, warehouse)
+    before = 0 if force else landed.done(spark, warehouse)
+    broken = {row["kind"]: row["count"] for row in landed.quarantine(spark, warehouse).groupBy("kind").count().collect()}
+    if broken and on_broken == "fail":
+        raise ValueError(f"lines that are no payload: {broken}")
+    if last <= before:
+        return broken
+    events = L.flatten_events(landed.payloads(spark, warehouse, "events", before)).persist()
     load_events(events, warehouse)
 
-    landed = events.select(F.col("event.id").alias("match_id"))
+    new = [events.select(F.col("event.id").alias("match_id"))]
+    new += [landed.payloads(spark, warehouse, kind, before).select("match_id") for kind in ("lineups", "statistics")]
+    touched = new[0].union(new[1]).union(new[2])
     known = finished(read_table(spark, warehouse, "matches"))
-    wanted = known.join(landed, "match_id", "left_semi")
+    wanted = known.join(touched, "match_id", "left_semi").persist()
     if not force:
-        wanted = not_loaded(wanted, read_table(spark, warehouse, "match_stats_log"))
-    load_lineups(L.read_payloads(spark, landing, "lineups"), wanted, warehouse)
-    load_statistics(L.read_payloads(spark, landing, "statistics"), wanted, warehouse)
+        stored, _ = stored_near(wanted, warehouse, "match_stats_log")
+        wanted = not_loaded(wanted, stored).persist()
+    load_lineups(landed.payloads(spark, warehouse, "lineups"), wanted, warehouse)
+    load_statistics(landed.payloads(spark, warehouse, "statistics"), wanted, warehouse)
+    landed.mark_done(spark, warehouse, last)
     events.unpersist()
+    return broken
 
 
 def reprocess(spark: SparkSession, landing: str, warehouse: str) -> None:
     """Rebuild the player facts of all finished matches with the club of the player's side."""
+    landed.absorb(spark, landing, warehouse)
     matches = finished(read_table(spark, warehouse, "matches"))
-    load_lineups(L.read_payloads(spark, landing, "lineups"), matches, warehouse)
-
-
-def rebuilt_player_stats(
-    player_stats: DataFrame, lineups: DataFrame, matches: DataFrame
-) -> DataFrame:
-    """The same repair as a DataFrame: finished matches with lineups get rebuilt rows."""
-    listed = L.flatten_lineups(L.with_match(lineups, finished(matches)))
-    rebuilt = L.lineup_stats(listed).select(player_stats.columns)
-    return replace_by_match(player_stats, rebuilt, listed)
+    load_lineups(landed.payloads(spark, warehouse, "lineups"), matches, warehouse)

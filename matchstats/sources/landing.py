@@ -6,6 +6,8 @@ parsed strings share it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,22 +65,34 @@ ANY_PAYLOAD = "tournament_id BIGINT, season_id BIGINT, match_id BIGINT, " + ", "
 _LANDED_AT = "_metadata.file_modification_time AS landed_at"
 
 
+# A line that is no payload of its kind, whole; NULL for every other line.
+BROKEN = "_broken"
+
+
+def read_files(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
+    """Payloads of landed files (one to a line), with the file, the time it was landed and, of lines
+    that are no payload, the line."""
+    reader = spark.read.schema(f"{SCHEMAS[kind]}, {BROKEN} STRING").option("recursiveFileLookup", "true")
+    reader = reader.option("columnNameOfCorruptRecord", BROKEN)
+    return reader.json(list(paths)).selectExpr("*", _LANDED_AT, "_metadata.file_path AS file")
+
+
 def read_payloads(spark: SparkSession, landing: str, kind: str) -> DataFrame:
-    """All landed files of one kind, with the time each was landed."""
+    """All whole payloads of one kind, with the time each was landed."""
     if not storage.exists(spark, f"{landing}/{kind}"):
         return spark.createDataFrame([], SCHEMAS[kind]).withColumn(
             "landed_at", F.lit(None).cast("timestamp")
         )
-    reader = spark.read.schema(SCHEMAS[kind]).option("recursiveFileLookup", "true")
-    return reader.json(f"{landing}/{kind}").selectExpr("*", _LANDED_AT)
+    return read_files(spark, [f"{landing}/{kind}"], kind).filter(F.col(BROKEN).isNull()).drop(BROKEN, "file")
 
 
 def stream_payloads(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """Landed files of every kind as one stream."""
-    reader = spark.readStream.schema(ANY_PAYLOAD).option("recursiveFileLookup", "true")
+    """Landed files of every kind as one stream, broken lines among them."""
+    reader = spark.readStream.schema(f"{ANY_PAYLOAD}, {BROKEN} STRING").option("recursiveFileLookup", "true")
+    reader = reader.option("columnNameOfCorruptRecord", BROKEN)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(landing).selectExpr("*", _LANDED_AT)
+    return reader.json(landing).selectExpr("*", _LANDED_AT, "_metadata.file_path AS file")
 
 
 def parse_payloads(texts: DataFrame, kind: str, column: str = "body") -> DataFrame:

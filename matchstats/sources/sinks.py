@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +12,6 @@ from matchstats.schema import FACTS, KEYS, NO_SEASON, TABLES
 from matchstats.sources import storage
 from matchstats.sources.tables import read_table
 
-# Seasons a load may touch for their partitions to be listed in the scan; beyond, they are joined.
-MAX_LISTED_SEASONS = 10_000
-
 
 def upsert(
     old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
@@ -50,65 +47,64 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_dimension(new: DataFrame, root: str, name: str) -> None:
-    """Merge into a dimension; nothing is written when there is nothing new."""
+    """Merge into a dimension; nothing is written when no row is new or differs."""
+    spark = new.sparkSession
     delta = as_table(new, name).persist()
-    if not delta.isEmpty():
-        old = read_table(delta.sparkSession, root, name)
+    old = read_table(spark, root, name)
+    if not delta.exceptAll(as_table(old, name)).isEmpty():
         storage.write_version(upsert(old, delta, KEYS[name]), f"{root}/{name}")
     delta.unpersist()
 
 
-def _laid_out(df: DataFrame) -> DataFrame:
-    """Few, evenly sized files per season (a hot season is split), sorted so that scans for a
+def _write(rows: DataFrame, root: str, name: str, replaced: Iterable[tuple[int, int]] = ()) -> None:
+    """Few, evenly sized files per season and bucket (a hot one is split), sorted so that scans for a
     few metrics skip row groups."""
-    return df.hint("rebalance", "season_id").sortWithinPartitions("season_id", "metric_key", "match_id")
+    spark = rows.sparkSession
+    count = storage.buckets(spark, storage.current_parts(spark, root, name))
+    laid_out = (
+        as_table(rows, name)
+        .withColumn("bucket", storage.bucket_of("match_id", count))
+        .hint("rebalance", "season_id", "bucket")
+        .sortWithinPartitions("season_id", "bucket", "metric_key", "match_id")
+    )
+    storage.publish(laid_out, root, name, replaced)
 
 
 def append_facts(new: DataFrame, root: str, name: str) -> None:
     """Add rows to a fact."""
-    _laid_out(as_table(new, name)).write.mode("append").partitionBy("season_id").parquet(f"{root}/{name}")
+    _write(new, root, name)
 
 
-def _rows_in(stored: DataFrame, seasons: DataFrame) -> DataFrame:
-    """Stored rows of some seasons.  A list of ordinary length prunes the partitions to read."""
-    listed = [row[0] for row in seasons.limit(MAX_LISTED_SEASONS + 1).collect()]
-    if len(listed) <= MAX_LISTED_SEASONS:
-        return stored.filter(F.col("season_id").isin(listed))
-    return stored.join(seasons, "season_id", "left_semi")
+def stored_near(matches: DataFrame, root: str, name: str) -> tuple[DataFrame, list[storage.Part]]:
+    """Stored rows of the seasons and buckets that some matches (``match_id, season_id``) belong to, and
+    those parts.  Only their files are read."""
+    spark = matches.sparkSession
+    parts = storage.current_parts(spark, root, name)
+    bucket = storage.bucket_of("match_id", storage.buckets(spark, parts))
+    season = F.coalesce("season_id", F.lit(NO_SEASON)).cast("long")
+    # never more than seasons times buckets
+    touched = {tuple(r) for r in matches.select(season, bucket).distinct().collect()}
+    near = [part for part in parts if (part.season_id, part.bucket) in touched]
+    stored = storage.read_parts(spark, root, name, near)
+    return spark.createDataFrame([], TABLES[name]) if stored is None else stored, near
 
 
-def _rewrite_seasons(
-    root: str, name: str, seasons: DataFrame, change: Callable[[DataFrame], DataFrame]
+def _rewrite(
+    matches: DataFrame, root: str, name: str, change: Callable[[DataFrame], DataFrame]
 ) -> None:
-    """Overwrite the given seasons of a fact by what ``change`` makes of their rows.
-
-    Every season gets one row without a match, which readers skip: it makes the write replace a
-    season that has lost its last match as well.
-    """
-    seasons = as_table(seasons, name).distinct().persist()
-    stored = _rows_in(read_table(seasons.sparkSession, root, name), seasons.select("season_id"))
-    (
-        _laid_out(change(stored).unionByName(seasons))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("season_id")
-        .parquet(f"{root}/{name}")
-    )
-    seasons.unpersist()
+    """Replace the parts that some matches belong to by what ``change`` makes of their rows."""
+    stored, near = stored_near(matches, root, name)
+    _write(change(stored), root, name, {(part.season_id, part.bucket) for part in near})
 
 
 def replace_facts(new: DataFrame, fetched: DataFrame, root: str, name: str) -> None:
-    """Replace the rows of the fetched matches, rewriting only the seasons they belong to.
+    """Replace the rows of the fetched matches, rewriting only the parts they belong to.
 
-    Loading the same matches again leaves the same rows.  ``fetched`` has ``match_id`` and
-    ``season_id``.
+    Loading the same matches again leaves the same rows; with no match fetched nothing is written.
+    ``fetched`` has ``match_id`` and ``season_id``, those that the new rows have.
     """
-    _rewrite_seasons(
-        root,
-        name,
-        fetched.select("season_id"),
-        lambda stored: replace_by_match(stored, as_table(new, name), fetched),
-    )
+    if not fetched.isEmpty():
+        _rewrite(fetched, root, name, lambda stored: replace_by_match(stored, as_table(new, name), fetched))
 
 
 def move_facts(moved: DataFrame, root: str, name: str) -> None:
@@ -117,10 +113,11 @@ def move_facts(moved: DataFrame, root: str, name: str) -> None:
     Rows that are there already stay, so it can be repeated.
     """
     targets = as_table(moved, name).select("match_id", F.col("season_id").alias("target"))
-    _rewrite_seasons(
+    both = moved.select("match_id", "season_id").union(moved.select("match_id", "old_season_id"))
+    _rewrite(
+        both,
         root,
         name,
-        moved.select("season_id").union(moved.select("old_season_id")),
         lambda stored: stored.join(targets, "match_id", "left")
         .withColumn("season_id", F.coalesce("target", "season_id"))
         .drop("target"),

@@ -1,17 +1,48 @@
 """Where tables live under a root folder, on any file system Spark can reach.
 
-Dimensions are rewritten whole into ``<table>/version=<n>``; the newest version with a success
-marker is the current one, so an interrupted write is never read.  Facts are one folder
-partitioned by ``season_id``.
+Nothing that a reader may see is ever changed in place.  A dimension is written whole into
+``<table>/version=<n>``.  A load writes rows of a fact into ``<table>/load=<n>`` by season and bucket
+of the match, and then makes them current by a new version of ``<table>/_current``, a small list of
+the partitions that are read.  The newest version with a success marker counts, so a load that was
+interrupted anywhere before leaves the tables as they were, and repeating it is safe.  Tables have
+one writer at a time.
+
+What is no longer current stays until ``clean_up`` removes it; no load does so by itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+from collections.abc import Iterable
+from datetime import timedelta
+from typing import NamedTuple
 
-from matchstats.schema import KEYS
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-KEPT_VERSIONS = 3
+from matchstats.schema import FACTS, KEYS, TABLES
+
+#: Parts that a new fact's seasons are split into by match, unless the session sets
+#: ``spark.matchstats.buckets``: a load rewrites the parts of its matches.  As many as make a part
+#: about a gigabyte; few here, as test seasons are small.
+BUCKETS = 4
+#: How long files stay after they have been replaced: far longer than any query or stream runs.
+RETENTION = timedelta(days=7)
+
+CURRENT = "_current"
+
+
+class Part(NamedTuple):
+    """Rows of one season and bucket that one load has written."""
+
+    season_id: int
+    bucket: int
+    load: int
+    buckets: int
+
+    @property
+    def folder(self) -> str:
+        return f"load={self.load}/season_id={self.season_id}/bucket={self.bucket}"
 
 
 def _located(spark: SparkSession, path: str):
@@ -30,13 +61,33 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(located, True)
 
 
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of all versions, complete or not; never more than a few are kept."""
+def found(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """Paths that a pattern matches, with their times of change."""
+    fs, located = _located(spark, pattern)
+    return [(s.getPath().toString(), s.getModificationTime() / 1000) for s in fs.globStatus(located) or []]
+
+
+def files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """All data files below a folder, with their times of change."""
     fs, located = _located(spark, folder)
-    if not fs.exists(located):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(located)]
-    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+    listed = []
+    if fs.exists(located):
+        remaining = fs.listFiles(located, True)
+        while remaining.hasNext():
+            status = remaining.next()
+            path = status.getPath()
+            if not path.getName().startswith(("_", ".")):
+                listed.append((path.toString(), status.getModificationTime()))
+    return sorted(listed)
+
+
+def number(path: str) -> int:
+    return int(path.rstrip("/").rpartition("=")[2])
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of all versions, complete or not."""
+    return sorted(number(path) for path, _ in found(spark, f"{folder}/version=*"))
 
 
 def version_path(spark: SparkSession, folder: str) -> str | None:
@@ -48,18 +99,91 @@ def version_path(spark: SparkSession, folder: str) -> str | None:
 
 
 def write_version(df: DataFrame, folder: str) -> str:
-    """Write a new version next to the ones that may still be being read; older ones go."""
-    spark = df.sparkSession
-    versions = _versions(spark, folder)
+    """Write a new version next to the ones that may still be being read."""
+    versions = _versions(df.sparkSession, folder)
     path = f"{folder}/version={versions[-1] + 1 if versions else 1}"
     df.write.mode("error").parquet(path)
-    for old in versions[: 1 - KEPT_VERSIONS]:
-        remove(spark, f"{folder}/version={old}")
     return path
 
 
 def table_path(spark: SparkSession, root: str, name: str) -> str | None:
+    """The folder of a table that is not a fact."""
     folder = f"{root}/{name}"
     if name in KEYS:
         return version_path(spark, folder)
     return folder if exists(spark, folder) else None
+
+
+def _listed(spark: SparkSession, version: str) -> list[Part]:
+    return [Part(*row) for row in spark.read.parquet(version).select(*Part._fields).collect()]
+
+
+def current_parts(spark: SparkSession, root: str, name: str) -> list[Part]:
+    """What a fact consists of: a few numbers for each season, bucket and load."""
+    version = version_path(spark, f"{root}/{name}/{CURRENT}")
+    return _listed(spark, version) if version else []
+
+
+def buckets(spark: SparkSession, parts: list[Part]) -> int:
+    """Into how many parts a fact's seasons are split; fixed by the first load."""
+    return parts[0].buckets if parts else int(spark.conf.get("spark.matchstats.buckets", str(BUCKETS)))
+
+
+def bucket_of(match_id: str, count: int) -> Column:
+    return F.pmod(F.xxhash64(match_id), F.lit(count)).cast("int")
+
+
+def read_parts(spark: SparkSession, root: str, name: str, parts: Iterable[Part]) -> DataFrame | None:
+    """Rows of some parts, None if there are none."""
+    folder = f"{root}/{name}"
+    paths = [f"{folder}/{part.folder}" for part in parts]
+    if not paths:
+        return None
+    return spark.read.schema(TABLES[name]).option("basePath", folder).parquet(*paths).select(*TABLES[name].names)
+
+
+def publish(rows: DataFrame, root: str, name: str, replaced: Iterable[tuple[int, int]]) -> None:
+    """Write rows (with ``bucket``) and make them current instead of all rows of the replaced seasons
+    and buckets."""
+    spark, folder, gone = rows.sparkSession, f"{root}/{name}", set(replaced)
+    old = current_parts(spark, root, name)
+    loads = [number(path) for path, _ in found(spark, f"{folder}/load=*")]
+    load = max(loads, default=0) + 1
+    rows.write.mode("error").partitionBy("season_id", "bucket").parquet(f"{folder}/load={load}")
+    count = buckets(spark, old)
+    written = [
+        Part(number(path.rpartition("/")[0]), number(path), load, count)
+        for path, _ in found(spark, f"{folder}/load={load}/season_id=*/bucket=*")
+    ]
+    kept = [part for part in old if (part.season_id, part.bucket) not in gone]
+    schema = "season_id long, bucket int, load int, buckets int"
+    write_version(spark.createDataFrame(kept + written, schema).coalesce(1), f"{folder}/{CURRENT}")
+
+
+def clean_up(spark: SparkSession, root: str, retention: timedelta = RETENTION) -> list[str]:
+    """Remove what has not been current for ``retention``, and what loads broken off before then have
+    left; the removed paths.  Run it now and then, never while a load is older than that."""
+    before, removed = time.time() - retention.total_seconds(), []
+
+    def in_use(folder: str) -> list[str]:
+        """Versions that were current at some time since."""
+        complete = sorted(found(spark, f"{folder}/version=*/_SUCCESS"), key=lambda x: number(x[0].rpartition("/")[0]))
+        then = [n for n, (_, changed) in enumerate(complete) if changed < before]
+        return [path.rpartition("/")[0] for path, _ in complete[then[-1] if then else 0 :]]
+
+    def remove_others(listed: list[tuple[str, float]], used: set[str]) -> None:
+        for path, changed in listed:
+            if path not in used and changed < before:
+                remove(spark, path)
+                removed.append(path)
+
+    for name in KEYS:
+        remove_others(found(spark, f"{root}/{name}/version=*"), set(in_use(f"{root}/{name}")))
+    for name in FACTS:
+        folder = f"{root}/{name}"
+        versions = in_use(f"{folder}/{CURRENT}")
+        base = _located(spark, folder)[0].makeQualified(_located(spark, folder)[1]).toString()
+        used = {f"{base}/{part.folder}" for version in versions for part in _listed(spark, version)}
+        remove_others(found(spark, f"{folder}/load=*/season_id=*/bucket=*"), used)
+        remove_others(found(spark, f"{folder}/{CURRENT}/version=*"), set(versions))
+    return removed

@@ -41,11 +41,12 @@ def unique_dimension(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table with its declared types; an empty one if nothing has been written yet."""
-    path = storage.table_path(spark, root, name)
-    if path is None:
-        return spark.createDataFrame([], TABLES[name])
-    stored = spark.read.schema(TABLES[name]).parquet(path)
-    return stored.filter(F.col("match_id").isNotNull()) if name in FACTS else stored
+    if name in FACTS:
+        stored = storage.read_parts(spark, root, name, storage.current_parts(spark, root, name))
+    else:
+        path = storage.table_path(spark, root, name)
+        stored = spark.read.schema(TABLES[name]).parquet(path) if path else None
+    return spark.createDataFrame([], TABLES[name]) if stored is None else stored
 
 
 def open_tables(spark: SparkSession, root: str) -> StatsTables:

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from matchstats.operators.context import finished
 from matchstats.plans.ingest import load_events, load_lineups, load_statistics
+from matchstats.sources import landed
 from matchstats.sources import landing as L
 from matchstats.sources import storage
 from matchstats.sources.tables import read_table
@@ -27,11 +28,16 @@ def load_batch(batch: DataFrame, batch_id: int, warehouse: str) -> None:
     """Load one micro-batch; running it again gives the same tables.
 
     Payloads of matches that are unknown or unfinished wait in a folder named after the batch and
-    are taken up by the next one, so files may land in any order.
+    are taken up by the next one, so files may land in any order.  Lines that are no payload go to
+    ``_quarantine``.
     """
     spark = batch.sparkSession
     waiting_folder = f"{warehouse}/_waiting"
-    batch = batch.persist()
+    whole = batch = batch.persist()
+    broken = landed.broken_of(batch)
+    if not broken.isEmpty():
+        broken.write.mode("overwrite").parquet(f"{warehouse}/{landed.QUARANTINE}/batch={batch_id}")
+    batch = batch.filter(F.col(L.BROKEN).isNull())
     load_events(L.flatten_events(batch.filter(F.col("events").isNotNull())), warehouse)
 
     payloads = batch.filter(F.col("match_id").isNotNull()).select(_PAYLOAD)
@@ -48,7 +54,7 @@ def load_batch(batch: DataFrame, batch_id: int, warehouse: str) -> None:
     still_waiting = _latest(payloads.join(matches, "match_id", "left_anti")).select(_PAYLOAD)
     still_waiting.write.mode("overwrite").parquet(f"{waiting_folder}/batch={batch_id}")
     storage.remove(spark, f"{waiting_folder}/batch={batch_id - 2}")
-    batch.unpersist()
+    whole.unpersist()
 
 
 def stream_ingest(

@@ -1,8 +1,10 @@
 """Landed JSON into tables: golden rows, repeated and incremental loads, streaming."""
 
 import json
+import os
 import time
-from datetime import datetime
+from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 
@@ -10,6 +12,7 @@ from matchstats.operators.leaderboards import player_leaderboard
 from matchstats.plans.ingest import ingest, reprocess
 from matchstats.schema import TABLES
 from matchstats.session import scratch_folder
+from matchstats.sources import landed, storage
 from matchstats.sources import landing as L
 from matchstats.sources.sinks import append_facts, as_table
 from matchstats.sources.storage import write_version
@@ -212,20 +215,138 @@ def test_a_match_without_a_season_is_found(spark, landing, tmp_path):
     assert player_leaderboard(t, only, "finishing", "by_season").isEmpty()
 
 
-def test_many_touched_seasons_are_joined_instead_of_listed(spark, landing, tmp_path, monkeypatch):
+def files_of(folder):
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("part-*")}
+
+
+def test_a_load_that_breaks_off_before_publishing_changes_nothing(spark, landing, tmp_path, monkeypatch):
     warehouse = str(tmp_path / "tables")
     ingest(spark, str(landing), warehouse)
     before = content(spark, warehouse)
-    monkeypatch.setattr("matchstats.sources.sinks.MAX_LISTED_SEASONS", 0)
-    ingest(spark, str(landing), warehouse, force=True)
+    land(landing, "lineups", "b", lineups(1, [listed(7, "Ana", minutesPlayed=91)], []))
+    land(landing, "statistics", "b", statistics(1, ITEMS[0]))
+    whole = storage.write_version
+
+    def broken(df, folder):
+        if folder.endswith(storage.CURRENT):
+            raise RuntimeError("lost")
+        return whole(df, folder)
+
+    monkeypatch.setattr(storage, "write_version", broken)
+    with pytest.raises(RuntimeError):
+        ingest(spark, str(landing), warehouse, force=True)
     assert content(spark, warehouse) == before
+    monkeypatch.undo()
+    ingest(spark, str(landing), warehouse, force=True)
+    assert [r for r in facts(spark, warehouse, "match_id", "player_id", "value") if r[0] == 1] == [(1, 7, 91.0)]
+    assert content(spark, warehouse)["matches"] == before["matches"]
+
+
+def test_a_load_of_one_match_leaves_the_files_of_other_parts(spark, landing, tmp_path):
+    warehouse = tmp_path / "tables"
+    spark.conf.set("spark.matchstats.buckets", "16")
+    try:
+        ingest(spark, str(landing), str(warehouse))
+    finally:
+        spark.conf.unset("spark.matchstats.buckets")
+    old = {p.folder: p for p in storage.current_parts(spark, str(warehouse), "player_stats_log")}
+    assert len(old) > 1
+    files = files_of(warehouse / "player_stats_log")
+    land(landing, "lineups", "b", lineups(5, [listed(7, "Ana", minutesPlayed=9)], []))
+    land(landing, "events", "b", {"events": [event(5, 100)]})
+    ingest(spark, str(landing), str(warehouse))
+    new = {p.folder: p for p in storage.current_parts(spark, str(warehouse), "player_stats_log")}
+    assert len(set(old) - set(new)) <= 1 and len(set(new) - set(old)) == 1
+    assert all(p.buckets == 16 for p in new.values())
+    now = files_of(warehouse / "player_stats_log")
+    assert {k: v for k, v in now.items() if k in files} == files
+    assert (5, 7, 9.0) in facts(spark, str(warehouse), "match_id", "player_id", "value")
+
+
+def test_open_tables_can_be_read_after_many_loads(spark, landing, tmp_path):
+    warehouse = str(tmp_path / "tables")
+    ingest(spark, str(landing), warehouse)
+    opened = open_tables(spark, warehouse)
+    rows = opened.player_stats.count(), opened.clubs.count()
+    for n in range(5):
+        land(landing, "events", f"n{n}", {"events": [event(1, 100, name=f"Reds {n}")]})
+        land(landing, "lineups", f"n{n}", lineups(1, [listed(7, "Ana", minutesPlayed=n)], []))
+        ingest(spark, str(landing), warehouse, force=True)
+    assert (opened.player_stats.count(), opened.clubs.count()) == rows
+    assert storage.clean_up(spark, warehouse) == []
+    before = content(spark, warehouse)
+    removed = storage.clean_up(spark, warehouse, timedelta(seconds=-60))
+    assert removed and content(spark, warehouse) == before
+    left = sorted(p.name for p in (tmp_path / "tables" / "clubs").iterdir())
+    assert len(left) == 1
 
 
-def test_old_versions_of_a_dimension_go(spark, tmp_path):
+def test_clean_up_keeps_what_was_current_within_the_retention(spark, tmp_path):
     row = as_table(spark.createDataFrame([(1, "Reds")], "team_id long, name string"), "clubs")
-    for _ in range(5):
-        write_version(row, str(tmp_path / "clubs"))
-    assert sorted(p.name for p in (tmp_path / "clubs").iterdir()) == ["version=3", "version=4", "version=5"]
+    folder = tmp_path / "clubs"
+    for _ in range(4):
+        write_version(row, str(folder))
+    long_ago = time.time() - 1000
+    for n in (1, 2, 3):
+        for path in (folder / f"version={n}" / "_SUCCESS", folder / f"version={n}"):
+            os.utime(path, (long_ago + n, long_ago + n))
+    storage.clean_up(spark, str(tmp_path), timedelta(seconds=500))
+    # version 3 was current until version 4 came, just now
+    assert sorted(p.name for p in folder.iterdir()) == ["version=3", "version=4"]
+
+
+def test_nothing_fetched_writes_nothing(spark, landing, tmp_path):
+    warehouse = tmp_path / "tables"
+    ingest(spark, str(landing), str(warehouse))
+    before = files_of(warehouse)
+    land(landing, "events", "b", {"events": [event(1, 100)]})
+    ingest(spark, str(landing), str(warehouse))
+    after = files_of(warehouse)
+    assert not [p for p in after.keys() - before.keys() if not p.startswith("_landed")]
+
+
+def test_every_line_is_accounted_for(spark, landing, tmp_path):
+    cut = [json.dumps(lineups(n, [listed(7, "Ana", minutesPlayed=n)], [])) for n in range(10, 30)]
+    kept = [line if n % 5 else line[: len(line) // 2] for n, line in enumerate(cut)]
+    (landing / "lineups" / "cut.json").write_text("\n".join(kept))
+    land(landing, "events", "b", {"events": [event(n, 100) for n in range(10, 30)]})
+    pretty = json.dumps({"events": [event(99, 100)]}, indent=1)
+    (landing / "events" / "pretty.json").write_text(pretty)
+    warehouse = str(tmp_path / "tables")
+    broken = ingest(spark, str(landing), warehouse)
+    assert broken["lineups"] == 4 and 0 < broken["events"] <= len(pretty.splitlines())
+    found = {r[0] for r in facts(spark, warehouse, "match_id")}
+    assert {n for n in found if 10 <= n < 30} == {n for n in range(10, 30) if n % 5}
+    lines = [r.line for r in landed.quarantine(spark, warehouse).filter("kind = 'lineups'").collect()]
+    assert sorted(lines) == sorted(line for n, line in enumerate(kept) if n % 5 == 0)
+    assert ingest(spark, str(landing), warehouse) == broken
+    with pytest.raises(ValueError, match="lineups"):
+        ingest(spark, str(landing), str(tmp_path / "other"), on_broken="fail")
+    assert open_tables(spark, str(tmp_path / "other")).matches.isEmpty()
+
+
+def test_a_load_reads_only_new_files_and_the_parts_of_its_matches(spark, landing, tmp_path):
+    warehouse = str(tmp_path / "tables")
+    ingest(spark, str(landing), warehouse)
+    for path in (landing / "lineups").iterdir():
+        path.write_text("no longer needed")
+        os.utime(path, ns=(path.stat().st_mtime_ns, next(m for f, m in _times(spark, warehouse) if f.endswith(path.name)) * 1_000_000))
+    land(landing, "events", "b", {"events": [event(2, 100)]})
+    assert ingest(spark, str(landing), warehouse) == {}
+    assert (2, 7, 1.0) in facts(spark, warehouse, "match_id", "player_id", "value")
+
+
+def _times(spark, warehouse):
+    rows = spark.read.schema("kind string, path string, modified long").parquet(f"{warehouse}/_landed/load=1/files").collect()
+    return [(r.path, r.modified) for r in rows if r.kind == "lineups"]
+
+
+def test_streamed_broken_lines_are_kept(spark, landing, tmp_path):
+    (landing / "lineups" / "cut.json").write_text('{"match_id": 5, "home": {"pl')
+    streamed = str(tmp_path / "streamed")
+    stream_ingest(spark, str(landing), streamed, str(tmp_path / "checkpoint")).awaitTermination()
+    assert [(r.kind, r.line) for r in landed.quarantine(spark, streamed).collect()] == [("lineups", '{"match_id": 5, "home": {"pl')]
+    assert len(facts(spark, streamed, "match_id")) == 7
 
 
 def test_reprocess_restores_the_club_of_the_side(spark, landing, tmp_path):
@@ -320,8 +441,9 @@ def test_only_the_latest_delivery_waits(spark, tmp_path):
 def test_a_repeated_micro_batch_changes_nothing(spark, landing, tmp_path):
     from matchstats.streaming.ingest import load_batch
 
-    reader = spark.read.schema(L.ANY_PAYLOAD).option("recursiveFileLookup", "true")
-    payloads = reader.json(str(landing)).selectExpr("*", "_metadata.file_modification_time AS landed_at")
+    reader = spark.read.schema(f"{L.ANY_PAYLOAD}, {L.BROKEN} STRING").option("recursiveFileLookup", "true")
+    metadata = ["_metadata.file_modification_time AS landed_at", "_metadata.file_path AS file"]
+    payloads = reader.json(str(landing)).selectExpr("*", *metadata)
     warehouse = str(tmp_path / "tables")
     load_batch(payloads, 0, warehouse)
     before = content(spark, warehouse)
@@ -335,3 +457,18 @@ def test_scratch_folders_are_new_and_in_the_shared_folder(spark):
     first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert first != second
     assert not shared or first.startswith(shared)
+
+
+@pytest.mark.parametrize(("master", "allowed"), [("local[8]", True), ("local", True), ("yarn", False), ("local-cluster[3,2,1000]", False)])
+def test_a_cluster_has_to_name_its_shared_folder(master, allowed):
+    class Conf(dict):
+        pass
+
+    session = SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(master=master))
+    if allowed:
+        assert "matchstats-x" in scratch_folder(session, "x")
+    else:
+        with pytest.raises(ValueError, match="checkpoint"):
+            scratch_folder(session, "x")
+    session.conf["spark.checkpoint.dir"] = "hdfs:///shared"
+    assert scratch_folder(session, "x").startswith("hdfs:///shared/")
