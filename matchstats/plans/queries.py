@@ -32,13 +32,13 @@ from matchstats.operators.leaderboards import (
     player_totals,
 )
 from matchstats.operators.streaks import streaks
-from matchstats.plans.ingest import ingest, rebuilt_player_stats
+from matchstats.plans.ingest import ingest, reprocess
 from matchstats.registry import club_sources, player_sources
 from matchstats.schema import MINUTES
 from matchstats.session import scratch_folder, tune
 from matchstats.sources import landing as L
 from matchstats.sources import orders_binding as B
-from matchstats.sources.sinks import append_facts, not_loaded, replace_by_match, upsert
+from matchstats.sources.sinks import append_facts, not_loaded, replace_by_match, upsert, write_dimension
 from matchstats.sources.tables import (
     StatsTables,
     dimension_columns,
@@ -221,13 +221,18 @@ def _(t: StatsTables) -> DataFrame:
 
 @query_on_files("reprocess_team_attribution")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = B.bind(spark, sf_dir)
-    payloads = B.lineup_payloads(B.bound_lines(spark, sf_dir, t.matches))
+    """Player facts with the club of the player's latest match, put right by the job."""
+    root = scratch_folder(spark, "reprocess")
+    t = B.land(spark, sf_dir, f"{root}/landing")
+    write_dimension(t.matches, f"{root}/tables", "matches")
     current = t.players.groupBy("player_id").agg(F.max("team_id").alias("current_team_id"))
     wrong = t.player_stats.join(current, "player_id").select(
         "match_id", "player_id", F.col("current_team_id").alias("team_id"), "metric_key", "value"
     )
-    repaired = rebuilt_player_stats(wrong, _parsed(payloads, "lineups"), t.matches)
+    seasons = t.matches.select("match_id", "season_id")
+    append_facts(wrong.join(seasons, "match_id"), f"{root}/tables", "player_stats_log")
+    reprocess(spark, f"{root}/landing", f"{root}/tables")
+    repaired = read_table(spark, f"{root}/tables", "player_stats_log")
     return repaired.groupBy("player_id", "team_id", "metric_key").agg(
         F.count("*").alias("rows"), F.sum("value").alias("total")
     )
