@@ -30,16 +30,24 @@ def keep_ids(df: DataFrame, column: str, ids: Iterable | DataFrame | None) -> Da
 
 
 def in_competition_season(
-    matches: DataFrame, tournaments: DataFrame, competitions: Sequence[str], seasons: Sequence[str]
+    matches: DataFrame,
+    tournaments: DataFrame,
+    competitions: Sequence[str] | None = None,
+    seasons: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Matches of the chosen competitions and seasons; the two id lists apply independently."""
-    chosen = tournaments.filter(
-        F.col("name").isin(list(competitions)) & F.col("season_year").isin(list(seasons))
-    )
-    tournament_ids = chosen.select(F.col("unique_tournament_id").alias("tournament_id"))
-    return matches.join(tournament_ids, "tournament_id", "left_semi").join(
-        chosen.select("season_id"), "season_id", "left_semi"
-    )
+    """Matches of the chosen competitions and seasons; a selection that is empty or left out does not
+    filter.  With both, the two id lists of the competition seasons chosen apply independently."""
+    chosen = tournaments
+    if competitions:
+        chosen = chosen.filter(F.col("name").isin(list(competitions)))
+    if seasons:
+        chosen = chosen.filter(F.col("season_year").isin(list(seasons)))
+    if competitions:
+        ids = chosen.select(F.col("unique_tournament_id").alias("tournament_id"))
+        matches = matches.join(ids, "tournament_id", "left_semi")
+    if seasons:
+        matches = matches.join(chosen.select("season_id"), "season_id", "left_semi")
+    return matches
 
 
 def available_seasons(tournaments: DataFrame, competitions: Sequence[str]) -> DataFrame:
@@ -74,13 +82,15 @@ def bounds(ctx: DataFrame) -> DataFrame:
     )
 
 
-def in_date_range(matches: DataFrame, start: date, end: date | None = None) -> DataFrame:
-    """Both days included; without an end, until today.  Matches without a date are left out."""
+def in_date_range(matches: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Both days included; without an end, until today; without a start, from the first match on.
+    Matches without a date are left out."""
     after_end = (end or date.today()) + timedelta(days=1)
     day = F.col("match_date")
-    return matches.filter(
-        (day >= F.lit(start).cast("timestamp_ntz")) & (day < F.lit(after_end).cast("timestamp_ntz"))
-    )
+    within = day < F.lit(after_end).cast("timestamp_ntz")
+    if start is not None:
+        within = (day >= F.lit(start).cast("timestamp_ntz")) & within
+    return matches.filter(within)
 
 
 def round_phases(ctx: DataFrame) -> DataFrame:
@@ -130,9 +140,9 @@ def in_rounds(
 
 
 def with_club(matches: DataFrame, team_ids: Iterable[int]) -> DataFrame:
-    """Matches in which one of the clubs plays, on either side."""
+    """Matches in which one of the clubs plays, on either side; no clubs keep all."""
     ids = list(team_ids)
-    return matches.filter(F.col("home_team_id").isin(ids) | F.col("away_team_id").isin(ids))
+    return matches.filter(F.col("home_team_id").isin(ids) | F.col("away_team_id").isin(ids)) if ids else matches
 
 
 def clubs_in(ctx: DataFrame, clubs: DataFrame) -> DataFrame:
@@ -201,14 +211,11 @@ def select_matches(
     rounds: Column | None = None,
     teams: Iterable[int] | None = None,
 ) -> DataFrame:
-    """All context filters together; an argument left out does not filter."""
-    ctx = tables.matches
-    if competitions is not None and seasons is not None:
-        ctx = in_competition_season(ctx, tables.tournaments, competitions, seasons)
-    if start is not None:
+    """All context filters together.  Each applies by itself; one that is left out or empty does not
+    filter."""
+    ctx = in_competition_season(tables.matches, tables.tournaments, competitions, seasons)
+    if start is not None or end is not None:
         ctx = in_date_range(ctx, start, end)
     if rounds is not None:
         ctx = ctx.filter(rounds)
-    if teams is not None:
-        ctx = with_club(ctx, teams)
-    return ctx
+    return ctx if teams is None else with_club(ctx, teams)

@@ -503,16 +503,40 @@ _LINEUP_FACTS = (
     "SELECT match_id, player_id, team_id, metric_key, value FROM b_player_stats_log UNION ALL "
     "SELECT match_id, player_id, team_id, 'captain' AS metric_key, CAST(CASE WHEN ln = 1 THEN 1 ELSE 0 END AS DOUBLE) AS value FROM b_lines"
 )
+_STATISTICS_FACTS = (
+    "SELECT match_id, period, metric_key, round(home_value, 6) AS home_value, round(away_value, 6) AS away_value FROM b_match_stats_log "
+    "UNION ALL SELECT match_id, period, 'passesTotal', round(home_value + away_value, 6), 0 FROM b_match_stats_log WHERE metric_key = 'passes'"
+)
 _PCT = "CAST(q AS INT)"
 
 
+def _loaded_dimensions(finished: str) -> str:
+    """Every column of the dimensions as text, with what the payloads leave out as a dash."""
+
+    def row(*values: str) -> str:
+        return " || '|' || ".join(f"coalesce(CAST({v} AS VARCHAR), '-')" if v != "-" else "'-'" for v in values)
+
+    date = "strftime(match_date, '%Y-%m-%d %H:%M:%S')"
+    return (
+        f"SELECT DISTINCT 'tournaments' AS dimension, {row('m.tournament_id', 't.name', '-', '-', 'm.season_id', '-', 't.season_year')} AS row "
+        f"FROM b_matches m {_COMPETITION} WHERE m.tournament_id <> 0 UNION ALL "
+        f"SELECT 'clubs', {row('team_id', 'name', *['-'] * 4, 'false', 'true', *['-'] * 3)} FROM "
+        "(SELECT home_team_id AS team_id, home_team_name AS name FROM b_matches UNION SELECT away_team_id, away_team_name FROM b_matches) c WHERE team_id <> 0 UNION ALL "
+        f"SELECT 'matches', {row('match_id', 'tournament_id', 'season_id', 'round_id', 'home_team_id', 'away_team_id', 'home_team_name', 'away_team_name', date, 'status_code', '-', '-', 'round_name', '-')} "
+        "FROM b_matches UNION ALL "
+        f"SELECT 'players', {row('player_id', 'name', '-', '-', 'team_id', *['-'] * 5, 'market_value')} FROM "
+        "(SELECT DISTINCT player_id, 'PLAYER_' || CAST(player_id AS VARCHAR) AS name, team_id, '7500000.0' AS market_value "
+        f"FROM b_lines l JOIN b_matches m ON m.match_id = l.match_id WHERE {finished}) p"
+    )
+
+
 def _simple() -> dict[str, str]:
     minutes = "b_player_stats_log f JOIN b_matches m ON m.match_id = f.match_id"
     chosen = f"SELECT * FROM b_tournaments WHERE name IN ({_in(COMPETITIONS)}) AND season_year IN ({_in(SEASONS)})"
     in_ctx = "tournament_id IN (SELECT unique_tournament_id FROM chosen) AND season_id IN (SELECT season_id FROM chosen)"
     finished = "status_code IN (100, 110, 120)"
     loaded = (
-        f"SELECT m.season_id, f.team_id, f.player_id, f.metric_key, f.value FROM lf f JOIN b_matches m ON m.match_id = f.match_id WHERE {finished}"
+        f"SELECT f.match_id, m.season_id, f.team_id, f.player_id, f.metric_key, f.value FROM lf f JOIN b_matches m ON m.match_id = f.match_id WHERE {finished}"
     )
     finishing = _club_rows(_club_keys("finishing", True), "for", "ALL", "both", None, source="yes")
     passing_games, _ = _game_steps("club", "passing", prefer_match=True)
@@ -598,11 +622,33 @@ def _simple() -> dict[str, str]:
             f"SELECT match_id, season_id FROM b_matches WHERE {finished} AND match_id NOT IN "
             "(SELECT f.match_id FROM b_match_stats_log f JOIN b_matches m ON m.match_id = f.match_id WHERE year(match_date) < 2000)"
         ),
-        "ingest_job": _totals("season_id, team_id, player_id, metric_key", loaded, lf=_LINEUP_FACTS),
-        "stream_ingest": _totals("season_id, team_id, player_id, metric_key", loaded, lf=_LINEUP_FACTS),
+        **{
+            f"{way}{suffix}": sql
+            for way in ("ingest_job", "stream_ingest")
+            for suffix, sql in {
+                "": _totals("match_id, season_id, team_id, player_id, metric_key", loaded, lf=_LINEUP_FACTS),
+                "_match_facts": over_tables(
+                    f"SELECT f.*, season_id FROM sf f JOIN b_matches m ON m.match_id = f.match_id WHERE {finished}", sf=_STATISTICS_FACTS
+                ),
+                "_dimensions": over_tables(_loaded_dimensions(finished)),
+            }.items()
+        },
+        "ingest_quarantine": over_tables(
+            f"SELECT DISTINCT CASE WHEN l.match_id % 10 = 3 THEN 'lineups' ELSE 'loaded' END AS state, l.match_id FROM b_lines l "
+            f"JOIN b_matches m ON m.match_id = l.match_id WHERE l.match_id % 10 = 3 OR {finished}"
+        ),
         "ctx_competition_season": over_tables(
             f"SELECT match_id, tournament_id, season_id FROM b_matches WHERE {in_ctx}", chosen=chosen
         ),
+        "ctx_competition_only": over_tables(
+            f"SELECT match_id, tournament_id FROM b_matches WHERE tournament_id IN (SELECT unique_tournament_id FROM b_tournaments WHERE name IN ({_in(COMPETITIONS)}))"
+        ),
+        "ctx_season_only": over_tables(
+            f"SELECT match_id, season_id FROM b_matches WHERE season_id IN (SELECT season_id FROM b_tournaments WHERE season_year IN ({_in(SEASONS)}))"
+        ),
+        "ctx_until_date": over_tables(
+            "SELECT match_id, strftime(match_date, '%Y-%m-%d %H:%M:%S') AS match_date FROM b_matches WHERE match_date < TIMESTAMP '1996-02-11 00:00:00'"
+        ),
         "ctx_seasons": over_tables(
             f"SELECT DISTINCT season_year FROM b_tournaments WHERE name IN ({_in(COMPETITIONS)}) ORDER BY 1 DESC"
         ),

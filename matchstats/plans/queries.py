@@ -38,6 +38,7 @@ from matchstats.schema import MINUTES
 from matchstats.session import scratch_folder, tune
 from matchstats.sources import landing as L
 from matchstats.sources import orders_binding as B
+from matchstats.sources.landed import quarantine
 from matchstats.sources.sinks import append_facts, not_loaded, replace_by_match, upsert, write_dimension
 from matchstats.sources.tables import (
     StatsTables,
@@ -246,29 +247,63 @@ def _(t: StatsTables) -> DataFrame:
     return not_loaded(X.finished(t.matches), loaded).select("match_id", "season_id")
 
 
-def _loaded_facts(spark: SparkSession, warehouse: str) -> DataFrame:
+def _loaded_player_facts(spark: SparkSession, warehouse: str) -> DataFrame:
     facts = read_table(spark, warehouse, "player_stats_log")
-    return facts.groupBy("season_id", "team_id", "player_id", "metric_key").agg(
+    return facts.groupBy("match_id", "season_id", "team_id", "player_id", "metric_key").agg(
         F.count("*").alias("rows"), F.sum("value").alias("total")
     )
 
 
-@query_on_files("ingest_job")
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _loaded_match_facts(spark: SparkSession, warehouse: str) -> DataFrame:
+    return read_table(spark, warehouse, "match_stats_log").drop("metric_name")
+
+
+def _loaded_dimensions(spark: SparkSession, warehouse: str) -> DataFrame:
+    """All columns of the four dimensions, as text, but the match a player was last read from: that
+    depends on which file landed last."""
+    parts = []
+    for name in ("tournaments", "clubs", "matches", "players"):
+        df = read_table(spark, warehouse, name).drop("last_updated_match_id")
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns]
+        parts.append(df.select(F.lit(name).alias("dimension"), F.concat_ws("|", *values).alias("row")))
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_folder(spark, "ingest")
     B.land(spark, sf_dir, f"{root}/landing")
     ingest(spark, f"{root}/landing", f"{root}/tables")
-    return _loaded_facts(spark, f"{root}/tables")
+    return f"{root}/tables"
 
 
-@query_on_files("stream_ingest")
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_folder(spark, "stream")
     B.land(spark, sf_dir, f"{root}/landing")
-    stream_ingest(
-        spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoint"
-    ).awaitTermination()
-    return _loaded_facts(spark, f"{root}/tables")
+    stream_ingest(spark, f"{root}/landing", f"{root}/tables", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/tables"
+
+
+for _way, _load in (("ingest_job", _ingested), ("stream_ingest", _streamed)):
+    for _suffix, _content in (
+        ("", _loaded_player_facts), ("_match_facts", _loaded_match_facts), ("_dimensions", _loaded_dimensions),
+    ):
+        query_on_files(f"{_way}{_suffix}")(
+            lambda spark, sf_dir, load=_load, content=_content: content(spark, load(spark, sf_dir))
+        )
+
+
+@query_on_files("ingest_quarantine")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineups cut short go to the quarantine whole, with all others loaded."""
+    root = scratch_folder(spark, "quarantine")
+    match_id = F.regexp_extract("body", r'"match_id":(\d+)', 1).cast("long")
+    B.land(spark, sf_dir, f"{root}/landing", match_id % 10 == 3)
+    ingest(spark, f"{root}/landing", f"{root}/tables")
+    lost = quarantine(spark, f"{root}/tables").select(
+        F.col("kind").alias("state"), F.regexp_extract("line", r'"match_id":(\d+)', 1).cast("long").alias("match_id")
+    )
+    loaded = read_table(spark, f"{root}/tables", "player_stats_log")
+    return lost.union(loaded.select(F.lit("loaded"), "match_id").distinct())
 
 
 # Context
@@ -280,6 +315,21 @@ def _(t: StatsTables) -> DataFrame:
     return ctx.select("match_id", "tournament_id", "season_id")
 
 
+@query("ctx_competition_only")
+def _(t: StatsTables) -> DataFrame:
+    return X.select_matches(t, competitions=COMPETITIONS).select("match_id", "tournament_id")
+
+
+@query("ctx_season_only")
+def _(t: StatsTables) -> DataFrame:
+    return X.select_matches(t, seasons=SEASONS, teams=[]).select("match_id", "season_id")
+
+
+@query("ctx_until_date")
+def _(t: StatsTables) -> DataFrame:
+    return X.select_matches(t, end=date(1996, 2, 10), competitions=[]).select("match_id", "match_date")
+
+
 @query("ctx_seasons")
 def _(t: StatsTables) -> DataFrame:
     return X.available_seasons(t.tournaments, COMPETITIONS)

@@ -187,7 +187,7 @@ def bind(spark: SparkSession, sf_dir: str) -> StatsTables:
 
 
 def lineup_payloads(lines: DataFrame) -> DataFrame:
-    """A lineups payload (JSON text) per line item: its player on its side, with statistics."""
+    """A lineups payload (JSON text) per match: the player of each line item on its side, with statistics."""
     q, disc = F.col("q"), F.col("disc")
     statistics = F.struct(
         F.least(q * 2, F.lit(90)).alias("minutesPlayed"),
@@ -209,17 +209,19 @@ def lineup_payloads(lines: DataFrame) -> DataFrame:
         F.struct(F.lit(7500000.0).alias("value")).alias("proposedMarketValueRaw"),
     )
     listed = F.struct(F.lit("M").alias("position"), player.alias("player"), statistics.alias("statistics"))
-    on_side = F.struct(F.array(listed).alias("players"))
-    body = F.struct(
-        "match_id",
-        F.when(F.col("side") == "home", on_side).alias("home"),
-        F.when(F.col("side") == "away", on_side).alias("away"),
-    )
-    return lines.select(F.to_json(body).alias("body"))
+
+    def side(name: str) -> Column:
+        """The players on a side; none where the match has no line of it."""
+        players = F.collect_list(F.when(F.col("side") == name, listed))
+        return F.when(F.size(players) > 0, F.struct(players.alias("players"))).alias(name)
+
+    documents = lines.groupBy("match_id").agg(side("home"), side("away"))
+    return documents.select(F.to_json(F.struct("match_id", "home", "away")).alias("body"))
 
 
 def statistics_payloads(match_stats: DataFrame) -> DataFrame:
-    """A statistics payload per match fact; percentages for one metric, totals for another."""
+    """A statistics payload per match: its periods, in each a group of passing and one of other items;
+    percentages for one metric, totals for another."""
     key, home, away = F.col("metric_key"), F.col("home_value"), F.col("away_value")
     is_percent = key == "accuratePasses"
 
@@ -233,11 +235,14 @@ def statistics_payloads(match_stats: DataFrame) -> DataFrame:
         text(away).alias("awayValue"),
         F.when(key == "passes", home + away).alias("homeTotal"),
     )
-    period = F.struct(
-        "period", F.array(F.struct(F.array(item).alias("statisticsItems"))).alias("groups")
+    passing = key.isin("passes", "accuratePasses")
+    groups = F.array(
+        F.struct(F.collect_list(F.when(passing, item)).alias("statisticsItems")),
+        F.struct(F.collect_list(F.when(~passing, item)).alias("statisticsItems")),
     )
-    body = F.struct("match_id", F.array(period).alias("statistics"))
-    return match_stats.select(F.to_json(body).alias("body"))
+    periods = match_stats.groupBy("match_id", "period").agg(groups.alias("groups"))
+    documents = periods.groupBy("match_id").agg(F.collect_list(F.struct("period", "groups")).alias("statistics"))
+    return documents.select(F.to_json(F.struct("match_id", "statistics")).alias("body"))
 
 
 def epoch_seconds() -> Column:
@@ -291,8 +296,9 @@ def rounds_payloads(matches: DataFrame, tournaments: DataFrame) -> DataFrame:
     return listed.select(F.to_json(F.struct("*")).alias("body"))
 
 
-def land(spark: SparkSession, sf_dir: str, landing: str) -> StatsTables:
-    """Write the payloads of all bound tables as landed JSON files."""
+def land(spark: SparkSession, sf_dir: str, landing: str, cut_short: Column | None = None) -> StatsTables:
+    """Write the payloads of all bound tables as landed JSON files, several of each kind.  Lineups for
+    which ``cut_short`` (of ``body``) holds lose their second half."""
     tables = bind(spark, sf_dir)
     lines = bound_lines(spark, sf_dir, tables.matches)
     payloads = {
@@ -300,6 +306,9 @@ def land(spark: SparkSession, sf_dir: str, landing: str) -> StatsTables:
         "lineups": lineup_payloads(lines),
         "statistics": statistics_payloads(tables.match_stats),
     }
+    if cut_short is not None:
+        half = F.expr("substring(body, 1, int(length(body) / 2))")
+        payloads["lineups"] = payloads["lineups"].select(F.when(cut_short, half).otherwise(F.col("body")).alias("body"))
     for kind, rows in payloads.items():
-        rows.write.text(f"{landing}/{kind}")
+        rows.repartition(6, "body").write.text(f"{landing}/{kind}")
     return tables
