@@ -137,15 +137,14 @@ def match_records(
     teams: Iterable[int] | None = None,
     limit: int | None = 100,
 ) -> DataFrame:
-    """The best (or lowest) single games of a metric.
-
-    A metric the target does not have leaves the table unsorted and whole.
-    """
+    """The best (or lowest) single games of a metric; all games, unsorted, only with ``limit=None``."""
     if order not in ("highest", "lowest"):
         raise ValueError(f"unknown order {order!r}")
+    if metric not in game_columns(target, category):
+        raise ValueError(f"{target} tables of {category!r} have no metric {metric!r}")
     games = describable(ctx, tables.tournaments)
     rows = game_table(target, tables, games, category, venue, perspective, teams)
-    if metric not in rows.columns or limit is None:
+    if limit is None:
         return described(target, tables, games, rows)
     rank_by = F.round(metric, 6)
     ranking = [rank_by.asc() if order == "lowest" else rank_by.desc(), "match_id", *_IDENTITY[target]]

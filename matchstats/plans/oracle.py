@@ -1,7 +1,7 @@
 """The registered queries as SQL over the raw test tables, for an independent engine.
 
-The leaderboards follow the question, not the Spark plan: games, metrics and club lists are
-grouped on their own and joined, streaks use numbered islands.
+The SQL follows the question, not the Spark plan: a leaderboard is one grouping with filtered
+aggregates, streaks use numbered islands.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from matchstats.plans.queries import (
     LAST_GAMES,
     PLAYER_A,
     PLAYER_BOARDS,
+    RANKED,
     RECORDS,
     SEASONS,
     SHARED_PLAYER,
@@ -183,33 +184,43 @@ def _venue(venue: str, team: str) -> str:
     return {"both": "", "home": f" AND m.home_team_id = {team}", "away": f" AND m.away_team_id = {team}"}[venue]
 
 
+def _summed(keys: dict[str, str]) -> str:
+    """A column for each metric: the sum of its rows, 0 without any."""
+    return ", ".join(
+        f"coalesce(sum(value) FILTER (metric_key = '{key}' AND NOT game), 0) AS {metric}" for metric, key in keys.items()
+    )
+
+
+def _board(entity: str, rows: str, by: dict, keys: dict[str, str], minutes: str) -> str:
+    """What a board is, said of rows (entity, match, group, metric, value, game): a group of an entity
+    counts if it has a game and a value, and has all its names."""
+    groups = "".join(f", {n}" for n in by)
+    named = "".join(f" AND {n} IS NOT NULL" for n in by)
+    return (
+        f"SELECT {entity}{groups}, count(DISTINCT match_id) FILTER (game) AS games, {minutes} AS minutes, {_summed(keys)} "
+        f"FROM ({rows}) r GROUP BY {entity}{groups} HAVING count(*) FILTER (game) > 0 AND count(*) FILTER (NOT game) > 0{named}"
+    )
+
+
 def _player_board_steps(category, group_mode="cumulative", venue="both", teams=None, players=None) -> dict:
     by = _GROUPS[group_mode]
     named = "".join(f", {e} AS {n}" for n, e in by.items())
-    grouped = "".join(f", {e}" for e in by.values())
     keys = _player_keys(category)
+    of_game = {False: f"metric_key IN ({_in(keys.values())})", True: "metric_key = 'minutesPlayed'"}
     chosen = (f" AND f.team_id IN ({_in(teams)})" if teams else "") + (
         f" AND f.player_id IN ({_in(players)})" if players else ""
     )
-    facts = f"FROM b_player_stats_log f JOIN b_matches m ON m.match_id = f.match_id {_COMPETITION}"
-    side = _venue(venue, "f.team_id")
-    steps = {
-        "pm": f"SELECT f.player_id{named}, count(DISTINCT f.match_id) AS games, sum(value) AS minutes {facts} "
-        f"WHERE metric_key = 'minutesPlayed'{chosen}{side} GROUP BY f.player_id{grouped}",
-        "px": f"SELECT f.player_id{named}, metric_key, sum(value) AS v {facts} "
-        f"WHERE metric_key IN ({_in(keys.values())}){chosen}{side} GROUP BY f.player_id, metric_key{grouped}",
+    rows = " UNION ALL ".join(
+        f"SELECT f.player_id, f.match_id{named}, metric_key, value, {str(game).lower()} AS game FROM b_player_stats_log f "
+        f"JOIN b_matches m ON m.match_id = f.match_id {_COMPETITION} WHERE {wanted}{chosen}{_venue(venue, 'f.team_id')}"
+        for game, wanted in of_game.items()
+    )
+    return {
+        "wide": _board("player_id", rows, by, keys, "sum(value) FILTER (game)"),
         "pc": "SELECT f.player_id, string_agg(DISTINCT coalesce(c.name, 'Unknown'), ',' ORDER BY coalesce(c.name, 'Unknown')) AS club "
         "FROM b_player_stats_log f LEFT JOIN b_clubs c ON c.team_id = f.team_id "
         f"WHERE metric_key = 'minutesPlayed'{chosen} GROUP BY f.player_id",
     }
-    groups = "".join(f", px.{n}" for n in by)
-    on = "".join(f" AND pm.{n} = px.{n}" for n in by)
-    steps["wide"] = (
-        f"SELECT px.player_id{groups}, pm.games, pm.minutes, {_pivot(keys)} "
-        f"FROM px JOIN pm ON pm.player_id = px.player_id{on} "
-        f"GROUP BY px.player_id{groups}, pm.games, pm.minutes"
-    )
-    return steps
 
 
 def _player_board(category, positions=None, calc_mode="total", min_games=1, min_minutes=0, **options) -> str:
@@ -267,21 +278,16 @@ def _club_rows(keys, perspective, period, venue, teams, extra="", source="") ->
 def _club_steps(category, group_mode="cumulative", perspective="for", period="ALL", venue="both", teams=None) -> dict:
     by = _GROUPS[group_mode]
     named = "".join(f", {e} AS {n}" for n, e in by.items())
-    grouped = "".join(f", {e}" for e in by.values())
     keys = _club_keys(category, True, period)
     chosen = f" AND f.team_id IN ({_in(teams)})" if teams else ""
-    plain = "".join(f", {n}" for n in by)
-    on = "".join(f" AND cm.{n} = cx.{n}" for n in by)
-    groups = "".join(f", cx.{n}" for n in by)
-    return {
-        "cm": f"SELECT f.team_id{named}, count(DISTINCT f.match_id) AS games FROM b_player_stats_log f "
+    rows = (
+        f"SELECT *, false AS game FROM ({_club_rows(keys, perspective, period, venue, teams, named)}) x UNION ALL "
+        f"SELECT f.team_id, m.match_id, f.metric_key, f.value{named}, true AS game FROM b_player_stats_log f "
         f"JOIN b_matches m ON m.match_id = f.match_id {_COMPETITION} "
-        f"WHERE metric_key = 'minutesPlayed'{chosen}{_venue(venue, 'f.team_id')} GROUP BY f.team_id{grouped}",
-        "cr": _club_rows(keys, perspective, period, venue, teams, named),
-        "cx": f"SELECT team_id{plain}, metric_key, sum(value) AS v FROM cr GROUP BY team_id, metric_key{plain}",
-        "wide": f"SELECT cx.team_id{groups}, cm.games, cm.games * 90 AS minutes, {_pivot({m: k for m, (k, _) in keys.items()})} "
-        f"FROM cx JOIN cm ON cm.team_id = cx.team_id{on} GROUP BY cx.team_id{groups}, cm.games",
-    }
+        f"WHERE metric_key = 'minutesPlayed'{chosen}{_venue(venue, 'f.team_id')}"
+    )
+    minutes = "90 * count(DISTINCT match_id) FILTER (game)"
+    return {"wide": _board("team_id", rows, by, {m: k for m, (k, _) in keys.items()}, minutes)}
 
 
 def _club_board(category, calc_mode="total", columns=None, **options) -> str:
@@ -815,6 +821,8 @@ def registered_sql() -> dict[str, str]:
         queries[name] = _last_games(target, category, n, options)
     for name, arguments in STREAKS.items():
         queries[name] = _streaks(*arguments)
+    for name, (base, keys, order) in RANKED.items():
+        queries[name] = f"SELECT {', '.join(keys)}, row_number() OVER (ORDER BY {order}) AS rank FROM ({queries[base]}) b"
     for name, arguments in COMPARISONS.items():
         queries[name] = _compare(*arguments)
     for name, arguments in IMPACTS.items():

@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from matchstats.functions.labels import with_metric_name
 from matchstats.functions.metrics import apply_calc_mode, with_ratios
@@ -33,7 +34,7 @@ from matchstats.operators.leaderboards import (
 )
 from matchstats.operators.streaks import streaks
 from matchstats.plans.ingest import ingest, reprocess
-from matchstats.registry import club_sources, player_sources
+from matchstats.registry import CATEGORIES, club_sources, player_sources
 from matchstats.schema import MINUTES
 from matchstats.session import scratch_folder, tune
 from matchstats.sources import landing as L
@@ -739,6 +740,34 @@ for _name, _arguments in STREAKS.items():
     _streaks(_name, *_arguments)
 
 
+# The order of sorted results: the row's key, and its place as it comes.  The last entry is the order
+# stated for the result, which only the SQL uses.
+RANKED = {
+    "ranked_leaderboard_player": ("leaderboard_player_total", ["player_id"], f"{CATEGORIES['finishing'][0]} DESC, player_id"),
+    "ranked_leaderboard_club": ("leaderboard_club_total", ["team_id"], f"{CATEGORIES['finishing'][0]} DESC, team_id"),
+    "ranked_records": ("records_player", ["player_id", "team_id", "match_id"], "totalShots DESC, match_id, player_id, team_id"),
+    "ranked_records_lowest": ("records_player_lowest", ["player_id", "team_id", "match_id"], "totalPass, match_id, player_id, team_id"),
+    "ranked_last_games": (
+        "last_n_player", ["player_id", "team_id", "match_id"], "match_date DESC, match_id DESC, team_id DESC, player_id",
+    ),
+    "ranked_streaks": ("streaks_top100", ["player_id"], "active_streak DESC, success_pct DESC, player_id"),
+}
+
+
+def in_order(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of a result and the place of each row in it."""
+    placed = df.withColumn("_at", F.monotonically_increasing_id())
+    return placed.select(*keys, F.row_number().over(Window.orderBy("_at")).cast("long").alias("rank"))
+
+
+def _ranked(name: str, base: str, keys: list[str]) -> None:
+    _REGISTERED[name] = lambda spark, sf_dir: in_order(_REGISTERED[base](spark, sf_dir), keys)
+
+
+for _name, (_base, _keys, _) in RANKED.items():
+    _ranked(_name, _base, _keys)
+
+
 # Comparison
 
 

@@ -14,6 +14,7 @@ from matchstats.operators.entities import context_entities
 from matchstats.operators.games import last_games, match_records
 from matchstats.operators.leaderboards import club_leaderboard, club_lists, player_leaderboard
 from matchstats.operators.streaks import streaks
+from matchstats.plans.queries import in_order
 from matchstats.registry import CATEGORIES
 from matchstats.sources.sinks import not_loaded, replace_by_match, upsert
 from matchstats.sources.tables import keep_first, unique_dimension
@@ -195,12 +196,43 @@ def test_records(t):
     ]
     lowest = match_records("player", t, t.matches, "finishing", "totalShots", order="lowest", limit=3)
     assert rows(lowest, "player", "match_id", "totalShots") == [("Dora", 1, 0.0), ("Bea", 2, 0.0), ("Ana", 3, 0.0)]
-    # 50 plays for a club it is not listed for; a metric the target lacks leaves the table whole.
-    everything = match_records("player", t, t.matches, "possession", "ballPossession")
+    # 50 plays for a club it is not listed for.
+    everything = match_records("player", t, t.matches, "finishing", "goals", limit=None)
     assert {r[0] for r in rows(everything, "player_id")} == {10, 20, 30, 40}
     assert everything.count() == 9
 
 
+def test_records_of_a_metric_the_target_lacks_raise(t):
+    with pytest.raises(ValueError, match="ballPossession"):
+        match_records("player", t, t.matches, "possession", "ballPossession")
+
+
+def test_context_filters_apply_by_themselves(t):
+    def chosen(**options):
+        return {r.match_id for r in X.select_matches(t, **options).select("match_id").collect()}
+
+    everything = chosen()
+    assert everything == {r.match_id for r in t.matches.collect()}
+    for empty in ({"competitions": []}, {"seasons": []}, {"teams": []}, {"competitions": [], "seasons": [], "teams": []}):
+        assert chosen(**empty) == everything
+    some = t.tournaments.first()
+    in_competition, in_season = chosen(competitions=[some.name]), chosen(seasons=[some.season_year])
+    assert 0 < len(in_competition) and 0 < len(in_season)
+    assert chosen(competitions=["none"]) == chosen(seasons=["none"]) == set()
+    assert chosen(competitions=[some.name], seasons=[some.season_year]) <= in_competition & in_season
+    assert chosen(end=date(1900, 1, 1)) == set()
+    assert chosen(end=date(2100, 1, 1)) == chosen(start=date(1900, 1, 1), end=date(2100, 1, 1))
+
+
+def test_a_reversed_order_is_noticed(t):
+    board = match_records("player", t, t.matches, "finishing", "goals")
+    keys = ["player_id", "match_id"]
+    forward = {tuple(r) for r in in_order(board, keys).collect()}
+    assert [r[:2] for r in sorted(forward, key=lambda r: r[2])] == [tuple(r) for r in board.select(*keys).collect()]
+    turned = match_records("player", t, t.matches, "finishing", "goals", order="lowest")
+    assert {tuple(r) for r in in_order(turned, keys).collect()} != forward
+
+
 def test_club_records_use_player_sums(t):
     top = match_records("club", t, t.matches, "finishing", "onTargetScoringAttempt", limit=1)
     assert rows(top, "club", "match_id", "onTargetScoringAttempt") == [("Reds", 1, 3.0)]
