@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import cache
-from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -15,18 +15,23 @@ from tokenizers import Tokenizer
 
 _BLANK = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _CROWDED = f"{_BLANK}{{3}}|  "
-_BEHIND_BLANK = re.compile(r" \S+").fullmatch
+_BEHIND_BLANK = re.compile(r" \S(?:.*\S)?", re.DOTALL).fullmatch
 
 BYTE_BPE = "byte_bpe_50k.json"
-#: Pre-tokens remembered at a time: a process holds about 200 MB of them.
-REMEMBERED = 1_000_000
+#: Pre-tokens remembered at a time: a process holds about 90 MB of them.
+REMEMBERED = 400_000
 
 
 class _Places(dict):
-    """Numbers the keys it is asked for in the order they come."""
+    """Numbers the keys it is asked for in the order they come; ``new`` has those without ids yet."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
 
     def __missing__(self, key: str) -> int:
         self[key] = place = len(self)
+        self.new.append(key)
         return place
 
 
@@ -38,6 +43,9 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.remembered = remembered
+        # each character of a byte-level token stands for one byte
+        tokens = sorted((n, len(t)) for t, n in self.tokenizer.get_vocab().items())
+        self.bytes = np.array([size for _, size in tokens], np.int64)
         self._forget()
 
     def _forget(self) -> None:
@@ -49,24 +57,26 @@ class PieceEncoder:
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of pieces in the list, their numbers of ids, and the ids one after the other.  Pieces
-        of a blank and other characters are encoded as one text, which the library parts there too."""
+        that start with a blank and have none at their ends are encoded as one text, which the library
+        parts there too; where a piece's ids end follows from their bytes."""
         joined = [n for n, p in enumerate(pieces) if _BEHIND_BLANK(p)]
-        whole = self.tokenizer.encode("".join([pieces[n] for n in joined]), add_special_tokens=False)
-        starts = np.fromiter((a for a, _ in whole.offsets), np.int64, len(whole.ids))
-        ends = np.cumsum([len(pieces[n]) for n in joined])
-        sizes = np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
+        ids = np.array(self._ids(["".join([pieces[n] for n in joined])])[0], np.uint32)
+        ends = np.cumsum(np.array([len(pieces[n].encode()) for n in joined], np.int64))
+        cuts = np.searchsorted(np.cumsum(self.bytes[ids]), ends, "right")
         apart = set(joined)
         others = [n for n in range(len(pieces)) if n not in apart]
-        rest = self.tokenizer.encode_batch_fast([pieces[n] for n in others], add_special_tokens=False)
-        more = [e.ids for e in rest]
+        more = self._ids([pieces[n] for n in others])
         return (
             np.array(joined + others, np.int64),
-            np.concatenate([sizes, [len(x) for x in more]]).astype(np.int64),
-            np.array(whole.ids + [x for part in more for x in part], np.uint32),
+            np.concatenate([np.diff(cuts, prepend=0), [len(x) for x in more]]).astype(np.int64),
+            np.concatenate([ids, np.array([x for part in more for x in part], np.uint32)]),
         )
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _learn(self) -> None:
-        new = list(islice(self.places, self.known, None))
+        new, self.places.new = self.places.new, []
         if not new:
             return
         order, sizes, ids = self._encoded(new)
@@ -89,6 +99,12 @@ class PieceEncoder:
         self._learn()
         return places
 
+    def count(self, pieces: list[str]) -> int:
+        """The number of ids of a few pre-tokens."""
+        places = [self.places[p] for p in pieces]
+        self._learn()
+        return sum(map(self.sizes.item, places))
+
     def counts(self, pieces: list[str]) -> np.ndarray:
         """The number of ids of each pre-token."""
         places = self.pieces(pieces)
@@ -121,11 +137,24 @@ class PieceEncoder:
         lengths, starts = self.sizes[places], self.starts[places]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.arange(total) + np.repeat(starts - ends + lengths, lengths)]
+        at = np.repeat(starts - ends + lengths, lengths)
+        at += np.arange(total)
+        ids = self.ids[at]
         upto = np.concatenate([[0], ends])[np.cumsum(sizes)]
         return ids, np.diff(np.concatenate([[0], upto]))
 
 
+def slices(texts: pa.StringArray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts with about ``most`` bytes, of at least one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most)) + 1
+        upto = min(upto, len(texts))
+        yield at, upto
+        at = upto
+
+
 @cache
 def encoder(path: str | None = None) -> PieceEncoder:
     """One encoder for each Python worker."""

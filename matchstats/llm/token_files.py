@@ -21,12 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchstats.llm.bpe import encoder
+from matchstats.llm.bpe import encoder, slices
 from matchstats.llm.common import ID, TEXT, documents
 from matchstats.session import scratch_folder
 
@@ -38,7 +37,7 @@ END_ID = 0
 #: Ids after which a segment ends with the document that reaches them, and bytes of the texts that
 #: are encoded together, at least one.
 SEGMENT = 1 << 18
-TOGETHER = 1 << 21
+TOGETHER = 1 << 22
 
 _HEAD = 16
 
@@ -118,17 +117,6 @@ def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return ids[: total - first * BLOCK] if last == blocks else ids
 
 
-def slices(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
-    """Runs of texts with about ``TOGETHER`` bytes."""
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(texts):
-        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOGETHER)) + 1
-        upto = min(upto, len(texts))
-        yield at, upto
-        at = upto
-
-
 _SEGMENTS = "part int, number int, start long, n_ids long, doc_ids array<long>, lengths array<int>, data binary"
 
 
@@ -154,7 +142,7 @@ def write_ids(docs: DataFrame, folder: str, parts: int | None = None, path: str
         part, number, start = TaskContext.get().partitionId(), 0, 0
         encode = encoder(path).encode
         for batch in batches:
-            for at, upto in slices(batch.column(1)):
+            for at, upto in slices(batch.column(1), TOGETHER):
                 keys = batch.column(0).slice(at, upto - at)
                 ids, sizes = encode(batch.column(1).slice(at, upto - at))
                 ids = np.insert(ids, np.cumsum(sizes), end_id).astype(np.uint32)
