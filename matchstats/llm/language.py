@@ -16,11 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from matchstats.llm.bpe import slices
 from matchstats.llm.common import ID, TEXT, documents, held_out, saved
 
 #: Most frequent words and n-grams (each length) that the model keeps of a language.
@@ -32,49 +34,74 @@ LANGUAGES = 200
 UNDETERMINED = "und"
 #: A score of which the pipeline rejects a document: even odds for the best language.
 REJECTED = 0.5
-#: Words whose scores a Python worker remembers.
-REMEMBERED = 300_000
-
-_WORDS = regex.compile(r"\p{L}+")
-
-
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of the words and of the n-grams of distinct words, by language, of some rows."""
-    counts: dict[str, Counter] = {}
-    held = 0
-
-    def rows() -> pd.DataFrame:
-        found = [(lang, 0, w, n) for lang, c in counts.items() for w, n in c.items()]
-        found += [(lang, 9, "", sum(c.values())) for lang, c in counts.items()]
-        return pd.DataFrame(found, columns=["lang", "size", "gram", "n"])
-
+#: Bytes of the texts that are looked at together, and counts that a task holds.
+TOGETHER, HELD = 1 << 23, 400_000
+#: Parts that the words of a language are cut in before the most frequent ones are chosen.
+PARTS = 32
+
+def parted(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words (runs of letters, in lower case) of some texts, the place of each word of the
+    texts among them, and the text it belongs to."""
+    parts = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}]+")
+    of = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
+    coded = parts.flatten().dictionary_encode()
+    distinct, places = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    if "" in distinct:  # before a first and behind a last word
+        there = places != distinct.index("")
+        places, of = places[there], of[there]
+    return distinct, places, of
+
+
+_COUNTS = "lang string, size int, gram string, n long"
+
+
+def _rows(counts: dict[tuple[str, int], dict[str, int]]) -> pa.RecordBatch:
+    sizes = [len(own) for own in counts.values()]
+    langs = np.repeat(np.array([lang for lang, _ in counts], object), sizes)
+    kinds = np.repeat(np.array([size for _, size in counts], np.int32), sizes)
+    grams = [gram for own in counts.values() for gram in own]
+    numbers = [n for own in counts.values() for n in own.values()]
+    columns = [pa.array(langs, pa.string()), pa.array(kinds, pa.int32()), pa.array(grams, pa.string()), pa.array(numbers, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "size", "gram", "n"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words by language, and of all a language's words (size 9), of some rows."""
+    counts: dict[tuple[str, int], Counter] = {}
     for batch in batches:
-        for lang, texts in batch.groupby("lang")["text"]:
-            own = counts.setdefault(lang, Counter())
-            held -= len(own)
-            for text in texts:
-                own.update(_WORDS.findall(text.lower()))
-            held += len(own)
-        if held > 200_000:
-            yield rows()
-            counts, held = {}, 0
-    yield rows()
-
-
-def _grams(word: str, size: int) -> list[str]:
-    padded = f" {word} "
-    return [padded[i : i + size] for i in range(len(padded) - size + 1)]
-
-
-def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for at, upto in slices(batch.column(0), TOGETHER):
+            distinct, places, of = parted(batch.column(0).slice(at, upto - at))
+            coded = batch.column(1).slice(at, upto - at).dictionary_encode()
+            pairs = coded.indices.to_numpy()[of].astype(np.int64) * (len(distinct) + 1) + places
+            found, numbers = np.unique(pairs, return_counts=True)
+            for n, lang in enumerate(coded.dictionary.to_pylist()):
+                own = slice(*np.searchsorted(found, [n * (len(distinct) + 1), (n + 1) * (len(distinct) + 1)]))
+                words = [distinct[w] for w in (found[own] % (len(distinct) + 1)).tolist()]
+                counts.setdefault((lang, 0), Counter()).update(dict(zip(words, numbers[own].tolist(), strict=True)))
+                counts.setdefault((lang, 9), Counter())[""] += int(numbers[own].sum())
+            if sum(map(len, counts.values())) > HELD:
+                yield _rows(counts)
+                counts = {}
+    yield _rows(counts)
+
+
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of n-grams in counted words, each word as often as it occurs."""
+    counts: dict[tuple[str, int], dict[str, int]] = {}
     for batch in batches:
-        counts: Counter = Counter()
-        for lang, word, n in zip(batch["lang"], batch["gram"], batch["n"], strict=True):
+        for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "gram", "n")), strict=True):
+            padded = f" {word} "
             for size in range(1, LONGEST + 1):
-                for gram in _grams(word, size):
-                    counts[lang, size, gram] += n
-        yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "size", "gram", "n"])
+                own = counts.get((lang, size))
+                if own is None:
+                    own = counts[lang, size] = {}
+                for at in range(len(padded) - size + 1):
+                    gram = padded[at : at + size]
+                    own[gram] = own.get(gram, 0) + n
+        if sum(map(len, counts.values())) > HELD:
+            yield _rows(counts)
+            counts = {}
+    yield _rows(counts)
 
 
 def train(labelled: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
@@ -82,25 +109,31 @@ def train(labelled: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
 
     Rows without a letter teach nothing.  Ties in frequency are kept by the order of the words.
     """
-    schema = "lang string, size int, gram string, n long"
     rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
     counted = saved(
-        rows.mapInPandas(_counted, schema).groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")), "words"
+        rows.mapInArrow(_counted, _COUNTS).groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")), "words"
     )
     totals = counted.filter("size = 9").orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     langs = sorted(r["lang"] for r in totals.filter("n > 0").collect())
     seen = counted.filter((F.col("size") == 0) & F.col("lang").isin(langs))
-    parts = seen.mapInPandas(_gram_counts, schema).groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
+    parts = seen.mapInArrow(_gram_counts, _COUNTS).groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
     every = saved(seen.union(parts), "grams")
     sums = {(r["lang"], r["size"]): r["total"] for r in every.groupBy("lang", "size").agg(F.sum("n").alias("total")).collect()}
-    by_count = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram")
-    placed = every.withColumn("_place", F.row_number().over(by_count))
-    kept = placed.filter((F.col("_place") <= words) & (F.col("size") == 0)).union(
-        placed.filter((F.col("_place") <= grams) & (F.col("size") > 0))
-    )
+    kept = _most(every.filter("size = 0"), words).union(_most(every.filter("size BETWEEN 1 AND 8"), grams))
     return Model(langs, sums, kept.select("lang", "size", "gram", "n").toPandas())
 
 
+def _most(counts: DataFrame, most: int) -> DataFrame:
+    """The most frequent of each language and size.  Each part of them is cut first, so no task orders
+    all words of a language."""
+    order = [F.desc("n"), F.col("gram")]
+    part = F.pmod(F.xxhash64("gram"), F.lit(PARTS))
+    first = Window.partitionBy("lang", "size", part).orderBy(*order)
+    second = Window.partitionBy("lang", "size").orderBy(*order)
+    cut = counts.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= most)
+    return cut.withColumn("_place", F.row_number().over(second)).filter(F.col("_place") <= most).drop("_place")
+
+
 class Model:
     """Log frequencies of words and n-grams by language."""
 
@@ -120,47 +153,49 @@ class Model:
             if len(own):
                 matrix[own["gram"].map(at).to_numpy(), column] = np.log(own["n"].to_numpy() / total[column])
             self.tables.append(dict(zip(keys, matrix, strict=True)))
-        self._forget()
-
-    def _forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.scores: list[np.ndarray] = []
-
-    def word(self, word: str) -> np.ndarray:
-        """Score of one word for each language: its own if it is known, else of its n-grams."""
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
-        padded, at, total = f" {word} ", 0, np.zeros(len(self.langs), np.float32)
-        while at < len(padded):
-            for size in range(min(LONGEST, len(padded) - at), 0, -1):
-                found = self.tables[size].get(padded[at : at + size])
-                if found is not None:
-                    total = total + found / size  # places overlap by all but one character
-                    break
-            at += 1
-        return total
-
-    def _place(self, word: str) -> int:
-        place = self.places.get(word)
-        if place is None:
-            place = self.places[word] = len(self.scores)
-            self.scores.append(self.word(word))
-        return place
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language, ties by name, and its share among all; ``und`` and 0 without a
-        letter or a language."""
-        words = _WORDS.findall(text.lower()) if text else []
-        if not words or not self.langs:
-            return UNDETERMINED, 0.0
-        if len(self.scores) > REMEMBERED:
-            self._forget()
-        counts = Counter(words)
-        places = [self._place(w) for w in counts]
-        total = np.fromiter(counts.values(), np.float64, len(counts)) @ np.array([self.scores[p] for p in places], np.float64)
-        best = int(np.argmax(total))
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+        # n-grams of all sizes as rows of one matrix; places overlap by all but one character
+        self.grams: dict[str, int] = {}
+        parts = [np.zeros((0, len(langs)), np.float32)]
+        for size in range(1, LONGEST + 1):
+            for gram, row in self.tables[size].items():
+                self.grams[gram] = len(self.grams)
+                parts.append((row / size)[None, :])
+        self.gram_scores = np.concatenate(parts)
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Scores of words for each language: a word's own if it is known, else of its n-grams."""
+        get, known = self.grams.get, self.tables[0]
+        found, ends = [], []
+        for word in words:
+            if word not in known:
+                padded = f" {word} "
+                for at in range(len(padded)):
+                    for end in range(min(len(padded), at + LONGEST), at, -1):
+                        place = get(padded[at:end])
+                        if place is not None:
+                            found.append(place)
+                            break
+            ends.append(len(found))
+        sums = np.concatenate([np.zeros((1, len(self.langs))), np.cumsum(self.gram_scores[found], axis=0, dtype=np.float64)])
+        scores = np.diff(sums[[0, *ends]], axis=0)
+        for n, word in enumerate(words):
+            if word in known:
+                scores[n] = known[word]
+        return scores
+
+    def predict(self, texts: pa.StringArray) -> tuple[list[str], list[float]]:
+        """The likeliest language of each text, ties by name, and its share among all; ``und`` and 0
+        without a letter or a language."""
+        distinct, places, of = parted(texts)
+        if not self.langs:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+        scores = self.words(distinct)
+        totals = np.stack([np.bincount(of, column[places], len(texts)) for column in scores.T], axis=1)
+        best = totals.argmax(axis=1)
+        shares = 1 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
+        lettered = np.bincount(of, minlength=len(texts)) > 0
+        langs = [self.langs[n] if there else UNDETERMINED for n, there in zip(best, lettered, strict=True)]
+        return langs, np.where(lettered, shares, 0.0).tolist()
 
 
 def predict(docs: DataFrame, model: Model, text: str = TEXT, to: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -172,10 +207,13 @@ def predict(docs: DataFrame, model: Model, text: str = TEXT, to: tuple[str, str]
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # its size is bounded by WORDS and GRAMS
 
-    @F.pandas_udf("lang string, score double")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<lang: string, score: double>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.DataFrame([sent.value.predict(t) for t in texts], columns=["lang", "score"])
+            found = [sent.value.predict(texts.slice(a, b - a)) for a, b in slices(texts, TOGETHER)]
+            langs = pa.array([lang for part, _ in found for lang in part], pa.string())
+            scores = pa.array([score for _, part in found for score in part], pa.float64())
+            yield pa.StructArray.from_arrays([langs, scores], ["lang", "score"])
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in to]
     found = docs.select(*kept, of(F.col(text)).alias("__llm_found"))

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from matchstats.llm import language
@@ -43,16 +44,23 @@ def test_unseen_words_back_off(model):
                     break
         return total
 
-    assert model.word("the") is model.tables[0]["the"]
-    for word in ("chats", "unde", "zzz", "été"):
-        assert model.word(word) == pytest.approx(by_hand(word), abs=1e-4)
+    words = ["the", "chats", "unde", "zzz", "été", "chat"]
+    for word, scores in zip(words, model.words(words), strict=True):
+        assert scores == pytest.approx(model.tables[0][word] if word in ("the", "chat") else by_hand(word), abs=1e-4)
 
 
 def test_predictions(model):
-    assert model.predict("The dog!")[0] == "en" and model.predict("les chiens")[0] == "fr"
-    for text in (None, "", "  \n", "123 !!"):
-        assert model.predict(text) == ("und", 0.0)
-    assert 0 < model.predict("x")[1] <= 1
+    texts = ["The dog!", "les chiens", None, "", "  \n", "123 !!", "x"]
+    langs, scores = model.predict(pa.array(texts))
+    assert langs[:2] == ["en", "fr"] and langs[2:6] == ["und"] * 4 and scores[2:6] == [0.0] * 4
+    assert all(0 < s <= 1 for s in (*scores[:2], scores[6]))
+    summed = model.words(["the", "dog"]).sum(axis=0)
+    assert scores[0] == pytest.approx(1 / np.exp(summed - summed.max()).sum())
+
+
+def test_words_are_runs_of_letters():
+    distinct, places, of = language.parted(pa.array(["Été 2x, d'un_mot", None, "été", "¡!"]))
+    assert [[distinct[p] for p in places[of == n]] for n in range(4)] == [["été", "x", "d", "un", "mot"], [], ["été"], []]
 
 
 def test_odd_rows(spark, odd_docs, no_docs, model):
