@@ -1,7 +1,9 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 The bound tables are first written in the library's own storage layout, so that deriving them is
-not timed.  Each query runs once to warm up and three times for the median.
+not timed.  Each query runs once to warm up and three times for the median.  The write path is
+timed as well: one first load of all payloads as a job and as a stream (landing them is not timed),
+and replacing the facts of every hundredth match, three times.
 """
 
 from __future__ import annotations
@@ -24,10 +26,12 @@ from matchstats.operators.entities import context_entities  # noqa: E402
 from matchstats.operators.games import last_games, match_records  # noqa: E402
 from matchstats.operators.leaderboards import club_leaderboard, player_leaderboard  # noqa: E402
 from matchstats.operators.streaks import streaks  # noqa: E402
+from matchstats.plans.ingest import ingest  # noqa: E402
 from matchstats.session import scratch_folder  # noqa: E402
-from matchstats.sources.orders_binding import bind  # noqa: E402
-from matchstats.sources.sinks import append_facts, as_table  # noqa: E402
+from matchstats.sources.orders_binding import bind, land  # noqa: E402
+from matchstats.sources.sinks import append_facts, as_table, replace_facts  # noqa: E402
 from matchstats.sources.storage import write_version  # noqa: E402
+from matchstats.streaming.ingest import stream_ingest  # noqa: E402
 
 RUNS = 3
 
@@ -73,6 +77,35 @@ def timed(build, tables: StatsTables) -> float:
     return time.perf_counter() - start
 
 
+def timed_run(action) -> float:
+    start = time.perf_counter()
+    action()
+    return time.perf_counter() - start
+
+
+def write_paths(spark: SparkSession, sf_dir: str, tables: StatsTables) -> dict[str, list[float]]:
+    """Seconds of loads and replacements."""
+    root = scratch_folder(spark, "bench-load")
+    land(spark, sf_dir, f"{root}/landing")
+    few = tables.matches.filter("match_id % 100 = 1").select("match_id", "season_id")
+    facts = tables.match_stats.join(few.select("match_id"), "match_id", "left_semi")
+    append_facts(tables.match_stats, f"{root}/replaced", "match_stats_log")
+    return {
+        "ingest_first_load": [timed_run(lambda: ingest(spark, f"{root}/landing", f"{root}/tables"))],
+        "stream_first_load": [
+            timed_run(
+                lambda: stream_ingest(
+                    spark, f"{root}/landing", f"{root}/streamed", f"{root}/checkpoint"
+                ).awaitTermination()
+            )
+        ],
+        "replace_match_facts": [
+            timed_run(lambda: replace_facts(facts, few, f"{root}/replaced", "match_stats_log"))
+            for _ in range(RUNS)
+        ],
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -83,6 +116,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.matchstats.buckets", "1")  # a season is a few megabytes here
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -91,6 +125,9 @@ def main() -> None:
     for name in sys.argv[1:] or QUERIES:
         runs = [timed(QUERIES[name], tables) for _ in range(RUNS + 1)]
         seconds[name] = round(statistics.median(runs[1:]), 4)
+    if not sys.argv[1:]:
+        for name, runs in write_paths(spark, sf_dir, tables).items():
+            seconds[name] = round(statistics.median(runs), 4)
     print(
         json.dumps(
             {

@@ -40,15 +40,16 @@ def player_games(
     """One row per player, club and match; only players listed for that club.
 
     They are matched by an inner join on their unique key because a semi join would be moved
-    below the aggregation, onto the raw facts.
+    below the aggregation, onto the raw facts.  The season is a key as well, so that the rows stay
+    where the join of facts and matches, which prunes by season, has put them.
     """
-    rows = player_rows(
-        tables, games, [s.key for s in sources], carry=["match_date"], teams=teams, venue=venue
-    )
+    carry = ["match_date", "season_id"]
+    rows = player_rows(tables, games, [s.key for s in sources], carry, teams=teams, venue=venue)
     listed = tables.players.filter(F.col("name").isNotNull()).select("player_id", "team_id")
     return (
-        rows.groupBy("player_id", "team_id", "match_id", "match_date")
+        rows.groupBy("player_id", "team_id", "match_id", *carry)
         .agg(*[metric_sum(s) for s in sources])
+        .drop("season_id")
         .join(listed, ["player_id", "team_id"])
     )
 
