@@ -9,11 +9,12 @@ on the text from its start to at most ``LOOK`` characters beyond its end.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ CONTEXT = 4
 #: Characters that are encoded together, of as many documents.
 TOGETHER = 1 << 18
 
-Count = Callable[[list[str]], np.ndarray]
+Count = Callable[[list[str]], int]
 Split = Callable[[str], list[str]]
 
 
@@ -74,10 +75,11 @@ class TokenTree:
         chars = len(held) if isinstance(held, str) else sum(map(len, held))
         self.leaves[leaf] = held
         node = leaf + self.width
-        more = chars - self.chars[node], tokens - self.tokens[node]
-        while node and any(more):
-            self.chars[node] += more[0]
-            self.tokens[node] += more[1]
+        chars -= self.chars[node]
+        tokens -= self.tokens[node]
+        while node:
+            self.chars[node] += chars
+            self.tokens[node] += tokens
             node //= 2
 
     def edit(self, start: int, end: int, new: str, split: Split, count: Count) -> None:
@@ -106,7 +108,7 @@ class TokenTree:
         fresh, leaves = kept
         # a match never spans leaves, so an edited region becomes one leaf of several pre-tokens
         self.encoded += fresh
-        self._set(first, pieces[:fresh], int(count(pieces[:fresh]).sum()) if fresh else 0)
+        self._set(first, pieces[:fresh], count(pieces[:fresh]))
         for n in range(first + 1, first + leaves):
             self._set(n, "", 0)
 
@@ -131,19 +133,30 @@ class TokenTree:
         return (len(pieces), len(old)) if whole else None
 
 
-#: What the query edits: addresses go, runs of blanks and of punctuation shrink.
+#: What the query edits: addresses go, runs of punctuation and of blanks shrink to one character.  Of a
+#: rule without a replacement the first character stays.
 EDITS = (
     (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<email>"),
-    (r"(?<=[!?.*$%&#~])[!?.*$%&#~]+", ""),
-    (r"[ \t]{2,}", " "),
+    (r"[!?.*$%&#~]{2,}", None),
+    (r"[ \t]{2,}", None),
 )
 
 
-def edits_of(text: str, rules: tuple[tuple[str, str], ...] = EDITS) -> list[tuple[int, int, str]]:
+@cache
+def _pattern(rules: tuple) -> re.Pattern:
+    return re.compile("|".join(f"({p})" for p, _ in rules))
+
+
+def edits_of(text: str, rules: tuple[tuple[str, str | None], ...] = EDITS) -> list[tuple[int, int, str]]:
     """Places that the rules' expressions find, leftmost first and not overlapping, with their
     replacements."""
-    pattern = regex.compile("|".join(f"({p})" for p, _ in rules))
-    return [(m.start(), m.end(), rules[m.lastindex - 1][1]) for m in pattern.finditer(text)]
+    if "@" not in text:
+        rules = tuple(rule for rule in rules if "@" not in rule[0])
+    found = []
+    for match in _pattern(rules).finditer(text) if rules else ():
+        new = rules[match.lastindex - 1][1]
+        found.append((match.start() + (new is None), match.end(), new or ""))
+    return found
 
 
 def trees(texts: list[str], encode: PieceEncoder) -> Iterator[TokenTree]:
@@ -156,7 +169,7 @@ def trees(texts: list[str], encode: PieceEncoder) -> Iterator[TokenTree]:
 
 
 def counts(
-    docs: DataFrame, rules: tuple[tuple[str, str], ...] = EDITS, heading: str | None = None, path: str | None = None
+    docs: DataFrame, rules: tuple[tuple[str, str | None], ...] = EDITS, heading: str | None = None, path: str | None = None
 ) -> DataFrame:
     """``doc_id, n_tokens, n_edits, n_tokens_edited, n_pretokens, n_reencoded`` for every row of ``docs``:
     its tokens before and after the rules' edits and, if ``heading`` names a column, after its value
@@ -184,7 +197,7 @@ def counts(
                     if heads[n] is not None:
                         edits.insert(0, (0, 0, f"{heads[n]}\n"))
                     for start, end, new in reversed(edits):  # places before an edit stay
-                        tree.edit(start, end, new, encode.split, encode.counts)
+                        tree.edit(start, end, new, encode.split, encode.count)
                     rows.append((keys[n], before, len(edits), tree.n_tokens, pieces, tree.encoded))
                 at = upto
             columns = list(zip(*rows, strict=True)) or [[]] * 6

@@ -27,7 +27,7 @@ def test_counts_after_any_edits_equal_encoding_again():
             start = chosen.randint(0, len(held))
             end = min(len(held), start + chosen.choice([0, 0, 1, 2, 5, 30]))
             new = text(6)
-            tree.edit(start, end, new, ENCODER.split, ENCODER.counts)
+            tree.edit(start, end, new, ENCODER.split, ENCODER.count)
             held = held[:start] + new + held[end:]
             assert tree.text() == held and tree.n_tokens == whole(held)
 
@@ -35,10 +35,16 @@ def test_counts_after_any_edits_equal_encoding_again():
 def test_an_edit_encodes_little_of_a_long_text():
     held = "some words of a long text " * 5000
     tree = next(trees([held], ENCODER))
-    tree.edit(60_000, 60_004, "other", ENCODER.split, ENCODER.counts)
+    tree.edit(60_000, 60_004, "other", ENCODER.split, ENCODER.count)
     assert tree.encoded < 12 and tree.n_tokens == whole(held[:60_000] + "other" + held[60_004:])
 
 
+def test_edits():
+    text = "write to a.b@c.org  now!!! or $$$ not.."
+    assert edits_of(text) == [(9, 18, "<email>"), (19, 20, ""), (24, 26, ""), (31, 33, ""), (38, 39, "")]
+    assert edits_of("a  b") == [(2, 3, "")] and edits_of("a.b") == edits_of("") == []
+
+
 def test_rows(odd_docs, no_docs):
     found = counts(odd_docs, heading="source").collect()
     expected = []
