@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
 
-TABLES = ("region", "nation", "customer", "orders", "lineitem")
+TABLES = ("region", "nation", "customer", "orders", "lineitem", "documents", "embeddings", "benchmark")
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -54,7 +54,7 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark, con = session(), connect(sf_dir)
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     failed = 0
     for name in names:
         start = time.time()
