@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -40,7 +39,7 @@ ZIPF_SHIFT, BYTE_COST = 2.7, 5.0
 #: Scores are counted in millionths.
 UNIT = 1_000_000
 #: Words that a Python worker remembers, and the longest of them.
-REMEMBERED, LONGEST_WORD = 500_000, 48
+REMEMBERED, LONGEST_WORD = 250_000, 48
 
 _NO_PATH = float("-inf")
 _UNKNOWN = (-1, _NO_PATH)
@@ -196,26 +195,52 @@ def encode(docs: DataFrame, text: str = TEXT, to: str = "ids", path: str | None
     equal texts get equal ids.  Other columns stay, but for one named like ``to``.
     """
 
-    @F.pandas_udf("array<int>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([np.array(pieces(path).encode(t), np.int32) for t in texts], dtype=object)
+            yield _listed([pieces(path).encode(t.as_py()) for t in texts])
 
     return docs.withColumn(to, of(F.col(text)))
 
 
+def _listed(ids: list[list[int]]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array([n for part in ids for n in part], pa.int32()))
+
+
 def decode(docs: DataFrame, ids: str = "ids", to: str = TEXT, path: str | None = None) -> DataFrame:
     """``docs`` and the texts of its ids; NULL for NULL, an empty text for no ids.  Other columns stay,
     but for one named like ``to``."""
 
-    @F.pandas_udf("string")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for rows in batches:
-            yield pd.Series([None if r is None else pieces(path).decode(r.tolist()) for r in rows], dtype=object)
+            texts = [pieces(path).decode(r.values.to_pylist()) if r.is_valid else None for r in rows]
+            yield pa.array(texts, pa.string())
 
     return docs.withColumn(to, of(F.col(ids)))
 
 
+def encode_checked(docs: DataFrame, text: str = TEXT, to: tuple[str, str] = ("ids", "exact"), path: str | None = None) -> DataFrame:
+    """``docs`` with the ids of its texts, as in ``encode``, and whether decoding them gives the text (of
+    NULL, an empty one), both in one pass."""
+
+    @F.arrow_udf(f"struct<{to[0]}: array<int>, {to[1]}: boolean>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            ids, exact = [], []
+            for text in texts:
+                own = text.as_py() or ""
+                ids.append(pieces(path).encode(own))
+                exact.append(pieces(path).decode(ids[-1]) == own)
+            yield pa.StructArray.from_arrays([_listed(ids), pa.array(exact)], list(to))
+        pieces(path).known.clear()  # other stages run in this worker
+
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in to]
+    found = docs.select(*kept, of(F.col(text)).alias("__llm_found"))
+    return found.select(*kept, *[F.col(f"__llm_found.{c}").alias(c) for c in to])
+
+
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, n_tokens, ids_crc32, n_bytes, decoded_crc32, exact`` for every row of ``docs``: the ids
     (checksum of them as little-endian unsigned 32-bit integers), how many of them are bytes, and
