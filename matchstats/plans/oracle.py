@@ -570,6 +570,12 @@ def _simple() -> dict[str, str]:
             f"SELECT f.match_id, player_id, team_id, metric_key, {_r('value', 'value')} FROM {minutes} "
             f"WHERE metric_key IN ('goals', 'expectedGoals') AND {finished}"
         ),
+        "scan_spatial": over_tables(
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS table_name, match_id * 10 + ln AS id, match_id, player_id, {_r('disc', 'x')} FROM b_lines"
+                for name in ("match_shots", "match_spatial_actions", "match_average_positions")
+            )
+        ),
         "ingest_rounds": over_tables(
             "SELECT DISTINCT tournament_id, season_id, CAST(round_id AS BIGINT) AS round_id, CAST(NULL AS VARCHAR) AS round_slug, "
             "coalesce(round_name, 'Round ' || CAST(round_id AS VARCHAR)) AS round_name FROM b_matches WHERE tournament_id <> 99 "

@@ -40,7 +40,14 @@ from matchstats.session import scratch_folder, tune
 from matchstats.sources import landing as L
 from matchstats.sources import orders_binding as B
 from matchstats.sources.landed import quarantine
-from matchstats.sources.sinks import append_facts, not_loaded, replace_by_match, upsert, write_dimension
+from matchstats.sources.sinks import (
+    append_facts,
+    as_table,
+    not_loaded,
+    replace_by_match,
+    upsert,
+    write_dimension,
+)
 from matchstats.sources.tables import (
     StatsTables,
     dimension_columns,
@@ -134,6 +141,26 @@ def _(t: StatsTables) -> DataFrame:
     return player_rows(t, X.finished(t.matches), ["goals", "expectedGoals"])
 
 
+@query_on_files("scan_spatial")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of shots, actions and average positions, as they are stored."""
+    root = scratch_folder(spark, "spatial")
+    lines = B.bound_lines(spark, sf_dir, B.bound_matches(spark, sf_dir))
+    given = lines.select(
+        (F.col("match_id") * 10 + F.col("ln")).alias("id"), "match_id", "player_id",
+        (F.col("side") == "home").alias("is_home_team"), F.col("disc").alias("x_coord"),
+        F.col("disc").alias("x_start"), F.col("disc").alias("avg_x"), F.col("ln").alias("time_min"),
+    )
+    parts = []
+    for name, place in (
+        ("match_shots", "x_coord"), ("match_spatial_actions", "x_start"), ("match_average_positions", "avg_x"),
+    ):
+        as_table(given, name).write.parquet(f"{root}/{name}")
+        stored = read_table(spark, root, name)
+        parts.append(stored.select(F.lit(name).alias("table_name"), "id", "match_id", "player_id", F.col(place).alias("x")))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def _parsed(payloads: DataFrame, kind: str) -> DataFrame:
     return L.parse_payloads(payloads, kind)
 

@@ -54,7 +54,7 @@ def test_binding_equals_its_sql(spark, t, name):
 
 
 QUERIES = sorted(registered())
-WRITES = [n for n in QUERIES if n.startswith(("append_", "ingest_job", "stream_", "reprocess_", "ingest_quarantine"))]
+WRITES = [n for n in QUERIES if n.startswith(("append_", "ingest_job", "stream_", "reprocess_", "ingest_quarantine", "scan_spatial"))]
 
 
 def test_every_query_has_sql():
