@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN = 24
+HIDDEN = 16
 #: Lanes side by side at most, and steps of a window: in training, where gradients end, and in scoring.
-LANES, TRAIN_STEPS, SCORE_STEPS = 512, 16, 64
-RATE, CLIP = 0.004, 1.0
+LANES, TRAIN_STEPS, SCORE_STEPS = 512, 32, 64
+RATE, CLIP = 0.01, 1.0
 
 
 @dataclass
@@ -45,15 +45,24 @@ class Shape:
         }
 
 
-def initial(shape: Shape, seed: int = 5) -> dict[str, np.ndarray]:
+def initial(shape: Shape, frequencies: np.ndarray | None = None, seed: int = 5) -> dict[str, np.ndarray]:
+    """Small random weights; the biases are those of the tokens' frequencies, if given."""
     random = np.random.default_rng(seed)
     made = {}
     for name, size in shape.parts().items():
         scale = 0.0 if name.endswith("bias") else 0.08 if name in ("input", "word") else 1 / np.sqrt(size[0])
         made[name] = (random.standard_normal(size) * scale).astype(np.float32)
+    if frequencies is not None:
+        logs = np.log(np.asarray(frequencies) + 1.0)
+        head = np.arange(shape.head)
+        made["word_bias"][head % shape.classes * shape.per_class + head // shape.classes] = logs[: shape.head]
+        sums = np.bincount(head % shape.classes, np.exp(logs[: shape.head]), shape.classes)
+        made["choice_bias"][:] = np.concatenate([np.log(np.maximum(sums, 1e-9)), logs[shape.head :]])
+        made["choice_bias"] -= made["choice_bias"].max()
+        made["word_bias"] -= made["word_bias"].max()
     # a class that holds fewer words than others leaves places that no word has
-    made["word_bias"][np.arange(len(made["word_bias"])) % shape.per_class * shape.classes
-                      + np.arange(len(made["word_bias"])) // shape.per_class >= shape.head] = -1e4
+    at = np.arange(shape.per_class * shape.classes)
+    made["word_bias"][at % shape.per_class * shape.classes + at // shape.per_class >= shape.head] = -1e4
     return made
 
 
@@ -122,6 +131,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+def _softmax(logits: np.ndarray, bias: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of one place in each row, and all probabilities."""
+    logits += bias
+    if logits.size and logits.max() > 60:  # else no sum overflows
+        logits -= logits.max(axis=1, keepdims=True)
+    chosen = logits[np.arange(len(at)), at]
+    odds = np.exp(logits, out=logits)
+    sums = odds @ np.ones(odds.shape[1], odds.dtype)
+    odds *= (1 / sums)[:, None]
+    return chosen - np.log(sums), odds
+
+
 class Network:
     def __init__(self, shape: Shape, weights: dict[str, np.ndarray]) -> None:
         self.shape, self.w = shape, weights
@@ -155,43 +176,36 @@ class Network:
         """Log probability of each token from its state; with ``grads`` these are added to, for the
         mean over the tokens, and the states' gradients are given."""
         choice, place = self._choices(told)
-        rows = np.arange(len(told))
-        logits = states @ self.w["choice"] + self.w["choice_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        odds = np.exp(logits)
-        sums = odds.sum(axis=1)
-        logs = (logits[rows, choice] - np.log(sums)).astype(np.float64)
-        back = None
+        order = np.argsort(choice, kind="stable")
+        choice, place, states = choice[order], place[order], states[order]
+        logs, odds = _softmax(states @ self.w["choice"], self.w["choice_bias"], choice)
+        logs = logs.astype(np.float64)
         if grads is not None:
-            odds /= sums[:, None]
-            odds[rows, choice] -= 1
-            odds /= len(told)
+            odds[np.arange(len(odds)), choice] -= 1
+            odds *= np.float32(1 / len(told))
             grads["choice"] += states.T @ odds
             grads["choice_bias"] += odds.sum(axis=0)
             back = odds @ self.w["choice"].T
         size = self.shape.per_class
-        order = np.argsort(choice, kind="stable")
-        starts = np.searchsorted(choice[order], np.arange(self.shape.classes + 1))
-        for n in range(self.shape.classes):
-            own = order[starts[n] : starts[n + 1]]
-            if not len(own):
-                continue
-            part = slice(n * size, (n + 1) * size)
+        starts = np.searchsorted(choice, np.arange(self.shape.classes + 1))
+        for n in np.flatnonzero(np.diff(starts)):
+            own, part = slice(starts[n], starts[n + 1]), slice(n * size, (n + 1) * size)
             word, seen = self.w["word"][part], states[own]
-            inner = seen @ word.T + self.w["word_bias"][part]
-            inner -= inner.max(axis=1, keepdims=True)
-            odds = np.exp(inner)
-            sums = odds.sum(axis=1)
-            at = np.arange(len(own))
-            logs[own] += inner[at, place[own]] - np.log(sums)
+            more, odds = _softmax(seen @ word.T, self.w["word_bias"][part], place[own])
+            logs[own] += more
             if grads is not None:
-                odds /= sums[:, None]
-                odds[at, place[own]] -= 1
-                odds /= len(told)
+                odds[np.arange(len(odds)), place[own]] -= 1
+                odds *= np.float32(1 / len(told))
                 grads["word"][part] += odds.T @ seen
                 grads["word_bias"][part] += odds.sum(axis=0)
                 back[own] += odds @ word
-        return logs, back
+        given = np.empty_like(logs)
+        given[order] = logs
+        if grads is None:
+            return given, None
+        whole = np.empty_like(back)
+        whole[order] = back
+        return given, whole
 
     def scores(self, documents: list[np.ndarray], start: int = 0) -> np.ndarray:
         """Natural log probability of each document, all of its tokens."""

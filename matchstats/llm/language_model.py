@@ -17,24 +17,27 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.llm.common import ID, TEXT, documents, held_out, saved
+from matchstats.llm.bpe import slices
 from matchstats.llm.gru import Adam, Network, Shape, flat, initial, unflat
 
 #: Words that the recurrent model tells, with the end of a document, in so many classes.
-HEAD, CLASSES = 2048, 16
-#: Words whose counts are sent to all tasks.
-FREQUENT = 100_000
+HEAD, CLASSES = 1024, 8
+#: Words whose counts are sent to all tasks, at most: those above a count.
+FREQUENT = 150_000
 ROUNDS = 2
-#: Tokens of the documents that run through the lanes together, at least one document.
-TOGETHER = 2_000_000
+#: Bytes of the texts that run through the lanes together, at least one.
+TOGETHER = 1 << 23
 #: Distinct words that a task holds while it counts.
-HELD = 300_000
+HELD = 500_000
 
 # Tail classes by the last byte of a word: letters, digits, some marks, the rest of ASCII, and bytes
 # that end other characters.
@@ -55,9 +58,18 @@ def tail_class(byte: int) -> int:
 _TAIL_OF = [tail_class(b) for b in range(256)]
 
 
-def words(text: str | None) -> list[bytes]:
-    """Words of a text, A-Z in lower case; white space is that of ASCII."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+def parted(texts: pa.StringArray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words of some texts (A-Z in lower case, white space that of ASCII), the place of each
+    word of the texts among them, and the text it belongs to."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    of = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
+    coded = parts.flatten().dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    places = coded.indices.to_numpy()
+    if b"" in distinct:  # before a first and behind a last word
+        there = places != distinct.index(b"")
+        places, of = places[there], of[there]
+    return distinct, places, of
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,8 +80,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(held, ["word", "n"])
 
     for batch in batches:
-        for text in batch.column(0):
-            counts.update(words(text.as_py()))
+        for at, upto in slices(batch.column(0), TOGETHER):
+            distinct, places, _ = parted(batch.column(0).slice(at, upto - at))
+            found = np.bincount(places, minlength=len(distinct)).tolist()
+            counts.update({word: n for word, n in zip(distinct, found, strict=True) if n})
             if len(counts) > HELD:
                 yield rows()
                 counts.clear()
@@ -88,19 +102,34 @@ class Vocabulary:
         np.add.at(sums, _TAIL_OF, tails)
         for word, n in frequent[: HEAD - 1]:
             sums[_TAIL_OF[word[-1]]] -= n, 1
+        self.frequencies = np.array([ends, *(n for _, n in frequent[: HEAD - 1]), *sums[:, 0]])
         #: log10 of what the frequencies of a tail class are divided by
         self.divisors = np.log10(sums.sum(axis=1) + 1)
         self.ids = {word: n + 1 for n, word in enumerate(self.head)}
         self.shape = Shape(len(self.head) + 1, CLASSES, TAIL)
 
+    def without_counts(self) -> Vocabulary:
+        """What training needs."""
+        light = copy(self)
+        light.counts = {}
+        return light
+
     @property
     def base_divisor(self) -> float:
         return float(np.log10(self.total + self.distinct + 1))
 
-    def tokens(self, found: list[bytes]) -> np.ndarray:
-        """Token numbers of a text's words and its end, which is 0."""
+    def tokens(self, distinct: list[bytes]) -> np.ndarray:
+        """Token numbers of words; 0 is the end of a document."""
         get, head, tail = self.ids.get, len(self.head) + 1, _TAIL_OF
-        return np.array([get(w) or head + tail[w[-1]] for w in found] + [0], np.int32)
+        return np.array([get(w) or (head + tail[w[-1]] if w else 0) for w in distinct], np.int32)
+
+    def documents(self, texts: pa.StringArray) -> tuple[list[np.ndarray], np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """Token numbers of each text with its end; of all words of the texts, and what ``parted`` gives."""
+        distinct, places, of = parted(texts)
+        numbers = self.tokens(distinct)[places] if len(places) else np.zeros(0, np.int32)
+        cuts = np.cumsum(np.bincount(of, minlength=len(texts)))
+        ended = np.insert(numbers, cuts, 0)
+        return np.split(ended, (cuts + np.arange(1, len(texts) + 1))[:-1]), numbers, distinct, places, of
 
 
 def _vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
@@ -114,42 +143,30 @@ def _vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
     tails = np.zeros((256, 2), np.int64)
     for row in counts.groupBy(last.alias("last")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
         tails[row["last"]] = row["n"], row["words"]
-    frequent = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
+    # words above the count that the last of them has; no task orders all words
+    by_count = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(FREQUENT).toArrow()
+    within = np.cumsum(by_count["words"].to_numpy()) <= FREQUENT
+    least = int(by_count["n"].to_numpy()[within].min()) if within.any() else None
+    wanted = counts.filter(F.col("n") >= least) if least else counts.limit(0)
+    frequent = wanted.toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     pairs = list(zip(frequent["word"].to_pylist(), frequent["n"].to_pylist(), strict=True))
     total, distinct = tails.sum(axis=0).tolist()
     return Vocabulary(total + ends, distinct + (ends > 0), ends, pairs, tails), counts
 
 
-def _together(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, text: int) -> Iterator[tuple]:
-    """Documents' other columns, words and tokens, in groups of about ``TOGETHER`` tokens."""
-    rows, found, tokens, held = [], [], [], 0
-    for batch in batches:
-        others = [batch.column(n).to_pylist() for n in range(batch.num_columns) if n != text]
-        for n, body in enumerate(batch.column(text)):
-            own = words(body.as_py())
-            rows.append([column[n] for column in others])
-            found.append(own)
-            tokens.append(vocabulary.tokens(own))
-            held += len(own) + 1
-            if held >= TOGETHER:
-                yield rows, found, tokens
-                rows, found, tokens, held = [], [], [], 0
-    if rows:
-        yield rows, found, tokens
-
-
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Weights from one pass over all documents."""
     spark = docs.sparkSession
-    weights = flat(initial(vocabulary.shape))
+    weights = flat(initial(vocabulary.shape, vocabulary.frequencies))
     for turn in range(rounds):
-        sent = spark.sparkContext.broadcast((vocabulary, weights))  # bounded by HEAD and FREQUENT
+        sent = spark.sparkContext.broadcast((vocabulary.without_counts(), weights))  # bounded by HEAD
 
         def fit(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             known, start = sent.value
             network, adam, seen = Network(known.shape, unflat(known.shape, start)), Adam(), 0
-            for _, _, tokens in _together(batches, known, 0):
-                seen += network.train(tokens, adam)[1]
+            for batch in batches:
+                for at, upto in slices(batch.column(0), TOGETHER):
+                    seen += network.train(known.documents(batch.column(0).slice(at, upto - at))[0], adam)[1]
             if seen:
                 values = flat(network.w).astype(np.float64) * seen
                 columns = [pa.array(np.arange(len(values))), pa.array(values), pa.array(np.full(len(values), seen))]
@@ -186,36 +203,42 @@ def score(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS) -> DataFra
     Repeated rows each have a row; an empty table gives no rows; other columns are not looked at.
     """
     vocabulary, counts = _vocabulary(training)
+    # bounded by HEAD and FREQUENT
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, train(training, vocabulary, rounds)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weights = sent.value
         network = Network(known.shape, unflat(known.shape, weights))
         head = known.shape.head
-        logs = {word: (float(np.log10(n + 1)), n > 0) for word, n in known.counts.items()}
-        in_head = {word: logs[word][0] for word in known.head}
-        end = float(np.log10(known.ends + 1)), int(known.ends > 0)
-        for rows, found, tokens in _together(batches, known, 2):
-            scores = network.scores(tokens) / np.log(10)
-            out: list[list] = [[] for _ in range(7)]
-            for (key, apart), own, ids, total in zip(rows, found, tokens, scores, strict=True):
-                total -= known.divisors[ids[ids >= head] - head].sum()
-                sums, seen, tail, rare = end[0], end[1], 0.0, []
-                for word, n in Counter(own).items():
-                    log = logs.get(word)
-                    if log is None:
-                        rare.append({"word": word, "n": n})
-                    else:
-                        sums += n * log[0]
-                        seen += n
-                        if word not in in_head:
-                            tail += n * log[0]
-                row = key, apart, len(own) + 1, seen, sums, float(total + tail), rare
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(out, _TYPES, strict=True)], _NAMES
-            )
+        counts_and_one = np.fromiter(known.counts.values(), np.float64, len(known.counts)) + 1
+        logs = dict(zip(known.counts, np.log10(counts_and_one).tolist(), strict=True))
+        end = float(np.log10(known.ends + 1))
+        for batch in batches:
+            for at, upto in slices(batch.column(2), TOGETHER):
+                size = upto - at
+                tokens, numbers, distinct, places, of = known.documents(batch.column(2).slice(at, size))
+                scores = network.scores(tokens) / np.log(10)
+                # of each distinct word: log10 of its count and one, NaN where that is not at hand
+                log = np.array([logs.get(w, np.nan) for w in distinct])[places]
+                rare, tail = np.isnan(log), numbers >= head
+                at_hand = np.where(rare, 0, log)
+                divided = np.zeros(len(log))
+                divided[tail] = known.divisors[numbers[tail] - head]
+                sums = np.bincount(of, at_hand, size) + end
+                model = scores + np.bincount(of, np.where(tail, at_hand, 0) - divided, size)
+                seen = np.bincount(of, ~rare, size).astype(np.int64) + (known.ends > 0)
+                lengths = np.bincount(of, minlength=size) + 1
+                pairs, n = np.unique(of[rare] * np.int64(len(distinct) + 1) + places[rare], return_counts=True)
+                owner, word = pairs // (len(distinct) + 1), pairs % (len(distinct) + 1)
+                listed = pa.StructArray.from_arrays(
+                    [pa.array(distinct, pa.binary()).take(pa.array(word)), pa.array(n.astype(np.int64))], ["word", "n"]
+                )
+                offsets = np.searchsorted(owner, np.arange(size + 1)).astype(np.int32)
+                columns = [
+                    batch.column(0).slice(at, size), batch.column(1).slice(at, size), pa.array(lengths.astype(np.int64)),
+                    pa.array(seen), pa.array(sums), pa.array(model), pa.ListArray.from_arrays(pa.array(offsets), listed),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, _NAMES)
 
     given = docs.select(F.col(ID).cast("long").alias(ID), "held_out", TEXT)
     scored = saved(given.mapInArrow(run, _SCORED).withColumn("_row", F.monotonically_increasing_id()), "scored")
@@ -237,10 +260,6 @@ def score(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS) -> DataFra
 
 
 _NAMES = ["doc_id", "held_out", "n_tokens", "n_known", "logs", "model", "rare"]
-_TYPES = [
-    pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-    pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])),
-]
 
 
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
