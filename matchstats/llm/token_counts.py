@@ -24,9 +24,9 @@ from matchstats.llm.common import ID, TEXT, documents
 #: Characters behind a pre-token that may decide where it ends ('re, 've, 'll; runs of blanks).
 LOOK = 2
 #: Pre-tokens behind an edit that are first tried as context.
-CONTEXT = 4
+CONTEXT = 2
 #: Characters that are encoded together, of as many documents.
-TOGETHER = 1 << 18
+TOGETHER = 1 << 20
 
 Count = Callable[[list[str]], int]
 Split = Callable[[str], list[str]]
