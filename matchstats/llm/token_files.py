@@ -47,6 +47,19 @@ def _blocks(ids: np.ndarray) -> np.ndarray:
     return padded.reshape(-1, BLOCK)
 
 
+def _packed(values: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bits of the values of each row, one behind the other: eight values take as many
+    bytes as a value has bits."""
+    eights = (values & np.uint32((1 << width) - 1)).astype(np.uint64).reshape(len(values), -1, 8)
+    out = np.zeros((*eights.shape[:2], width), np.uint8)
+    for n in range(8):
+        byte, bit = divmod(n * width, 8)
+        value = eights[:, :, n] << np.uint64(bit)
+        for more in range((bit + width + 7) // 8):
+            out[:, :, byte + more] |= (value >> np.uint64(8 * more)).astype(np.uint8)
+    return out.reshape(len(values), -1)
+
+
 def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     """A segment of ids (unsigned, 32 bits); no ids make a segment without blocks."""
     rows = _blocks(np.asarray(ids, np.uint32))
@@ -71,10 +84,7 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
              counts[at].astype(np.uint8)[:, None]], axis=1,
         )
         if width:
-            low = over[at].astype("<u4")[:, :, None].view(np.uint8)
-            bits = np.unpackbits(low, axis=2, bitorder="little", count=int(width))
-            packed = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
-            head = np.concatenate([head, packed], axis=1)
+            head = np.concatenate([head, _packed(over[at], int(width))], axis=1)
         out[starts[at][:, None] + np.arange(head.shape[1])] = head
     row, place = np.nonzero(outside)
     if len(row):
@@ -86,11 +96,16 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     return out.tobytes()
 
 
+def _shifted(values: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """Values moved up by 1 to 32 bits; what leaves 32 bits is lost."""
+    return values << np.minimum(by, 31).astype(np.uint32) << (by > 31).astype(np.uint32)
+
+
 def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     """The ids of blocks ``first`` to ``last`` (exclusive; all by default) of a segment."""
     if segment[:4] != MAGIC:
         raise ValueError("not a segment of ids")
-    data = np.frombuffer(segment, np.uint8)
+    data = np.frombuffer(segment + bytes(4), np.uint8)  # the last block may be read beyond its end
     total, blocks = int(data[4:12].view("<u8")[0]), int(data[12:16].view("<u4")[0])
     last = blocks if last is None else min(last, blocks)
     starts = data[_HEAD : _HEAD + 4 * (blocks + 1)].view("<u4").astype(np.int64)[first:last]
@@ -100,12 +115,13 @@ def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     widths, counts = head[:, 4].astype(np.int64), head[:, 5].astype(np.int64)
     for width in np.unique(widths[widths > 0]):
         at = np.flatnonzero(widths == width)
-        packed = data[starts[at][:, None] + 6 + np.arange(width * BLOCK // 8)]
-        bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(at) * BLOCK, width)
-        whole = np.packbits(bits, axis=1, bitorder="little")
-        padded = np.zeros((len(whole), 4), np.uint8)
-        padded[:, : whole.shape[1]] = whole
-        rows[at] = padded.view("<u4").reshape(len(at), BLOCK)
+        packed = data[starts[at][:, None] + 6 + np.arange(width * BLOCK // 8 + 4)]
+        bit = np.arange(BLOCK) * width
+        first_byte, shift = bit // 8, (bit % 8).astype(np.uint32)
+        value = packed[:, first_byte].astype(np.uint32) >> shift
+        for n in range(1, (7 + int(width)) // 8 + 1):  # a value lies in as many bytes behind its first
+            value |= _shifted(packed[:, first_byte + n].astype(np.uint32), 8 * n - shift.astype(np.int64))
+        rows[at] = value & np.uint32((1 << int(width)) - 1)
     row = np.repeat(np.arange(len(starts)), counts)
     if len(row):
         nth = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
