@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -9,6 +10,7 @@ from functools import cache, wraps
 from pathlib import Path
 
 import matchstats
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +56,23 @@ def _sent(application: str) -> str:
     return str(path)
 
 
+#: Bytes that a Python worker is given at a time; a long text may be more.
+BATCH_BYTES = 8 << 20
+
+
+def release() -> None:
+    """Give memory back that a task of a Python worker no longer needs; other tasks use the worker."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """The query, with the package sent to the executors first, which need not have it installed."""
+    """The query, with the package sent to the executors first, which need not have it installed, and
+    with batches for Python workers bounded in this session."""
 
     @wraps(query)
     def run(spark: SparkSession, *rest: object) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         spark.sparkContext.addPyFile(_sent(spark.sparkContext.applicationId))
         return query(spark, *rest)
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from matchstats.llm.bpe import slices
-from matchstats.llm.common import ID, TEXT, documents, held_out, saved
+from matchstats.llm.common import ID, TEXT, documents, held_out, release, saved
 
 #: Most frequent words and n-grams (each length) that the model keeps of a language.
 WORDS = 20_000
@@ -35,7 +35,9 @@ UNDETERMINED = "und"
 #: A score of which the pipeline rejects a document: even odds for the best language.
 REJECTED = 0.5
 #: Bytes of the texts that are looked at together, and counts that a task holds.
-TOGETHER, HELD = 1 << 23, 400_000
+TOGETHER, HELD = 1 << 21, 200_000
+#: Words whose n-grams are looked up together.
+SOME = 20_000
 #: Parts that the words of a language are cut in before the most frequent ones are chosen.
 PARTS = 32
 
@@ -83,6 +85,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _rows(counts)
                 counts = {}
     yield _rows(counts)
+    counts = {}
+    release()
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,6 +106,8 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _rows(counts)
             counts = {}
     yield _rows(counts)
+    counts = {}
+    release()
 
 
 def train(labelled: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
@@ -164,6 +170,10 @@ class Model:
 
     def words(self, words: list[str]) -> np.ndarray:
         """Scores of words for each language: a word's own if it is known, else of its n-grams."""
+        parts = [self._some(words[at : at + SOME]) for at in range(0, len(words), SOME)]
+        return np.concatenate([np.zeros((0, len(self.langs))), *parts])
+
+    def _some(self, words: list[str]) -> np.ndarray:
         get, known = self.grams.get, self.tables[0]
         found, ends = [], []
         for word in words:
@@ -214,6 +224,7 @@ def predict(docs: DataFrame, model: Model, text: str = TEXT, to: tuple[str, str]
             langs = pa.array([lang for part, _ in found for lang in part], pa.string())
             scores = pa.array([score for _, part in found for score in part], pa.float64())
             yield pa.StructArray.from_arrays([langs, scores], ["lang", "score"])
+        release()
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in to]
     found = docs.select(*kept, of(F.col(text)).alias("__llm_found"))

@@ -28,7 +28,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchstats.llm.common import ID, TEXT, documents
+from matchstats.llm.common import ID, TEXT, documents, release
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -235,6 +235,7 @@ def encode_checked(docs: DataFrame, text: str = TEXT, to: tuple[str, str] = ("id
                 exact.append(pieces(path).decode(ids[-1]) == own)
             yield pa.StructArray.from_arrays([_listed(ids), pa.array(exact)], list(to))
         pieces(path).known.clear()  # other stages run in this worker
+        release()
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in to]
     found = docs.select(*kept, of(F.col(text)).alias("__llm_found"))
