@@ -226,10 +226,10 @@ def predict(docs: DataFrame, model: Model, text: str = TEXT, to: tuple[str, str]
             yield pa.StructArray.from_arrays([langs, scores], ["lang", "score"])
         release()
 
+    of = of.asNondeterministic()  # else a filter on the result would have it evaluated twice
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in to]
     found = docs.select(*kept, of(F.col(text)).alias("__llm_found"))
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in to]
-    return found.select(*others, F.col("__llm_found.lang").alias(to[0]), F.col("__llm_found.score").alias(to[1]))
+    return found.select(*kept, F.col("__llm_found.lang").alias(to[0]), F.col("__llm_found.score").alias(to[1]))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
