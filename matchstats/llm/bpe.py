@@ -18,8 +18,8 @@ _CROWDED = f"{_BLANK}{{3}}|  "
 _BEHIND_BLANK = re.compile(r" \S(?:.*\S)?", re.DOTALL).fullmatch
 
 BYTE_BPE = "byte_bpe_50k.json"
-#: Pre-tokens remembered at a time: a process holds about 130 MB of them.
-REMEMBERED = 600_000
+#: Pre-tokens remembered at a time: a process holds about 180 MB of them.
+REMEMBERED = 900_000
 
 
 class _Places(dict):
