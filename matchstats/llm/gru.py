@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN = 16
+HIDDEN = 24
 #: Lanes side by side at most, and steps of a window: in training, where gradients end, and in scoring.
 LANES, TRAIN_STEPS, SCORE_STEPS = 512, 32, 64
 RATE, CLIP = 0.01, 1.0

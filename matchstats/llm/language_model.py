@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from copy import copy
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from matchstats.llm.common import ID, TEXT, documents, held_out, saved
 from matchstats.llm.bpe import slices
 from matchstats.llm.gru import Adam, Network, Shape, flat, initial, unflat
 
-#: Words that the recurrent model tells, with the end of a document, in so many classes.
-HEAD, CLASSES = 1024, 8
+#: Words that the recurrent model tells, with the end of a document, at least, in so many classes.
+HEAD, CLASSES = 2048, 16
 #: Words whose counts are sent to all tasks, at most: those above a count.
 FREQUENT = 150_000
 ROUNDS = 2
@@ -45,6 +46,11 @@ _MARKS = b".,;:!?)\"'|-"
 TAIL = 26 + 1 + len(_MARKS) + 1 + 16
 
 
+def head_size(distinct: int) -> int:
+    """Words of the head, with the end: it grows with the vocabulary, as twice its root."""
+    return max(HEAD, 2 * isqrt(distinct))
+
+
 def tail_class(byte: int) -> int:
     if 97 <= byte <= 122:
         return byte - 97
@@ -96,17 +102,18 @@ class Vocabulary:
     def __init__(self, total: int, distinct: int, ends: int, frequent: list[tuple[bytes, int]], tails: np.ndarray) -> None:
         """``tails``: tokens and distinct words of each last byte."""
         self.total, self.distinct, self.ends = total, distinct, ends
-        self.head = [word for word, _ in frequent[: HEAD - 1]]
+        in_head = frequent[: head_size(distinct) - 1]
+        self.head = [word for word, _ in in_head]
         self.counts = dict(frequent)
         sums = np.zeros((TAIL, 2), np.int64)
         np.add.at(sums, _TAIL_OF, tails)
-        for word, n in frequent[: HEAD - 1]:
+        for word, n in in_head:
             sums[_TAIL_OF[word[-1]]] -= n, 1
-        self.frequencies = np.array([ends, *(n for _, n in frequent[: HEAD - 1]), *sums[:, 0]])
+        self.frequencies = np.array([ends, *(n for _, n in in_head), *sums[:, 0]])
         #: log10 of what the frequencies of a tail class are divided by
         self.divisors = np.log10(sums.sum(axis=1) + 1)
         self.ids = {word: n + 1 for n, word in enumerate(self.head)}
-        self.shape = Shape(len(self.head) + 1, CLASSES, TAIL)
+        self.shape = Shape(len(self.head) + 1, -(-head_size(distinct) * CLASSES // HEAD), TAIL)
 
     def without_counts(self) -> Vocabulary:
         """What training needs."""
@@ -159,7 +166,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.n
     spark = docs.sparkSession
     weights = flat(initial(vocabulary.shape, vocabulary.frequencies))
     for turn in range(rounds):
-        sent = spark.sparkContext.broadcast((vocabulary.without_counts(), weights))  # bounded by HEAD
+        sent = spark.sparkContext.broadcast((vocabulary.without_counts(), weights))  # bounded by the head
 
         def fit(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             known, start = sent.value
@@ -203,7 +210,7 @@ def score(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS) -> DataFra
     Repeated rows each have a row; an empty table gives no rows; other columns are not looked at.
     """
     vocabulary, counts = _vocabulary(training)
-    # bounded by HEAD and FREQUENT
+    # bounded by FREQUENT
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, train(training, vocabulary, rounds)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

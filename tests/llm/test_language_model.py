@@ -7,7 +7,7 @@ import pytest
 
 from matchstats.llm import gru
 from matchstats.llm.gru import Adam, Network, Shape, flat, initial, lay_out, unflat
-from matchstats.llm.language_model import TAIL, op8_language_model, parted, score, tail_class
+from matchstats.llm.language_model import TAIL, Vocabulary, op8_language_model, parted, score, tail_class
 
 
 def doubled(shape):
@@ -86,6 +86,21 @@ def test_words_and_tail_classes():
     assert {tail_class(b) for b in range(256)} <= set(range(TAIL))
 
 
+def test_the_head_grows_with_the_vocabulary():
+    def of(distinct):
+        frequent = [(b"w%d" % n, 50_000 - n) for n in range(min(distinct, 20_000))]
+        tails = np.zeros((256, 2), np.int64)
+        for word, n in frequent:
+            tails[word[-1]] += n, 1
+        return Vocabulary(10**9, distinct, 10, frequent, tails)
+
+    small, large = of(5000), of(25_000_000)
+    assert (small.shape.head, small.shape.classes, small.shape.hidden) == (2048, 16, 24)
+    assert (large.shape.head, large.shape.classes) == (10_000, 79)
+    assert small.tokens([b"w2000", b"w2047"]).tolist() == [2001, 2048 + tail_class(ord("7"))]
+    assert len(large.frequencies) == 10_000 + TAIL
+
+
 def rows_of(documents, apart):
     tokens = [[*words(t), None] for t in documents]
     counts = Counter(w for t, held in zip(tokens, apart, strict=True) if not held for w in t)
