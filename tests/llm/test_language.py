@@ -72,6 +72,26 @@ def test_odd_rows(spark, odd_docs, no_docs, model):
     assert {(r.lang_pred, r.score) for r in predict(odd_docs, untaught).collect()} == {("und", 0.0)}
 
 
+def test_what_is_sent_does_not_change_results(spark, odd_docs):
+    texts = [t for t, _ in SMALL] + ["The dog! zzz", "les chiens unde", "chatons", "x", "", "123", "könige " + "abthe" * 700]
+    docs = spark.createDataFrame([(t,) for t in texts * 2], "text string")
+    labelled = spark.createDataFrame(SMALL, "text string, lang string")
+    whole, cut = train(labelled), train(labelled, words=1, grams=2)
+    assert whole.every is None and cut.every is not None and len(cut.tables[0]) < len(whole.tables[0])
+    for given in (docs, odd_docs):
+        wanted, found = (sorted(predict(given, m).select("text", "lang_pred", "score").collect(), key=str) for m in (whole, cut))
+        assert len(found) == given.count()
+        assert [r[:2] for r in found] == [r[:2] for r in wanted]
+        assert [r.score for r in found] == pytest.approx([r.score for r in wanted], rel=1e-3, abs=1e-9)
+
+
+def test_a_cut_count_is_not_unseen(spark):
+    # "x" is common in "big" but beyond its cut; a single loan of it in "few" must not outweigh that
+    rows = [(" ".join(f"w{chr(97 + n % 26)}{chr(97 + n // 26)} " * 20 for n in range(100)) + " xq" * 10, "big"), ("xq", "few")]
+    model = train(spark.createDataFrame(rows, "text string, lang string"), words=5, grams=5)
+    assert model.tables[0]["xq"][0] == pytest.approx(np.log(10 / 2011), abs=1e-5)
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
