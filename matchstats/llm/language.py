@@ -32,8 +32,10 @@ from matchstats.llm.common import ID, TEXT, documents, held_out, release, saved,
 WORDS = 20_000
 GRAMS = 5_000
 LONGEST = 4
-#: Most languages that are learned, by number of training rows.
-LANGUAGES = 200
+#: Scores that are sent to all tasks, at most: with many languages fewer words and n-grams of each.
+CELLS = 32_000_000
+#: Languages from which on fewer texts or words are looked at together.
+MANY = 32
 UNDETERMINED = "und"
 #: A score of which the pipeline rejects a document: even odds for the best language.
 REJECTED = 0.5
@@ -125,9 +127,10 @@ def train(labelled: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
     counted = saved(
         rows.mapInArrow(_counted, _COUNTS).groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")), "words"
     )
-    totals = counted.filter("size = 9").orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    langs = sorted(r["lang"] for r in totals.filter("n > 0").collect())
-    seen = counted.filter((F.col("size") == 0) & F.col("lang").isin(langs))
+    langs = sorted(r["lang"] for r in counted.filter("size = 9 AND n > 0").collect())
+    share = min(1.0, CELLS / max(1, len(langs) ** 2 * (words + LONGEST * grams)))
+    words, grams = max(1, int(words * share)), max(1, int(grams * share))
+    seen = counted.filter("size = 0")
     parts = seen.mapInArrow(_gram_counts, _COUNTS).groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
     every = saved(seen.union(parts), "grams")
     found = every.groupBy("lang", "size").agg(F.sum("n").alias("total"), F.count("*").alias("rows")).collect()
@@ -185,9 +188,14 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"every": None}
 
+    def fewer(self, together: int) -> int:
+        """What may be looked at together, as each has a score for every language."""
+        return max(1, together * MANY // max(MANY, len(self.langs)))
+
     def words(self, words: list[str]) -> np.ndarray:
         """Scores of words for each language: a word's own if it is known, else of its n-grams."""
-        parts = [self._some(words[at : at + SOME]) for at in range(0, len(words), SOME)]
+        some = self.fewer(SOME)
+        parts = [self._some(words[at : at + some]) for at in range(0, len(words), some)]
         return np.concatenate([np.zeros((0, len(self.langs))), *parts])
 
     def _some(self, words: list[str]) -> np.ndarray:
@@ -347,7 +355,7 @@ def predict(docs: DataFrame, model: Model, text: str = TEXT, to: tuple[str, str]
     if nothing was learned; an empty table gives an empty table; repeated rows get equal results.
     Other columns stay, but for ones named like the new ones.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # its size is bounded by WORDS and GRAMS
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # its size is bounded by CELLS
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in to]
 
     def pairs(found: list[tuple[list[str], list[float]]]) -> pa.StructArray:
@@ -360,7 +368,7 @@ def predict(docs: DataFrame, model: Model, text: str = TEXT, to: tuple[str, str]
         @F.arrow_udf("struct<lang: string, score: double>")
         def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
-                yield pairs([sent.value.predict(texts.slice(a, b - a)) for a, b in slices(texts, TOGETHER)])
+                yield pairs([sent.value.predict(texts.slice(a, b - a)) for a, b in slices(texts, sent.value.fewer(TOGETHER))])
             release()
 
         of = of.asNondeterministic()  # else a filter on the result would have it evaluated twice
@@ -369,7 +377,7 @@ def predict(docs: DataFrame, model: Model, text: str = TEXT, to: tuple[str, str]
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1), TOGETHER):
+            for a, b in slices(batch.column(1), sent.value.fewer(TOGETHER)):
                 found = sent.value.known(batch.column(1).slice(a, b - a))
                 columns = [batch.column(0).slice(a, b - a), *found.flatten()]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "totals", "rare"])

@@ -92,6 +92,16 @@ def test_a_cut_count_is_not_unseen(spark):
     assert model.tables[0]["xq"][0] == pytest.approx(np.log(10 / 2011), abs=1e-5)
 
 
+@pytest.mark.parametrize("cells", [language.CELLS, 1])
+def test_every_language_can_be_predicted(spark, monkeypatch, cells):
+    monkeypatch.setattr(language, "CELLS", cells)
+    names = [chr(97 + n // 26) + chr(97 + n % 26) for n in range(230)]
+    rows = [(f"q{name}w {name}zz", name) for name in names]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    found = predict(docs, train(docs)).collect()
+    assert len(found) == 230 and all(r.lang_pred == r.lang for r in found)
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
