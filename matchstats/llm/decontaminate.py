@@ -94,6 +94,19 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
+def lookups(texts: DataFrame, probes: DataFrame, size: int = WORDS) -> DataFrame:
+    """``key, _size, hash`` of the shingles of ``texts (key, _words)`` that an item of some size partition
+    may be found by: no hash above the partition's largest, no document under its smallest requirement."""
+    # a document has at least as many words as distinct shingles
+    bounds = probes.groupBy("part").agg(F.max("hash").alias("top"), F.min("needed").alias("fewest")).collect()
+    within = F.lit(False)
+    for row in bounds:  # sizes by powers of two
+        within |= (F.col("hash") <= row["top"]) & (F.col("_size") >= row["fewest"])
+    least = min((row["fewest"] for row in bounds), default=0)
+    sized = texts.withColumn("_size", F.size("_words")).filter(F.col("_size") >= least)
+    return shingled(sized, size).select("key", "_size", _hash(size).alias("hash")).filter(within)
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -112,19 +125,12 @@ def leaks(
     stored = saved(sketches(items, size, threshold), "sketches")
     probes = stored.filter("searched").select("item_id", "item_key", "hash", "needed", "part")
     texts = docs.filter(F.col(TEXT).isNotNull()).select(text_key(TEXT).alias("key"), words(TEXT).alias("_words"))
-    # a document has at least as many words as distinct shingles
-    bounds = probes.groupBy("part").agg(F.max("hash").alias("top"), F.min("needed").alias("fewest"))
-    limits = bounds.agg(F.max("top"), F.min("fewest")).first()
     blocks = _blocks(probes, block_rows)
     if not blocks:
         return _verified(stored, texts.select("key").limit(0), texts.limit(0), size, block_rows)
-    lookups = (
-        shingled(texts.withColumn("_size", F.size("_words")).filter(F.col("_size") >= limits[1]), size)
-        .select("key", "_size", _hash(size).alias("hash"))
-        .filter(F.col("hash") <= limits[0])
-    )
+    asked = lookups(texts, probes, size)
     found = [
-        lookups.join(F.broadcast(block), "hash")
+        asked.join(F.broadcast(block), "hash")
         .filter(F.col("_size") >= F.col("needed"))
         .select("key", "item_id", "item_key")
         for block in blocks

@@ -3,7 +3,7 @@ import re
 import pytest
 
 from matchstats.llm.common import text_key
-from matchstats.llm.decontaminate import leaks, sketches
+from matchstats.llm.decontaminate import leaks, lookups, sketches, words
 
 
 def shingles(text):
@@ -40,3 +40,17 @@ def test_no_rows(odd_docs, no_docs, items):
     assert leaks(no_docs, items).count() == 0
     assert leaks(odd_docs, items.limit(0)).count() == 0
     assert leaks(odd_docs, items.filter("item_id IN (3, 4, 6)")).count() == 0
+
+
+def test_each_size_partition_bounds_its_lookups(spark):
+    texts = spark.createDataFrame([(" ".join(f"w{n}x{i}" for i in range(9 + 90 * n)),) for n in range(2)], "text string")
+    texts = texts.select(text_key("text").alias("key"), words("text").alias("_words"))
+    # the hashes of one partition must not count for documents that are long enough only for another
+    probes = spark.createDataFrame([(2, 0, 60), (5, 2**63 - 1, 90)], "part int, hash long, needed long")
+    found = lookups(texts, probes).collect()
+    assert {r._size for r in found} == {99}
+    low = spark.createDataFrame([(2, 0, 3), (5, 2**63 - 1, 90)], "part int, hash long, needed long")
+    found = lookups(texts, low).collect()
+    assert len([r for r in found if r._size == 99]) == 95
+    short = [r.hash for r in found if r._size == 9]
+    assert len(short) < 5 and all(h <= 0 for h in short)
