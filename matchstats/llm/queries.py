@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
-from matchstats.llm import decontaminate, embeddings, language, language_model, pieces, secrets, sharding, simhash, token_counts, token_files
+from matchstats.llm import (
+    decontaminate,
+    embeddings,
+    language,
+    language_model,
+    merkle,
+    mixing,
+    pieces,
+    secrets,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+)
 from matchstats.llm.common import shipped
 
-_MODULES = (token_files, sharding, language, token_counts, embeddings, decontaminate, simhash, language_model, secrets, pieces)
+_MODULES = (
+    token_files, sharding, language, token_counts, embeddings, decontaminate, simhash, language_model, secrets, pieces,
+    merkle, mixing,
+)
 
 
 def registered() -> dict:
