@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from matchstats.llm import (
+    conversations,
     decontaminate,
     embeddings,
     language,
@@ -20,7 +21,7 @@ from matchstats.llm.common import shipped
 
 _MODULES = (
     token_files, sharding, language, token_counts, embeddings, decontaminate, simhash, language_model, secrets, pieces,
-    merkle, mixing,
+    conversations, merkle, mixing,
 )
 
 
