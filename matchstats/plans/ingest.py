@@ -2,37 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.operators.context import finished
 from matchstats.schema import FACTS
-from matchstats.sources import landed
+from matchstats.sources import landed, storage
 from matchstats.sources import landing as L
 from matchstats.sources.sinks import (
+    loaded_near,
     move_facts,
     not_loaded,
     replace_facts,
-    stored_near,
     write_dimension,
 )
 from matchstats.sources.tables import read_table
 
 
-def delivered(payloads: DataFrame, matches: DataFrame) -> DataFrame:
-    """The matches that payloads are there for, with the time of the latest one."""
-    newest = payloads.groupBy("match_id").agg(F.max("landed_at").alias("newest_at"))
-    return matches.select("match_id", "season_id", "home_team_id", "away_team_id").join(
-        newest, "match_id"
-    )
-
-
-def latest(payloads: DataFrame, fetched: DataFrame) -> DataFrame:
-    """Each match's latest payloads (it may have been delivered more than once), in one join."""
-    is_latest = F.col("landed_at").eqNullSafe(F.col("newest_at"))
-    return payloads.join(fetched, "match_id").filter(is_latest)
-
-
 def load_events(events: DataFrame, warehouse: str) -> None:
     """Tournaments, clubs and matches of delivered events.
 
@@ -53,24 +41,30 @@ def load_events(events: DataFrame, warehouse: str) -> None:
     write_dimension(matches, warehouse, "matches")
 
 
-def load_lineups(lineups: DataFrame, matches: DataFrame, warehouse: str) -> None:
-    """Players and player facts of the given matches, as far as their lineups have landed."""
-    fetched = delivered(lineups, matches).persist()
+def load_lineups(lineups: DataFrame, fetched: DataFrame, warehouse: str) -> None:
+    """Players and player facts of the fetched matches (``match_id, season_id``) from their latest
+    lineups, which carry the columns of their match."""
     if not fetched.isEmpty():
         # flattened once, for both tables
-        listed = L.flatten_lineups(latest(lineups, fetched)).persist()
+        listed = L.flatten_lineups(lineups).persist()
         write_dimension(L.lineup_players(listed), warehouse, "players")
         replace_facts(L.lineup_stats(listed), fetched, warehouse, "player_stats_log")
         listed.unpersist()
-    fetched.unpersist()
 
 
-def load_statistics(statistics: DataFrame, matches: DataFrame, warehouse: str) -> None:
-    """Match facts of the given matches, as far as their statistics have landed."""
-    fetched = delivered(statistics, matches).persist()
-    rows = L.flatten_match_stats(latest(statistics, fetched))
-    replace_facts(rows, fetched, warehouse, "match_stats_log")
-    fetched.unpersist()
+def load_statistics(statistics: DataFrame, fetched: DataFrame, warehouse: str) -> None:
+    """Match facts of the fetched matches from their latest statistics."""
+    replace_facts(L.flatten_match_stats(statistics), fetched, warehouse, "match_stats_log")
+
+
+def _load_delivered(spark: SparkSession, warehouse: str, held: DataFrame, wanted: DataFrame, kinds: Iterable[str] = landed.BY_MATCH) -> None:
+    """Load the latest deliveries that there are of the wanted matches, lineups first."""
+    of_match = wanted.select("match_id", "season_id", "home_team_id", "away_team_id")
+    chosen = held.join(of_match, "match_id").persist()
+    for kind, load in (("lineups", load_lineups), ("statistics", load_statistics)):
+        if kind in kinds:
+            load(landed.delivered_payloads(spark, warehouse, kind, chosen), chosen.filter(F.col("kind") == kind), warehouse)
+    chosen.unpersist()
 
 
 def ingest(
@@ -85,36 +79,68 @@ def ingest(
     the latest delivery counts, as a whole.  Statistics are written last, so a match counts as
     loaded only after its lineups are in.
 
-    Returns how many lines of each kind have been no payload so far (``landed.quarantine`` has them);
-    with ``on_broken="fail"`` such lines of new files raise before any table is written.
+    Of what earlier loads have landed, only deliveries that still wait for their match are looked at,
+    and of the log only the folders that hold those of the wanted matches.
+
+    Returns how many lines of each kind have been no payload so far (``landed.quarantine`` has them).
+    With ``on_broken="fail"`` such lines of new files raise before any table is written, and the files
+    stay new: once they have been put right or removed, the next load goes on.
     """
-    last = landed.absorb(spark, landing, warehouse)
-    before = 0 if force else landed.done(spark, warehouse)
-    broken = {row["kind"]: row["count"] for row in landed.quarantine(spark, warehouse).groupBy("kind").count().collect()}
-    if broken and on_broken == "fail":
-        raise ValueError(f"lines that are no payload: {broken}")
-    if last <= before:
+    now = landed.absorb(spark, landing, warehouse, on_broken)
+    broken: dict[str, int] = {}
+    for (_, kind), lines in sorted(now.broken.items()):
+        broken[kind] = broken.get(kind, 0) + lines
+    new = now.loads if force else now.new
+    if not new:
         return broken
-    events = L.flatten_events(landed.payloads(spark, warehouse, "events", before)).persist()
-    load_events(events, warehouse)
+    events = L.flatten_events(landed.payloads(spark, warehouse, "events", new)).persist()
+    if not events.isEmpty():
+        load_events(events, warehouse)
 
-    new = [events.select(F.col("event.id").alias("match_id"))]
-    new += [landed.payloads(spark, warehouse, kind, before).select("match_id") for kind in ("lineups", "statistics")]
-    touched = new[0].union(new[1]).union(new[2])
+    fresh = landed.deliveries(spark, warehouse, new)
+    held = landed.latest(fresh if force else now.waiting.union(fresh)).persist()
+    touched = events.select(F.col("event.id").alias("match_id")).union(fresh.select("match_id"))
     known = finished(read_table(spark, warehouse, "matches"))
     wanted = known.join(touched, "match_id", "left_semi").persist()
-    if not force:
-        stored, _ = stored_near(wanted, warehouse, "match_stats_log")
-        wanted = not_loaded(wanted, stored).persist()
-    load_lineups(landed.payloads(spark, warehouse, "lineups"), wanted, warehouse)
-    load_statistics(landed.payloads(spark, warehouse, "statistics"), wanted, warehouse)
-    landed.mark_done(spark, warehouse, last)
-    events.unpersist()
+    missing = wanted if force else not_loaded(wanted, loaded_near(wanted, warehouse))
+    _load_delivered(spark, warehouse, held, missing, landed.BY_MATCH)
+    # what is loaded now waits no longer
+    loaded = loaded_near(known.join(held, "match_id", "left_semi"), warehouse)
+    waiting = held.join(loaded, "match_id", "left_anti")
+    landed.commit(spark, warehouse, now._replace(done=sorted(now.loads), new=[], waiting=waiting))
+    for df in (events, held, wanted):
+        df.unpersist()
     return broken
 
 
-def reprocess(spark: SparkSession, landing: str, warehouse: str) -> None:
-    """Rebuild the player facts of all finished matches with the club of the player's side."""
-    landed.absorb(spark, landing, warehouse)
+#: Which buckets a reprocessing that was broken off has behind it.
+_REPROCESSED = "_reprocess"
+
+
+def reprocess(spark: SparkSession, landing: str, warehouse: str) -> list[int]:
+    """Rebuild the player facts of all finished matches with the club of the player's side.
+
+    It goes from bucket to bucket of the facts, each with the folders of the log and the parts of the
+    facts that belong to it, and notes which are behind it; one that broke off goes on with the rest.
+    Returns the buckets that this run has rebuilt.
+    """
+    now = landed.absorb(spark, landing, warehouse)
     matches = finished(read_table(spark, warehouse, "matches"))
-    load_lineups(landed.payloads(spark, warehouse, "lineups"), matches, warehouse)
+    held = landed.latest(landed.deliveries(spark, warehouse, now.loads)).persist()
+    count = storage.buckets(spark, storage.current_parts(spark, warehouse, "player_stats_log"))
+    folder = f"{warehouse}/{_REPROCESSED}"
+    noted = storage.version_path(spark, folder)
+    behind = {(r.bucket, r.buckets, r.loads) for r in spark.read.parquet(noted).collect()} if noted else set()
+    # of another set of loads or buckets nothing is behind
+    loads = ",".join(map(str, sorted(now.loads)))
+    rest = [b for b in range(count) if (b, count, loads) not in behind]
+    behind = {note for note in behind if note[1:] == (count, loads)}
+    for bucket in rest:
+        own = matches.filter(storage.bucket_of("match_id", count) == bucket)
+        _load_delivered(spark, warehouse, held, own, ["lineups"])
+        behind.add((bucket, count, loads))
+        rows = spark.createDataFrame(sorted(behind), "bucket int, buckets int, loads string")
+        storage.write_version(rows.coalesce(1), folder)
+    held.unpersist()
+    storage.remove(spark, folder)
+    return rest

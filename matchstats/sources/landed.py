@@ -1,91 +1,223 @@
-"""The log of landed payloads: every landed file is parsed once.
+"""The log of landed payloads: every landed file is parsed once, and found again by its match.
 
-A load takes the files that are new since the last one, parses them and writes their payloads to
-``<warehouse>/_landed/load=<n>/<kind>``; the names of the files come last, and a load counts once they
-are there.  Loads that are in the log but not yet in the tables are pending; what is done is a number
-in ``_landed/_done``.  So a job that broke off goes on where it stopped.
+A load takes the files that no earlier load has, parses them and writes their payloads to
+``<warehouse>/_landed/<kind>/load=<n>``, those of a match into the folder of its bucket, lines that are
+no payload into the folder ``bucket=-1``; the files' names go to ``_landed/files/load=<n>``.  What counts is said by the newest version of
+``_landed/_state``, written last: which loads there are and which of them are in the tables, and the
+waiting deliveries: for each match that is not loaded yet, where its latest lineups and statistics are.
+So a job that broke off goes on where it stopped, and a match is found without reading other matches'
+payloads.
 
-Lines that are no payload stay in the log, with their file, and are counted (``quarantine``).
+The folder listing and the names of all files that were ever parsed are DataFrames.  The driver knows
+the loads (``compact`` makes them one), the folders of the matches of a load, and at most ``BATCH``
+names of new files at a time.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterable
+from datetime import timedelta
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.sources import storage
 from matchstats.sources.landing import BROKEN, SCHEMAS, read_files
 
-LOG, QUARANTINE = "_landed", "_quarantine"
+LOG, STATE, FILES, QUARANTINE = "_landed", "_state", "files", "_quarantine"
 KINDS = ("events", "lineups", "statistics")
+BY_MATCH = ("lineups", "statistics")
+#: Buckets of the log for each bucket of a fact.
+BUCKETS_EACH = 4
+#: About how many new files are parsed by one job.
+BATCH = 10_000
+
+NO_PAYLOAD = -1
 _FILES = "kind string, path string, modified long"
 _BROKEN_ROWS = "kind string, file string, line string, landed_at timestamp"
+#: Where a match's payload is.
+DELIVERY = ("kind", "match_id", "landed_at", "load", "bucket")
+_STATE = "entry string, kind string, match_id long, landed_at timestamp, load int, bucket int, lines long"
 
 
-def loads(spark: SparkSession, warehouse: str) -> list[int]:
-    """Numbers of the complete loads."""
-    return sorted(
-        storage.number(path.rpartition("/files/")[0])
-        for path, _ in storage.found(spark, f"{warehouse}/{LOG}/load=*/files/_SUCCESS")
-    )
+class State(NamedTuple):
+    """What the log holds: loads that are in the tables and loads that are not yet, numbers of broken
+    lines by load and kind, the number of buckets, and the deliveries that wait."""
+
+    done: list[int]
+    new: list[int]
+    broken: dict[tuple[int, str], int]
+    buckets: int
+    waiting: DataFrame
+
+    @property
+    def loads(self) -> list[int]:
+        return self.done + self.new
+
+
+def state(spark: SparkSession, warehouse: str) -> State:
+    path = storage.version_path(spark, f"{warehouse}/{LOG}/{STATE}")
+    rows = spark.read.schema(_STATE).parquet(path) if path else spark.createDataFrame([], _STATE)
+    known = rows.filter("entry <> 'waiting'").collect()
+    loads = {entry: sorted(r.load for r in known if r.entry == entry) for entry in ("done", "new")}
+    broken = {(r.load, r.kind): r.lines for r in known if r.entry == "broken"}
+    buckets = next((r.bucket for r in known if r.entry == "buckets"), BUCKETS_EACH * storage.buckets(spark, []))
+    return State(loads["done"], loads["new"], broken, buckets, rows.filter("entry = 'waiting'").select(*DELIVERY))
+
+
+def commit(spark: SparkSession, warehouse: str, now: State) -> None:
+    """Make a state the one that counts, at once."""
+    known = [("buckets", None, None, None, None, now.buckets, None)]
+    known += [("done", None, None, None, n, None, None) for n in now.done]
+    known += [("new", None, None, None, n, None, None) for n in now.new]
+    known += [("broken", kind, None, None, n, None, lines) for (n, kind), lines in now.broken.items()]
+    waiting = now.waiting.select(F.lit("waiting").alias("entry"), *DELIVERY, F.lit(None).cast("long").alias("lines"))
+    rows = spark.createDataFrame(known, _STATE).coalesce(1).unionByName(waiting)
+    storage.write_version(rows.hint("rebalance"), f"{warehouse}/{LOG}/{STATE}")
+
+
+def listing(spark: SparkSession, landing: str) -> DataFrame:
+    """``kind, path, modified`` of all landed files.  Their content is not read."""
+    files = spark.createDataFrame([], _FILES)
+    for kind in KINDS:
+        folder = f"{landing}/{kind}"
+        if storage.exists(spark, folder):
+            found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+            files = files.union(found.select(F.lit(kind), "path", F.unix_millis("modificationTime")))
+    return files
+
+
+def _folder(warehouse: str, name: str, load: int) -> str:
+    return f"{warehouse}/{LOG}/{name}/load={load}"
+
+
+def ledger(spark: SparkSession, warehouse: str, loads: Iterable[int]) -> DataFrame:
+    """The files that some loads have parsed."""
+    folders = [_folder(warehouse, FILES, n) for n in loads]
+    if not folders:
+        return spark.createDataFrame([], _FILES)
+    return spark.read.schema(_FILES).option("recursiveFileLookup", "true").parquet(*folders)
+
+
+def _next_load(spark: SparkSession, warehouse: str) -> int:
+    """A number that no load has, also none that broke off."""
+    begun = [storage.number(path) for path, _ in storage.found(spark, f"{warehouse}/{LOG}/{FILES}/load=*")]
+    return max(begun, default=0) + 1
 
 
-def done(spark: SparkSession, warehouse: str) -> int:
-    """The last load that is in the tables."""
-    path = storage.version_path(spark, f"{warehouse}/{LOG}/_done")
-    return spark.read.parquet(path).first()["load"] if path else 0
+def _write(payloads: DataFrame, folder: str, mode: str = "append") -> None:
+    """Payloads with ``bucket``: evenly sized files for each bucket, sorted by match."""
+    order = [c for c in ("bucket", "match_id") if c in payloads.columns]
+    laid_out = payloads.hint("rebalance", "bucket").sortWithinPartitions(*order)
+    laid_out.write.mode(mode).partitionBy("bucket").parquet(folder)
 
 
-def mark_done(spark: SparkSession, warehouse: str, load: int) -> None:
-    storage.write_version(spark.createDataFrame([(load,)], "load int"), f"{warehouse}/{LOG}/_done")
+def _parse(spark: SparkSession, kind: str, paths: list[str], buckets: int) -> DataFrame:
+    of_match = storage.bucket_of("match_id", buckets) if kind in BY_MATCH else F.lit(0)
+    bucket = F.when(F.col(BROKEN).isNotNull(), NO_PAYLOAD).otherwise(of_match)
+    return read_files(spark, paths, kind).withColumn("bucket", bucket)
 
 
-def absorb(spark: SparkSession, landing: str, warehouse: str) -> int:
-    """Parse the files that no load has; the number of the new load, or of the last one."""
-    known = loads(spark, warehouse)
-    log = f"{warehouse}/{LOG}"
-    seen = set()
-    if known:
-        names = spark.read.schema(_FILES).parquet(*[f"{log}/load={n}/files" for n in known])
-        seen = {tuple(row) for row in names.collect()}
-    landed = [(kind, *file) for kind in KINDS for file in storage.files(spark, f"{landing}/{kind}")]
-    new = [file for file in landed if file not in seen]
-    if not new:
-        return known[-1] if known else 0
-    begun = [storage.number(path) for path, _ in storage.found(spark, f"{log}/load=*")]
-    load = max(begun, default=0) + 1
+def _broken_lines(spark: SparkSession, warehouse: str, load: int) -> dict[tuple[int, str], int]:
+    found = {}
     for kind in KINDS:
-        paths = [path for of, path, _ in new if of == kind]
-        if paths:
-            read_files(spark, paths, kind).write.parquet(f"{log}/load={load}/{kind}")
-    spark.createDataFrame(new, _FILES).coalesce(1).write.parquet(f"{log}/load={load}/files")
-    return load
+        folder = f"{_folder(warehouse, kind, load)}/bucket={NO_PAYLOAD}"
+        if storage.exists(spark, folder):
+            found[load, kind] = spark.read.schema(_log_schema(kind)).parquet(folder).count()
+    return found
 
 
-def _logged(spark: SparkSession, warehouse: str, kind: str, chosen: list[int]) -> DataFrame | None:
-    folders = [f"{warehouse}/{LOG}/load={n}/{kind}" for n in chosen]
-    folders = [folder for folder in folders if storage.exists(spark, f"{folder}/_SUCCESS")]
-    schema = f"{SCHEMAS[kind]}, {BROKEN} string, landed_at timestamp, file string"
-    return spark.read.schema(schema).parquet(*folders) if folders else None
+def absorb(spark: SparkSession, landing: str, warehouse: str, on_broken: str = "quarantine", batch: int = BATCH) -> State:
+    """Parse the files that no load has; the state with the new load, if there are such files.
 
+    With ``on_broken="fail"`` lines that are no payload raise, and the files of this load stay new.
+    """
+    before = state(spark, warehouse)
+    names = ["kind", "path", "modified"]
+    new = listing(spark, landing).join(ledger(spark, warehouse, before.loads), names, "left_anti").persist()
+    batches = -(-new.count() // batch)
+    if not batches:
+        new.unpersist()
+        return before
+    load = _next_load(spark, warehouse)
+    files = _folder(warehouse, FILES, load)
+    dealt = new.withColumn("batch", F.pmod(F.xxhash64("path"), F.lit(batches)).cast("int"))
+    dealt.repartition("batch").write.mode("error").partitionBy("batch").parquet(files)
+    new.unpersist()
+    for folder, _ in storage.found(spark, f"{files}/batch=*"):
+        paths = spark.read.schema(_FILES).parquet(folder).select("kind", "path").collect()
+        for kind in KINDS:
+            own = [row.path for row in paths if row.kind == kind]
+            if own:
+                _write(_parse(spark, kind, own, before.buckets), _folder(warehouse, kind, load))
+    broken = _broken_lines(spark, warehouse, load)
+    if broken and on_broken == "fail":
+        raise ValueError(f"lines that are no payload: { {kind: lines for (_, kind), lines in broken.items()} }")
+    after = before._replace(new=[*before.new, load], broken=before.broken | broken)
+    commit(spark, warehouse, after)
+    return after
 
-def payloads(spark: SparkSession, warehouse: str, kind: str, after: int = 0) -> DataFrame:
-    """Whole payloads of one kind of the loads after a number."""
-    chosen = [n for n in loads(spark, warehouse) if n > after]
-    logged = _logged(spark, warehouse, kind, chosen)
-    if logged is None:
-        return spark.createDataFrame([], f"{SCHEMAS[kind]}, landed_at timestamp")
-    return logged.filter(F.col(BROKEN).isNull()).drop(BROKEN, "file")
+
+def _log_schema(kind: str) -> str:
+    return f"{SCHEMAS[kind]}, {BROKEN} string, landed_at timestamp, file string"
+
+
+def _logged(spark: SparkSession, warehouse: str, kind: str, loads: Iterable[int]) -> DataFrame:
+    """All lines of one kind of some loads, with ``load`` and ``bucket``."""
+    schema, base = f"{_log_schema(kind)}, load int, bucket int", f"{warehouse}/{LOG}/{kind}"
+    there = {storage.number(path) for path, _ in storage.found(spark, f"{base}/load=*")}
+    folders = [_folder(warehouse, kind, n) for n in loads if n in there]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*folders)
+
+
+def payloads(spark: SparkSession, warehouse: str, kind: str, loads: Iterable[int]) -> DataFrame:
+    """Whole payloads of one kind of some loads."""
+    return _logged(spark, warehouse, kind, loads).filter(F.col("bucket") != NO_PAYLOAD).drop(BROKEN, "file", "load", "bucket")
+
+
+def deliveries(spark: SparkSession, warehouse: str, loads: Iterable[int]) -> DataFrame:
+    """Where some loads have payloads of which match; the payloads themselves are not read."""
+    rows = spark.createDataFrame([], "kind string, match_id long, landed_at timestamp, load int, bucket int")
+    for kind in BY_MATCH:
+        logged = _logged(spark, warehouse, kind, loads).filter((F.col("bucket") != NO_PAYLOAD) & F.col("match_id").isNotNull())
+        rows = rows.union(logged.select(F.lit(kind), "match_id", "landed_at", "load", "bucket"))
+    return rows
+
+
+def latest(delivered: DataFrame) -> DataFrame:
+    """The latest delivery of each match's lineups and statistics."""
+    newest = F.max(F.struct("landed_at", "load", "bucket")).alias("newest")
+    return delivered.groupBy("kind", "match_id").agg(newest).select("kind", "match_id", "newest.*")
+
+
+def delivered_payloads(spark: SparkSession, warehouse: str, kind: str, chosen: DataFrame) -> DataFrame:
+    """The payloads of chosen deliveries, with the other columns of ``chosen``; of the log only the folders
+    of their loads and buckets are read."""
+    own = chosen.filter(F.col("kind") == kind).drop("kind")
+    # no more than loads times buckets
+    places = own.select("load", "bucket").distinct().collect()
+    schema = f"{SCHEMAS[kind]}, landed_at timestamp"
+    if places:
+        reader = spark.read.schema(f"{schema}, load int, bucket int").option("basePath", f"{warehouse}/{LOG}/{kind}")
+        logged = reader.parquet(*[f"{_folder(warehouse, kind, r.load)}/bucket={r.bucket}" for r in places])
+    else:
+        logged = spark.createDataFrame([], f"{schema}, load int, bucket int")
+    return logged.join(own, ["match_id", "landed_at", "load", "bucket"]).drop("load", "bucket")
 
 
 def quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
     """``kind, file, line, landed_at`` of all lines that are no payload, of loads and streams."""
     rows = spark.createDataFrame([], _BROKEN_ROWS)
+    broken = state(spark, warehouse).broken
     for kind in KINDS:
-        logged = _logged(spark, warehouse, kind, loads(spark, warehouse))
-        if logged is not None:
-            broken = logged.filter(F.col(BROKEN).isNotNull())
-            rows = rows.union(broken.select(F.lit(kind), "file", BROKEN, "landed_at"))
+        folders = [f"{_folder(warehouse, kind, n)}/bucket={NO_PAYLOAD}" for n, of in broken if of == kind]
+        if folders:
+            lines = spark.read.schema(_log_schema(kind)).parquet(*folders)
+            rows = rows.union(lines.select(F.lit(kind), "file", BROKEN, "landed_at"))
     streamed = f"{warehouse}/{QUARANTINE}"
     if storage.exists(spark, streamed):
         rows = rows.union(spark.read.schema(_BROKEN_ROWS).option("recursiveFileLookup", "true").parquet(streamed))
@@ -98,3 +230,43 @@ def broken_of(batch: DataFrame) -> DataFrame:
     return batch.filter(F.col(BROKEN).isNotNull()).select(
         kind.alias("kind"), "file", F.col(BROKEN).alias("line"), "landed_at"
     )
+
+
+def compact(spark: SparkSession, warehouse: str) -> bool:
+    """Make one load of all loads that are in the tables: their file names, events and broken lines, and
+    of each match the latest lineups and statistics, which are the ones that count.  Whether there was
+    more than one.  The old loads stay until ``clean_up``."""
+    now = state(spark, warehouse)
+    if len(now.done) < 2:
+        return False
+    load = _next_load(spark, warehouse)
+    ledger(spark, warehouse, now.done).write.parquet(_folder(warehouse, FILES, load))
+    newest = latest(deliveries(spark, warehouse, now.done)).persist()
+    for kind in KINDS:
+        logged = _logged(spark, warehouse, kind, now.done)
+        if kind in BY_MATCH:
+            kept = newest.filter(F.col("kind") == kind).select("match_id", "landed_at", "load")
+            unmatched = logged.filter((F.col("bucket") == NO_PAYLOAD) | F.col("match_id").isNull())
+            logged = logged.join(kept, ["match_id", "landed_at", "load"], "left_semi").unionByName(unmatched)
+        _write(logged.drop("load"), _folder(warehouse, kind, load))
+    newest.unpersist()
+    broken = {key: lines for key, lines in now.broken.items() if key[0] in now.new}
+    moved = F.when(F.col("load").isin(now.done), load).otherwise(F.col("load")).alias("load")
+    waiting = now.waiting.select("kind", "match_id", "landed_at", moved, "bucket")
+    after = now._replace(done=[load], broken=broken | _broken_lines(spark, warehouse, load), waiting=waiting)
+    commit(spark, warehouse, after)
+    return True
+
+
+def clean_up(spark: SparkSession, warehouse: str, retention: timedelta = storage.RETENTION) -> list[str]:
+    """Remove loads that no state of the last ``retention`` names (compacted or broken off), and older
+    states; the removed paths.  Never run it while a load is older than that."""
+    before = time.time() - retention.total_seconds()
+    folder = f"{warehouse}/{LOG}"
+    versions = storage.in_use(spark, f"{folder}/{STATE}", before)
+    rows = spark.read.schema(_STATE).parquet(*versions) if versions else spark.createDataFrame([], _STATE)
+    named = {r.load for r in rows.filter("entry IN ('done', 'new')").select("load").distinct().collect()}
+    listed = [file for of in (FILES, *KINDS) for file in storage.found(spark, f"{folder}/{of}/load=*")]
+    removed = storage.remove_older(spark, [(p, at) for p, at in listed if storage.number(p) not in named], before)
+    others = [(p, at) for p, at in storage.found(spark, f"{folder}/{STATE}/version=*") if p not in versions]
+    return removed + storage.remove_older(spark, others, before)

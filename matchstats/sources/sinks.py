@@ -31,7 +31,7 @@ def replace_by_match(old: DataFrame, new: DataFrame, fetched: DataFrame) -> Data
 
 
 def not_loaded(finished_matches: DataFrame, match_stats: DataFrame) -> DataFrame:
-    """Finished matches that have no match-level statistics yet."""
+    """Finished matches that have no match-level statistics yet: rows of them, or a list of their matches."""
     return finished_matches.join(match_stats.select("match_id").distinct(), "match_id", "left_anti")
 
 
@@ -75,26 +75,32 @@ def append_facts(new: DataFrame, root: str, name: str) -> None:
     _write(new, root, name)
 
 
-def stored_near(matches: DataFrame, root: str, name: str) -> tuple[DataFrame, list[storage.Part]]:
-    """Stored rows of the seasons and buckets that some matches (``match_id, season_id``) belong to, and
-    those parts.  Only their files are read."""
+def parts_near(matches: DataFrame, root: str, name: str) -> list[storage.Part]:
+    """The parts of the seasons and buckets that some matches (``match_id, season_id``) belong to."""
     spark = matches.sparkSession
     parts = storage.current_parts(spark, root, name)
     bucket = storage.bucket_of("match_id", storage.buckets(spark, parts))
     season = F.coalesce("season_id", F.lit(NO_SEASON)).cast("long")
     # never more than seasons times buckets
     touched = {tuple(r) for r in matches.select(season, bucket).distinct().collect()}
-    near = [part for part in parts if (part.season_id, part.bucket) in touched]
-    stored = storage.read_parts(spark, root, name, near)
-    return spark.createDataFrame([], TABLES[name]) if stored is None else stored, near
+    return [part for part in parts if (part.season_id, part.bucket) in touched]
+
+
+def loaded_near(matches: DataFrame, root: str) -> DataFrame:
+    """``match_id`` of matches that have match-level statistics, as far as they share a season and a
+    bucket with some matches.  No facts are read."""
+    name = storage.LISTED[0]
+    return storage.read_matches(matches.sparkSession, root, name, parts_near(matches, root, name))
 
 
 def _rewrite(
     matches: DataFrame, root: str, name: str, change: Callable[[DataFrame], DataFrame]
 ) -> None:
     """Replace the parts that some matches belong to by what ``change`` makes of their rows."""
-    stored, near = stored_near(matches, root, name)
-    _write(change(stored), root, name, {(part.season_id, part.bucket) for part in near})
+    spark, near = matches.sparkSession, parts_near(matches, root, name)
+    stored = storage.read_parts(spark, root, name, near)
+    rows = spark.createDataFrame([], TABLES[name]) if stored is None else stored
+    _write(change(rows), root, name, {(part.season_id, part.bucket) for part in near})
 
 
 def replace_facts(new: DataFrame, fetched: DataFrame, root: str, name: str) -> None:

@@ -7,6 +7,9 @@ the partitions that are read.  The newest version with a success marker counts,
 interrupted anywhere before leaves the tables as they were, and repeating it is safe.  Tables have
 one writer at a time.
 
+Beside the parts of match facts their matches are listed, part by part, so that whether a match is
+loaded is known without reading facts.
+
 What is no longer current stays until ``clean_up`` removes it; no load does so by itself.
 """
 
@@ -29,7 +32,9 @@ BUCKETS = 4
 #: How long files stay after they have been replaced: far longer than any query or stream runs.
 RETENTION = timedelta(days=7)
 
-CURRENT = "_current"
+CURRENT, MATCHES = "_current", "_matches"
+#: The facts whose rows make a match a loaded one.
+LISTED = ("match_stats_log",)
 
 
 class Part(NamedTuple):
@@ -67,20 +72,6 @@ def found(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
     return [(s.getPath().toString(), s.getModificationTime() / 1000) for s in fs.globStatus(located) or []]
 
 
-def files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
-    """All data files below a folder, with their times of change."""
-    fs, located = _located(spark, folder)
-    listed = []
-    if fs.exists(located):
-        remaining = fs.listFiles(located, True)
-        while remaining.hasNext():
-            status = remaining.next()
-            path = status.getPath()
-            if not path.getName().startswith(("_", ".")):
-                listed.append((path.toString(), status.getModificationTime()))
-    return sorted(listed)
-
-
 def number(path: str) -> int:
     return int(path.rstrip("/").rpartition("=")[2])
 
@@ -90,12 +81,15 @@ def _versions(spark: SparkSession, folder: str) -> list[int]:
     return sorted(number(path) for path, _ in found(spark, f"{folder}/version=*"))
 
 
+def complete_versions(spark: SparkSession, folder: str) -> list[str]:
+    """Complete versions of a rewritten folder, the newest first."""
+    complete = sorted((number(path.rpartition("/")[0]) for path, _ in found(spark, f"{folder}/version=*/_SUCCESS")), reverse=True)
+    return [f"{folder}/version={version}" for version in complete]
+
+
 def version_path(spark: SparkSession, folder: str) -> str | None:
     """The newest complete version of a rewritten folder."""
-    for version in reversed(_versions(spark, folder)):
-        if exists(spark, f"{folder}/version={version}/_SUCCESS"):
-            return f"{folder}/version={version}"
-    return None
+    return next(iter(complete_versions(spark, folder)), None)
 
 
 def write_version(df: DataFrame, folder: str) -> str:
@@ -142,6 +136,12 @@ def read_parts(spark: SparkSession, root: str, name: str, parts: Iterable[Part])
     return spark.read.schema(TABLES[name]).option("basePath", folder).parquet(*paths).select(*TABLES[name].names)
 
 
+def read_matches(spark: SparkSession, root: str, name: str, parts: Iterable[Part]) -> DataFrame:
+    """``match_id`` of the matches that have rows in some parts of a fact that lists them."""
+    paths = [f"{root}/{name}/{MATCHES}/{part.folder}" for part in parts]
+    return spark.read.schema("match_id long").parquet(*paths) if paths else spark.createDataFrame([], "match_id long")
+
+
 def publish(rows: DataFrame, root: str, name: str, replaced: Iterable[tuple[int, int]]) -> None:
     """Write rows (with ``bucket``) and make them current instead of all rows of the replaced seasons
     and buckets."""
@@ -155,35 +155,46 @@ def publish(rows: DataFrame, root: str, name: str, replaced: Iterable[tuple[int,
         Part(number(path.rpartition("/")[0]), number(path), load, count)
         for path, _ in found(spark, f"{folder}/load={load}/season_id=*/bucket=*")
     ]
+    if name in LISTED and written:
+        stored = read_parts(spark, root, name, written).select("season_id", bucket_of("match_id", count).alias("bucket"), "match_id")
+        listed = stored.distinct().hint("rebalance", "season_id", "bucket")
+        listed.write.mode("error").partitionBy("season_id", "bucket").parquet(f"{folder}/{MATCHES}/load={load}")
     kept = [part for part in old if (part.season_id, part.bucket) not in gone]
     schema = "season_id long, bucket int, load int, buckets int"
     write_version(spark.createDataFrame(kept + written, schema).coalesce(1), f"{folder}/{CURRENT}")
 
 
+def in_use(spark: SparkSession, folder: str, since: float) -> list[str]:
+    """Versions that were current at some time since."""
+    complete = sorted(found(spark, f"{folder}/version=*/_SUCCESS"), key=lambda x: number(x[0].rpartition("/")[0]))
+    then = [n for n, (_, changed) in enumerate(complete) if changed < since]
+    return [path.rpartition("/")[0] for path, _ in complete[then[-1] if then else 0 :]]
+
+
+def remove_older(spark: SparkSession, listed: Iterable[tuple[str, float]], before: float) -> list[str]:
+    """Remove the paths that have not changed since; the removed ones."""
+    removed = [path for path, changed in listed if changed < before]
+    for path in removed:
+        remove(spark, path)
+    return removed
+
+
 def clean_up(spark: SparkSession, root: str, retention: timedelta = RETENTION) -> list[str]:
     """Remove what has not been current for ``retention``, and what loads broken off before then have
     left; the removed paths.  Run it now and then, never while a load is older than that."""
     before, removed = time.time() - retention.total_seconds(), []
 
-    def in_use(folder: str) -> list[str]:
-        """Versions that were current at some time since."""
-        complete = sorted(found(spark, f"{folder}/version=*/_SUCCESS"), key=lambda x: number(x[0].rpartition("/")[0]))
-        then = [n for n, (_, changed) in enumerate(complete) if changed < before]
-        return [path.rpartition("/")[0] for path, _ in complete[then[-1] if then else 0 :]]
-
     def remove_others(listed: list[tuple[str, float]], used: set[str]) -> None:
-        for path, changed in listed:
-            if path not in used and changed < before:
-                remove(spark, path)
-                removed.append(path)
+        removed.extend(remove_older(spark, [(path, changed) for path, changed in listed if path not in used], before))
 
     for name in KEYS:
-        remove_others(found(spark, f"{root}/{name}/version=*"), set(in_use(f"{root}/{name}")))
+        remove_others(found(spark, f"{root}/{name}/version=*"), set(in_use(spark, f"{root}/{name}", before)))
     for name in FACTS:
         folder = f"{root}/{name}"
-        versions = in_use(f"{folder}/{CURRENT}")
+        versions = in_use(spark, f"{folder}/{CURRENT}", before)
         base = _located(spark, folder)[0].makeQualified(_located(spark, folder)[1]).toString()
-        used = {f"{base}/{part.folder}" for version in versions for part in _listed(spark, version)}
-        remove_others(found(spark, f"{folder}/load=*/season_id=*/bucket=*"), used)
+        used = {part.folder for version in versions for part in _listed(spark, version)}
+        for of in (base, f"{base}/{MATCHES}"):
+            remove_others(found(spark, f"{of}/load=*/season_id=*/bucket=*"), {f"{of}/{part}" for part in used})
         remove_others(found(spark, f"{folder}/{CURRENT}/version=*"), set(versions))
     return removed

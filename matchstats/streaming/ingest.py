@@ -11,11 +11,8 @@ from matchstats.operators.context import finished
 from matchstats.plans.ingest import load_events, load_lineups, load_statistics
 from matchstats.sources import landed
 from matchstats.sources import landing as L
-from matchstats.sources import storage
 from matchstats.sources.tables import read_table
-
-_PAYLOAD = ["match_id", "statistics", "home", "away", "landed_at"]
-
+from matchstats.streaming import waiting
 
 def _latest(payloads: DataFrame) -> DataFrame:
     """The latest delivery of each match's lineups and statistics."""
@@ -27,34 +24,44 @@ def _latest(payloads: DataFrame) -> DataFrame:
 def load_batch(batch: DataFrame, batch_id: int, warehouse: str) -> None:
     """Load one micro-batch; running it again gives the same tables.
 
-    Payloads of matches that are unknown or unfinished wait in a folder named after the batch and
-    are taken up by the next one, so files may land in any order.  Lines that are no payload go to
+    Payloads of matches that are unknown or unfinished wait (``waiting``) until an event or a payload
+    of a match of their bucket comes, so files may land in any order.  Lines that are no payload go to
     ``_quarantine``.
     """
     spark = batch.sparkSession
-    waiting_folder = f"{warehouse}/_waiting"
     whole = batch = batch.persist()
     broken = landed.broken_of(batch)
     if not broken.isEmpty():
         broken.write.mode("overwrite").parquet(f"{warehouse}/{landed.QUARANTINE}/batch={batch_id}")
     batch = batch.filter(F.col(L.BROKEN).isNull())
-    load_events(L.flatten_events(batch.filter(F.col("events").isNotNull())), warehouse)
+    events = L.flatten_events(batch.filter(F.col("events").isNotNull()))
+    if not events.isEmpty():
+        load_events(events, warehouse)
 
-    payloads = batch.filter(F.col("match_id").isNotNull()).select(_PAYLOAD)
-    before = f"{waiting_folder}/batch={batch_id - 1}"
-    if storage.exists(spark, before):
-        payloads = payloads.unionByName(spark.read.schema(payloads.schema).parquet(before))
+    payloads = batch.filter(F.col("match_id").isNotNull()).select(*waiting.PAYLOAD)
+    ids = events.select(F.col("event.id").alias("match_id")).union(payloads.select("match_id"))
+    buckets = waiting.touched(ids)
+    before = waiting.parts_before(spark, warehouse, batch_id)
+    held = waiting.read(spark, warehouse, [part for part in before if part.bucket in buckets])
+    candidates = _latest(held.union(payloads)).persist()
 
-    matches = finished(read_table(spark, warehouse, "matches"))
-    with_lineups = payloads.filter(F.col("home").isNotNull() | F.col("away").isNotNull())
-    load_lineups(with_lineups, matches, warehouse)
-    with_statistics = payloads.filter(F.col("statistics").isNotNull())
-    load_statistics(with_statistics, matches, warehouse)
+    of_match = ["match_id", "season_id", "home_team_id", "away_team_id"]
+    matches = finished(read_table(spark, warehouse, "matches")).select(*of_match)
+    ready = candidates.join(matches, "match_id").persist()
+    with_lineups = ready.filter(F.col("home").isNotNull() | F.col("away").isNotNull())
+    load_lineups(with_lineups, with_lineups.select(*of_match).distinct(), warehouse)
+    with_statistics = ready.filter(F.col("statistics").isNotNull())
+    load_statistics(with_statistics, with_statistics.select(*of_match).distinct(), warehouse)
 
-    still_waiting = _latest(payloads.join(matches, "match_id", "left_anti")).select(_PAYLOAD)
-    still_waiting.write.mode("overwrite").parquet(f"{waiting_folder}/batch={batch_id}")
-    storage.remove(spark, f"{waiting_folder}/batch={batch_id - 2}")
-    whole.unpersist()
+    left = candidates.join(matches, "match_id", "left_anti")
+    if any(part.bucket in buckets for part in before):
+        changes = not (payloads.isEmpty() and ready.isEmpty())
+    else:
+        changes = not left.isEmpty()
+    if changes:
+        waiting.keep(left, warehouse, buckets, before, batch_id)
+    for df in (candidates, ready, whole):
+        df.unpersist()
 
 
 def stream_ingest(

@@ -2,8 +2,10 @@
 
 import json
 import os
+import shutil
 import time
 from datetime import datetime, timedelta
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -17,7 +19,8 @@ from matchstats.sources import landing as L
 from matchstats.sources.sinks import append_facts, as_table
 from matchstats.sources.storage import write_version
 from matchstats.sources.tables import open_tables, read_table
-from matchstats.streaming.ingest import stream_ingest
+from matchstats.streaming import waiting
+from matchstats.streaming.ingest import load_batch, stream_ingest
 
 TOURNAMENT = {"uniqueTournament": {"id": 9, "name": "Cup", "slug": "cup"}, "category": {"name": "World"}}
 SEASON = {"id": 90, "name": "Cup 2025", "year": "2025"}
@@ -67,9 +70,7 @@ ITEMS = [
 ]
 
 
-@pytest.fixture
-def landing(tmp_path):
-    folder = tmp_path / "landing"
+def land_first(folder):
     land(
         folder, "events", "a",
         {"tournament_id": 9, "season_id": 90, "events": [event(1, 100), event(2, 60), event(3, 110, 2, 1, "Blues")]},
@@ -86,6 +87,31 @@ def landing(tmp_path):
     return folder
 
 
+@pytest.fixture
+def landing(tmp_path):
+    return land_first(tmp_path / "landing")
+
+
+@pytest.fixture(scope="session")
+def loaded_once(spark, tmp_path_factory):
+    """The first files, landed and loaded."""
+    folder = tmp_path_factory.mktemp("loaded")
+    land_first(folder / "landing")
+    ingest(spark, str(folder / "landing"), str(folder / "tables"))
+    return folder
+
+
+@pytest.fixture
+def loaded(loaded_once, tmp_path):
+    """The same landing folder and a copy of the tables; files that a test lands go again."""
+    first = {p for p in (loaded_once / "landing").rglob("*") if p.is_file()}
+    shutil.copytree(loaded_once / "tables", tmp_path / "tables")
+    yield loaded_once / "landing", str(tmp_path / "tables")
+    for path in (loaded_once / "landing").rglob("*"):
+        if path.is_file() and path not in first:
+            path.unlink()
+
+
 def content(spark, warehouse):
     """All rows, but for the match a player was last read from: a match without statistics is
     read again by every load."""
@@ -99,9 +125,8 @@ def facts(spark, warehouse, *columns):
     return sorted(tuple(r) for r in read_table(spark, warehouse, "player_stats_log").select(*columns).collect())
 
 
-def test_first_load(spark, landing, tmp_path):
-    warehouse = str(tmp_path / "tables")
-    ingest(spark, str(landing), warehouse)
+def test_first_load(spark, loaded):
+    _, warehouse = loaded
     t = open_tables(spark, warehouse)
     assert [tuple(r) for r in t.tournaments.collect()] == [(9, "Cup", "cup", "World", 90, "Cup 2025", "2025")]
     assert sorted(r[0] for r in t.matches.select("match_id").collect()) == [1, 2, 3, 4]
@@ -140,9 +165,8 @@ def test_first_load(spark, landing, tmp_path):
     ]
 
 
-def test_loading_again_changes_nothing(spark, landing, tmp_path):
-    warehouse = str(tmp_path / "tables")
-    ingest(spark, str(landing), warehouse)
+def test_loading_again_changes_nothing(spark, loaded):
+    landing, warehouse = loaded
     before = content(spark, warehouse)
     ingest(spark, str(landing), warehouse)
     assert content(spark, warehouse) == before
@@ -150,9 +174,8 @@ def test_loading_again_changes_nothing(spark, landing, tmp_path):
     assert content(spark, warehouse) == before
 
 
-def test_loaded_matches_are_skipped_unless_forced(spark, landing, tmp_path):
-    warehouse = str(tmp_path / "tables")
-    ingest(spark, str(landing), warehouse)
+def test_loaded_matches_are_skipped_unless_forced(spark, loaded):
+    landing, warehouse = loaded
     land(landing, "lineups", "b", lineups(1, [listed(7, "Ana", minutesPlayed=91)], []))
     ingest(spark, str(landing), warehouse)
     assert (1, "minutesPlayed", 90.0) in facts(spark, warehouse, "match_id", "metric_key", "value")
@@ -162,18 +185,16 @@ def test_loaded_matches_are_skipped_unless_forced(spark, landing, tmp_path):
     assert [r for r in kept if r[0] == 3] == [(3, 7, "minutesPlayed", 45.0)]
 
 
-def test_second_load_updates_a_club(spark, landing, tmp_path):
-    warehouse = str(tmp_path / "tables")
-    ingest(spark, str(landing), warehouse)
+def test_second_load_updates_a_club(spark, loaded):
+    landing, warehouse = loaded
     land(landing, "events", "b", {"tournament_id": 9, "season_id": 90, "events": [event(5, 100, name="Crimsons")]})
     ingest(spark, str(landing), warehouse)
     clubs = {r.team_id: r.name for r in read_table(spark, warehouse, "clubs").collect()}
     assert clubs[1] == "Crimsons" and len(clubs) == 2
 
 
-def test_a_match_that_moves_to_another_season_leaves_no_rows_behind(spark, landing, tmp_path):
-    warehouse = str(tmp_path / "tables")
-    ingest(spark, str(landing), warehouse)
+def test_a_match_that_moves_to_another_season_leaves_no_rows_behind(spark, loaded):
+    landing, warehouse = loaded
     land(landing, "events", "b", {"events": [event(4, 120, season={"id": 91, "year": "2026"})]})
     before = facts(spark, warehouse, "match_id", "metric_key", "value")
     ingest(spark, str(landing), warehouse)
@@ -219,9 +240,8 @@ def files_of(folder):
     return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("part-*")}
 
 
-def test_a_load_that_breaks_off_before_publishing_changes_nothing(spark, landing, tmp_path, monkeypatch):
-    warehouse = str(tmp_path / "tables")
-    ingest(spark, str(landing), warehouse)
+def test_a_load_that_breaks_off_before_publishing_changes_nothing(spark, loaded, monkeypatch):
+    landing, warehouse = loaded
     before = content(spark, warehouse)
     land(landing, "lineups", "b", lineups(1, [listed(7, "Ana", minutesPlayed=91)], []))
     land(landing, "statistics", "b", statistics(1, ITEMS[0]))
@@ -263,9 +283,8 @@ def test_a_load_of_one_match_leaves_the_files_of_other_parts(spark, landing, tmp
     assert (5, 7, 9.0) in facts(spark, str(warehouse), "match_id", "player_id", "value")
 
 
-def test_open_tables_can_be_read_after_many_loads(spark, landing, tmp_path):
-    warehouse = str(tmp_path / "tables")
-    ingest(spark, str(landing), warehouse)
+def test_open_tables_can_be_read_after_many_loads(spark, loaded):
+    landing, warehouse = loaded
     opened = open_tables(spark, warehouse)
     rows = opened.player_stats.count(), opened.clubs.count()
     for n in range(5):
@@ -277,7 +296,7 @@ def test_open_tables_can_be_read_after_many_loads(spark, landing, tmp_path):
     before = content(spark, warehouse)
     removed = storage.clean_up(spark, warehouse, timedelta(seconds=-60))
     assert removed and content(spark, warehouse) == before
-    left = sorted(p.name for p in (tmp_path / "tables" / "clubs").iterdir())
+    left = sorted(p.name for p in (Path(warehouse) / "clubs").iterdir())
     assert len(left) == 1
 
 
@@ -295,9 +314,8 @@ def test_clean_up_keeps_what_was_current_within_the_retention(spark, tmp_path):
     assert sorted(p.name for p in folder.iterdir()) == ["version=3", "version=4"]
 
 
-def test_nothing_fetched_writes_nothing(spark, landing, tmp_path):
-    warehouse = tmp_path / "tables"
-    ingest(spark, str(landing), str(warehouse))
+def test_nothing_fetched_writes_nothing(spark, loaded, tmp_path):
+    landing, warehouse = loaded[0], tmp_path / "tables"
     before = files_of(warehouse)
     land(landing, "events", "b", {"events": [event(1, 100)]})
     ingest(spark, str(landing), str(warehouse))
@@ -337,7 +355,7 @@ def test_a_load_reads_only_new_files_and_the_parts_of_its_matches(spark, landing
 
 
 def _times(spark, warehouse):
-    rows = spark.read.schema("kind string, path string, modified long").parquet(f"{warehouse}/_landed/load=1/files").collect()
+    rows = spark.read.schema("kind string, path string, modified long").parquet(f"{warehouse}/_landed/files/load=1").collect()
     return [(r.path, r.modified) for r in rows if r.kind == "lineups"]
 
 
@@ -431,16 +449,13 @@ def test_only_the_latest_delivery_waits(spark, tmp_path):
             land(late, "statistics", file, statistics(2, ITEMS[0]))
         stream_ingest(spark, str(late), str(tables), str(tmp_path / "checkpoint")).awaitTermination()
         time.sleep(1.1)
-    newest = max((tables / "_waiting").iterdir(), key=lambda p: int(p.name.removeprefix("batch=")))
-    assert spark.read.parquet(str(newest)).count() == 2
+    assert waiting.waiting(spark, str(tables)).count() == 2
     land(late, "events", "a", {"events": [event(2, 100)]})
     stream_ingest(spark, str(late), str(tables), str(tmp_path / "checkpoint")).awaitTermination()
     assert facts(spark, str(tables), "match_id", "value") == [(2, 30.0)]
 
 
 def test_a_repeated_micro_batch_changes_nothing(spark, landing, tmp_path):
-    from matchstats.streaming.ingest import load_batch
-
     reader = spark.read.schema(f"{L.ANY_PAYLOAD}, {L.BROKEN} STRING").option("recursiveFileLookup", "true")
     metadata = ["_metadata.file_modification_time AS landed_at", "_metadata.file_path AS file"]
     payloads = reader.json(str(landing)).selectExpr("*", *metadata)
