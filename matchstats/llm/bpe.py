@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from functools import cache
 
@@ -18,34 +19,48 @@ _CROWDED = f"{_BLANK}{{3}}|  "
 _BEHIND_BLANK = re.compile(r" \S(?:.*\S)?", re.DOTALL).fullmatch
 
 BYTE_BPE = "byte_bpe_50k.json"
-#: Pre-tokens remembered at a time: a process holds about 180 MB of them.
-REMEMBERED = 900_000
+#: Bytes of pre-tokens that a process remembers, with what Python needs for each.
+REMEMBERED = 80 << 20
+_EACH = 150
+#: Marks of pre-tokens that have been seen, by their hashes: one is remembered when it is seen again.
+_MARKS = 1 << 22
 
 
 class _Places(dict):
-    """Numbers the keys it is asked for in the order they come; ``new`` has those without ids yet."""
+    """Numbers the keys it is asked for in the order they come; ``new`` has those that came last."""
 
     def __init__(self) -> None:
         super().__init__()
         self.new: list[str] = []
+        self.first = 0
 
     def __missing__(self, key: str) -> int:
-        self[key] = place = len(self)
+        self[key] = place = self.first + len(self.new)
         self.new.append(key)
         return place
 
 
 class PieceEncoder:
-    """Encodes like the library's tokenizer, whose pre-tokens are encoded independently."""
+    """Encodes like the library's tokenizer, whose pre-tokens are encoded independently.
+
+    Pre-tokens that have come in two batches are remembered, up to a number of bytes; those that come
+    once, most of all distinct ones, take memory while their batch does.
+    """
 
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.remembered = remembered
         # each character of a byte-level token stands for one byte
         tokens = sorted((n, len(t)) for t, n in self.tokenizer.get_vocab().items())
         self.bytes = np.array([size for _, size in tokens], np.int64)
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        if any(token.lstrip or token.rstrip or token.single_word or token.normalized for token in added):
+            raise ValueError("added tokens that depend on their surroundings")
+        # the library takes the longest of them
+        self.added = sorted((token.content for token in added), key=len, reverse=True)
+        self.apart = regex.compile(f"({'|'.join(map(regex.escape, self.added))})").split if added else None
+        self.seen = np.zeros(_MARKS, bool)
         self._forget()
 
     def _forget(self) -> None:
@@ -53,7 +68,31 @@ class PieceEncoder:
         self.sizes = np.zeros(1024, np.int64)
         self.ids = np.zeros(4096, np.uint32)
         self.starts = np.zeros(1024, np.int64)
-        self.known = self.used = 0
+        self.known = self.used = self.held = 0
+
+    def _settle(self) -> None:
+        """Of the pre-tokens that came last keep those that were seen before."""
+        new, first = self.places.new, self.places.first
+        if not new:
+            return
+        marks = np.fromiter(map(hash, new), np.int64, len(new)) & (_MARKS - 1)
+        again = self.seen[marks]
+        self.seen[marks] = True
+        kept = np.flatnonzero(again)
+        for n in np.flatnonzero(~again).tolist():
+            del self.places[new[n]]
+        for place, n in enumerate(kept.tolist(), first):
+            self.places[new[n]] = place
+            self.held += sys.getsizeof(new[n]) + _EACH
+        sizes, starts = self.sizes[first + kept], self.starts[first + kept]
+        used = int(self.starts[first : first + len(new)].min())
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
+        self.sizes[first : first + len(kept)] = sizes
+        self.starts[first : first + len(kept)] = used + ends - sizes
+        self.ids[used : used + len(ids)] = ids
+        self.known, self.used = first + len(kept), used + len(ids)
+        self.places.new, self.places.first = [], self.known
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of pieces in the list, their numbers of ids, and the ids one after the other.  Pieces
@@ -76,7 +115,7 @@ class PieceEncoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self) -> None:
-        new, self.places.new = self.places.new, []
+        new = self.places.new[self.known - self.places.first :]
         if not new:
             return
         order, sizes, ids = self._encoded(new)
@@ -93,7 +132,8 @@ class PieceEncoder:
 
     def pieces(self, pieces: list[str]) -> np.ndarray:
         """The place of each pre-token; ``sizes[places]`` are their numbers of ids until the next call."""
-        if self.known > self.remembered:
+        self._settle()
+        if self.held > self.remembered:
             self._forget()
         places = np.fromiter(map(self.places.__getitem__, pieces), np.int64, len(pieces))
         self._learn()
@@ -110,21 +150,32 @@ class PieceEncoder:
         places = self.pieces(pieces)
         return self.sizes[places]
 
+    def _parted(self, text: str) -> list[str]:
+        """Pre-tokens of a text and, each for itself, the added tokens in it."""
+        if self.apart is None:
+            return self.split(text)
+        found = []
+        for n, part in enumerate(self.apart(text)):
+            found += [part] if n % 2 else self.split(part)
+        return found
+
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (none NULL), one after the other, and the number of ids of each.
 
         A pre-token has a blank in front at most, or is white space alone, so a text parts before
-        every blank; but not within white space of three or two blanks, or that ends the text.
-        Texts with such are parted into pre-tokens.
+        every blank; but not within white space of three or two blanks, or that ends the text, nor
+        within added tokens.  Texts with such are parted into pre-tokens.
         """
         crowded = pc.or_(pc.match_substring_regex(texts, _CROWDED), pc.ends_with(texts, " "))
+        for token in self.added:
+            crowded = pc.or_(crowded, pc.match_substring(texts, token))
         parted = pc.split_pattern(pc.if_else(crowded, "", texts), " ")
         sizes = np.diff(parted.offsets.to_numpy())
         coded = parted.flatten().dictionary_encode()
         words = [" " + w for w in coded.dictionary.to_pylist()]
         firsts = pc.list_element(parted, 0).to_pylist()
         apart = np.flatnonzero(crowded.to_numpy(zero_copy_only=False))
-        cut = [self.split(texts[n].as_py()) for n in apart.tolist()]
+        cut = [self._parted(texts[n].as_py()) for n in apart.tolist()]
         known = self.pieces(words + firsts + [p for c in cut for p in c])
         places = known[: len(words)][coded.indices.to_numpy()]
         places[np.cumsum(sizes) - sizes] = known[len(words) : len(words) + len(firsts)]

@@ -17,7 +17,6 @@ PATH = public_tokenizers.path(BYTE_BPE)
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -43,15 +42,22 @@ def test_other_bytes_are_refused():
         token_files.unpack(b"something else entirely")
 
 
-def test_encoder_equals_the_library(library):
+def test_an_added_token_is_one_id(library):
+    ids, sizes = PieceEncoder(PATH).encode(pa.array(["<|endoftext|>", "a <|endoftext|> b", "", "<|endoftext|> "]))
+    assert sizes.tolist() == [1, 4, 0, 2] and (ids == 50256).sum() == 3
+    assert ids[1:5].tolist() == library("a <|endoftext|> b")
+
+
+@pytest.mark.parametrize("remembered", [0, 20_000, 80 << 20])
+def test_encoder_equals_the_library(library, remembered):
     chosen = random.Random(5)
-    parts = ["'s", "'", "a", "re", "é", " ", " ", "  ", "\n", "\t", "1", "!", "日本", "\x1c", "\x85", "😀", "<|endoftext|>"]
+    parts = ["'s", "'", "a", "re", "é", " ", " ", "  ", "\n", "\t", "1", "!", "日本", "\x1c", "\x85", "😀", "<|endoftext|>", "<|endof", "text|>"]
     texts = ["".join(chosen.choice(parts) for _ in range(chosen.randint(0, 25))) for _ in range(5000)]
-    encoder = PieceEncoder(PATH, remembered=50)  # forgets all the time
-    for at in range(0, 5000, 1000):
-        ids, sizes = encoder.encode(pa.array(texts[at : at + 1000]))
+    encoder = PieceEncoder(PATH, remembered=remembered)
+    for at in range(0, 5000, 250):
+        ids, sizes = encoder.encode(pa.array(texts[at : at + 250]))
         ends = np.cumsum(sizes)
-        for text, end, size in zip(texts[at : at + 1000], ends, sizes, strict=True):
+        for text, end, size in zip(texts[at : at + 250], ends, sizes, strict=True):
             assert ids[end - size : end].tolist() == library(text), repr(text)
 
 
