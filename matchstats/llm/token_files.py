@@ -37,7 +37,7 @@ END_ID = 0
 #: Ids after which a segment ends with the document that reaches them, and bytes of the texts that
 #: are encoded together, at least one.
 SEGMENT = 1 << 18
-TOGETHER = 1 << 23
+TOGETHER = 1 << 22
 
 _HEAD = 16
 

@@ -48,10 +48,10 @@ def test_an_added_token_is_one_id(library):
     assert ids[1:5].tolist() == library("a <|endoftext|> b")
 
 
-@pytest.mark.parametrize("remembered", [0, 20_000, 80 << 20])
+@pytest.mark.parametrize("remembered", [0, 300, 5000, 1_500_000])
 def test_encoder_equals_the_library(library, remembered):
     chosen = random.Random(5)
-    parts = ["'s", "'", "a", "re", "é", " ", " ", "  ", "\n", "\t", "1", "!", "日本", "\x1c", "\x85", "😀", "<|endoftext|>", "<|endof", "text|>"]
+    parts = ["'s", "'", "a", "re", "é", " ", " ", "  ", "\n", "\t", "1", "!", "日本", "\x1c", "\x85", "😀", "<|endoftext|>", "<|endof", "text|>", "=" * 1500]
     texts = ["".join(chosen.choice(parts) for _ in range(chosen.randint(0, 25))) for _ in range(5000)]
     encoder = PieceEncoder(PATH, remembered=remembered)
     for at in range(0, 5000, 250):
