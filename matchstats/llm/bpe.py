@@ -20,6 +20,8 @@ _BEHIND_BLANK = re.compile(r" \S(?:.*\S)?", re.DOTALL).fullmatch
 BYTE_BPE = "byte_bpe_50k.json"
 #: Pre-tokens that a process remembers, at some 40 bytes each.
 REMEMBERED = 1_500_000
+#: How many ids they may have on the average.
+_IDS_EACH = 16
 #: The longest of them, in bytes.
 LONGEST = 1024
 #: Pre-tokens that are hashed, or encoded by the library, at a time: both need much memory for each.
@@ -76,11 +78,14 @@ class PieceEncoder:
         self.ids = np.zeros(4096, self.id_type)
         self.asked = np.zeros(1024, bool)
         self.known = self.used = 0
+        #: what is remembered for later calls: not what is too long for that
+        self.settled = 0, 0
 
     def _evict(self) -> None:
         """Forget what was not asked for since this was done last, or half of what was, if that is much."""
         kept = self.asked[self.places]
-        if kept.sum() > self.remembered // 2:
+        ids = self.sizes[self.places[kept]].sum()
+        if kept.sum() > self.remembered // 2 or ids > _IDS_EACH * self.remembered // 2:
             kept &= np.arange(len(kept)) % 2 == 0
         self.keys, places = self.keys[kept], self.places[kept]
         sizes = self.sizes[places]
@@ -136,7 +141,8 @@ class PieceEncoder:
     def _placed(self, groups: list[tuple[pa.StringArray, bytes]]) -> list[np.ndarray]:
         """The place of each pre-token of some groups, each group with some bytes ahead of its pre-tokens.
         Places hold until the next call."""
-        if len(self.keys) > self.remembered:
+        self.known, self.used = self.settled
+        if len(self.keys) > self.remembered or self.used > _IDS_EACH * self.remembered:
             self._evict()
         hashes = np.concatenate([_hashes(pieces, ahead) for pieces, ahead in groups])
         keys, firsts, inverse = np.unique(hashes, return_index=True, return_inverse=True)
@@ -148,11 +154,11 @@ class PieceEncoder:
         found[there] = self.places[at[there]]
         missing = np.flatnonzero(~there & (keys != 0))
         found[missing] = self._learn(self._strings(groups, firsts[missing]))
+        self.settled = self.known, self.used
         places = found[inverse]
         # those that are too long are encoded each time
         long = np.flatnonzero(hashes == 0)
-        new = self._learn(self._strings(groups, long))
-        places[long] = new
+        places[long] = self._learn(self._strings(groups, long))
         self.asked[found[keys != 0]] = True
         self.keys = np.insert(self.keys, at[missing], keys[missing])
         self.places = np.insert(self.places, at[missing], found[missing])
@@ -181,7 +187,8 @@ class PieceEncoder:
 
     def counts(self, pieces: list[str]) -> np.ndarray:
         """The number of ids of each pre-token."""
-        return self.sizes[self._placed([(pa.array(pieces, pa.string()), b"")])[0]]
+        places = self._placed([(pa.array(pieces, pa.string()), b"")])[0]
+        return self.sizes[places]
 
     def _parted(self, text: str) -> list[str]:
         """Pre-tokens of a text and, each for itself, the added tokens in it."""
