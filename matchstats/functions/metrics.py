@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,19 +18,19 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator / denominator * 100.0).otherwise(F.lit(0.0))
 
 
-def ratio_of(name: str) -> Column:
+def ratio_text(name: str) -> str:
+    """A registered ratio as SQL."""
     numerator, terms = RATIOS[name]
-    return ratio(F.col(numerator), reduce(add, [F.col(t) for t in terms]))
+    whole = " + ".join(f"`{t}`" for t in terms)
+    return f"CASE WHEN {whole} > 0 THEN `{numerator}` / ({whole}) * 100D ELSE 0D END"
 
 
 def with_ratios(df: DataFrame, category: str, metrics: Iterable[str]) -> DataFrame:
     """Replace the plain metric columns by the category's full column list, ratios included."""
     metrics = list(metrics)
-    other = [c for c in df.columns if c not in metrics]
+    other = [f"`{c}`" for c in df.columns if c not in metrics]
     shown = columns_for(category, metrics)
-    return df.select(
-        *other, *[(ratio_of(c) if c in RATIOS else F.col(c)).alias(c) for c in shown]
-    )
+    return df.selectExpr(*other, *[f"{ratio_text(c)} AS `{c}`" if c in RATIOS else f"`{c}`" for c in shown])
 
 
 def calc_value(value: Column, games: Column, minutes: Column, mode: str) -> Column:
@@ -48,6 +46,8 @@ def calc_value(value: Column, games: Column, minutes: Column, mode: str) -> Colu
 
 def apply_calc_mode(df: DataFrame, columns: Iterable[str], mode: str) -> DataFrame:
     """Rescale the metric columns; ratios stay as they are."""
+    if mode == "total":
+        return df
     games, minutes = F.col("games"), F.col("minutes")
     return df.withColumns(
         {

@@ -147,8 +147,10 @@ def club_rows(
 
 
 def metric_sum(source: MetricSource, tagged: bool = False) -> Column:
-    """Sum of one metric over long rows, 0 where it never occurs."""
-    matches = F.col("metric_key") == source.key
-    if tagged:
-        matches = matches & (F.col("source") == source.source)
-    return F.coalesce(F.sum(F.when(matches, F.col("value"))), F.lit(0.0)).alias(source.metric)
+    """Sum of one metric over long rows, 0 where it never occurs.
+
+    One SQL text: put together from columns, an expression takes a call to the JVM for each part, and a
+    table has a score of them.
+    """
+    wanted = f"metric_key = '{source.key}'" + (f" AND source = '{source.source}'" if tagged else "")
+    return F.expr(f"coalesce(sum(CASE WHEN {wanted} THEN value END), 0D) AS `{source.metric}`")
