@@ -649,6 +649,13 @@ def _simple() -> dict[str, str]:
             f"SELECT DISTINCT CASE WHEN l.match_id % 10 = 3 THEN 'lineups' ELSE 'loaded' END AS state, l.match_id FROM b_lines l "
             f"JOIN b_matches m ON m.match_id = l.match_id WHERE l.match_id % 10 = 3 OR {finished}"
         ),
+        "ingest_ledger": over_tables(
+            "SELECT 'loaded' AS state, match_id FROM done UNION ALL "
+            "SELECT DISTINCT 'lineups', match_id FROM b_lines WHERE match_id NOT IN (SELECT match_id FROM done) UNION ALL "
+            "SELECT DISTINCT 'statistics', match_id FROM b_match_stats_log WHERE match_id NOT IN (SELECT match_id FROM done)",
+            sf=_STATISTICS_FACTS,
+            done=f"SELECT DISTINCT f.match_id FROM sf f JOIN b_matches m ON m.match_id = f.match_id WHERE {finished}",
+        ),
         "ctx_competition_season": over_tables(
             f"SELECT match_id, tournament_id, season_id FROM b_matches WHERE {in_ctx}", chosen=chosen
         ),

@@ -37,12 +37,14 @@ from matchstats.plans.ingest import ingest, reprocess
 from matchstats.registry import CATEGORIES, club_sources, player_sources
 from matchstats.schema import MINUTES
 from matchstats.session import scratch_folder, tune
+from matchstats.sources import landed, storage
 from matchstats.sources import landing as L
 from matchstats.sources import orders_binding as B
 from matchstats.sources.landed import quarantine
 from matchstats.sources.sinks import (
     append_facts,
     as_table,
+    loaded_near,
     not_loaded,
     replace_by_match,
     upsert,
@@ -334,6 +336,22 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lost.union(loaded.select(F.lit("loaded"), "match_id").distinct())
 
 
+@query_on_files("ingest_ledger")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load knows of matches without reading facts or payloads: which are loaded, and which
+    deliveries wait for their match.  Events land last, and the loads are compacted."""
+    root = scratch_folder(spark, "ledger")
+    B.land(spark, sf_dir, f"{root}/landing")
+    for kinds in (("lineups", "statistics"), ("events",)):
+        for kind in kinds:
+            storage.move(spark, f"{root}/landing/{kind}", f"{root}/come/{kind}")
+        ingest(spark, f"{root}/come", f"{root}/tables")
+    landed.compact(spark, f"{root}/tables")
+    waits = landed.state(spark, f"{root}/tables").waiting.select(F.col("kind").alias("state"), "match_id")
+    loaded = loaded_near(read_table(spark, f"{root}/tables", "matches"), f"{root}/tables")
+    return waits.union(loaded.select(F.lit("loaded"), "match_id"))
+
+
 # Context
 
 

@@ -66,6 +66,15 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(located, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file or folder; the folder that it comes into is made."""
+    fs, located = _located(spark, path)
+    to = _located(spark, target)[1]
+    fs.mkdirs(to.getParent())
+    if not fs.rename(located, to):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def found(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
     """Paths that a pattern matches, with their times of change."""
     fs, located = _located(spark, pattern)
