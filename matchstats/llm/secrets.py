@@ -261,31 +261,28 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _span_sql(rule: Rule, rank: int) -> str:
+def _matches_sql(rule: Rule, rank: int) -> str:
     pattern = rule.pattern.replace("'", "''")
-    pieces, found = f"string_split_regex(t, '{pattern}')", f"regexp_extract_all(t, '{pattern}')"
-    return f"""CASE WHEN regexp_matches(t, '{pattern}') THEN list_filter(list_transform(range(1, len({found}) + 1), lambda i: {{
-        'start': (coalesce(list_sum(list_transform(list_slice({pieces}, 1, i), lambda x: length(x))), 0)
-          + coalesce(list_sum(list_transform(list_slice({found}, 1, i - 1), lambda x: length(x))), 0))::BIGINT,
-        'rank': {rank},
-        'size': length({found}[i])::BIGINT,
-        'part': length(regexp_extract_all(t, '{pattern}', {rule.group})[i])::BIGINT,
-        'kind': '{rule.kind}'}}), lambda s: s.part >= {rule.least}) ELSE [] END"""
+    return f"""SELECT row, {rank} AS rank, '{rule.kind}' AS kind, {rule.least} AS least, string_split_regex(t, '{pattern}') AS pieces,
+        regexp_extract_all(t, '{pattern}') AS found, regexp_extract_all(t, '{pattern}', {rule.group}) AS parts
+      FROM docs WHERE regexp_matches(t, '{pattern}')"""
 
 
 def _secrets_sql() -> str:
+    """Each text is split once by each expression; where a match starts is a running sum."""
     given = (BASE_RULES[0], Rule("access", "AKIA[A-Z0-9]+", 0, 20), Rule("hex", "[0-9a-f]+", 0, 24), *ADDED_RULES)
-    all_spans = ", ".join(f"{_span_sql(r, k)} AS s{k}" for k, r in enumerate(given))
-    text_of = "list_aggregate(list_transform({}, lambda s: s.kind || ':' || s.start || ':' || (s.start + s.size)), 'string_agg', ',')"
-    ordered = "list_sort({})"
-    base = ordered.format(f"list_filter(spans, lambda s: s.rank < {len(BASE_RULES)})")
-    counts = ", ".join(
-        f"len(s{k})::BIGINT AS n_{r.kind}" for k, r in enumerate(BASE_RULES)
-    )
-    return f"""WITH each AS (SELECT doc_id, {all_spans} FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
-        joined AS (SELECT *, list_sort({' || '.join(f's{k}' for k in range(len(RULES)))}) AS spans FROM each)
-        SELECT doc_id, {counts}, sha256(coalesce({text_of.format(base)}, '')) AS base_sha256,
-            coalesce({text_of.format('spans')}, '') AS spans FROM joined"""
+    lists = " UNION ALL ".join(_matches_sql(r, k) for k, r in enumerate(given))
+    counts = ", ".join(f"count(*) FILTER (rank = {k})::BIGINT AS n_{r.kind}" for k, r in enumerate(BASE_RULES))
+    text = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+    return f"""WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+        lists AS ({lists}),
+        hits AS (SELECT row, rank, kind, least, unnest(list_slice(pieces, 1, len(found))) AS before, unnest(found) AS f,
+            unnest(parts) AS part, unnest(range(len(found))) AS i FROM lists),
+        placed AS (SELECT *, (sum(length(before)) OVER w + sum(length(f)) OVER w - length(f))::BIGINT AS start
+            FROM hits WINDOW w AS (PARTITION BY row, rank ORDER BY i)),
+        spans AS (SELECT row, rank, kind, start, start + length(f) AS stop FROM placed WHERE length(part) >= least)
+        SELECT doc_id, {counts}, sha256(coalesce({text} FILTER (rank < {len(BASE_RULES)}), '')) AS base_sha256,
+            coalesce({text}, '') AS spans FROM docs LEFT JOIN spans USING (row) GROUP BY row, doc_id"""
 
 
 QUERIES = {"op9_secret_scans": op9_secret_scans}
