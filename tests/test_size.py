@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchstats import tune
+from matchstats.plans import ingest as jobs
 from matchstats.plans.ingest import ingest
 from matchstats.session import BYTES_EACH, PARTITIONS
+from matchstats.sources import landed
 from matchstats.sources import landing as L
 from matchstats.sources import orders_binding as B
 from matchstats.sources import storage
@@ -110,3 +112,56 @@ def test_shuffles_are_dealt_by_the_size_of_the_tables(spark):
     assert spark.conf.get(PARTITIONS, None) is None
     assert 0 < B.bound_bytes(spark, SF) < B.bound_bytes(spark, "/root/testdata/sf0.01")
     assert storage.size(spark, f"{SF}/none.parquet") == 0
+
+
+def _noted(monkeypatch, module, name):
+    """The first argument of each call of a function of a module."""
+    whole, seen = getattr(module, name), []
+    monkeypatch.setattr(module, name, lambda first, *rest, **named: seen.append(first) or whole(first, *rest, **named))
+    return seen
+
+
+def test_facts_are_loaded_by_groups_of_buckets(spark, tmp_path, monkeypatch):
+    B.land(spark, SF, str(tmp_path / "landing"))
+    facts = {}
+    for most in (landed.DELIVERIES_EACH, 1):
+        with monkeypatch.context() as patch:
+            patch.setattr(landed, "DELIVERIES_EACH", most)
+            seen = _noted(patch, jobs, "load_lineups")
+            ingest(spark, str(tmp_path / "landing"), str(tmp_path / f"t{most}"))
+            matches = [{r.match_id for r in lineups.select("match_id").collect()} for lineups in seen]
+        assert len(matches) == (storage.BUCKETS if most == 1 else 1)
+        assert sum(map(len, matches)) == len(set().union(*matches))
+        tables = [read_table(spark, str(tmp_path / f"t{most}"), n) for n in ("player_stats_log", "match_stats_log", "players")]
+        facts[most] = [sorted(map(str, table.collect())) for table in tables]
+    assert facts[1] == facts[landed.DELIVERIES_EACH] and all(facts[1])
+
+
+def test_files_are_parsed_by_bytes(spark, landing, tmp_path, monkeypatch):
+    monkeypatch.setattr(landed, "BATCH_BYTES", 1)
+    seen = _noted(monkeypatch, landed, "read_files")
+    now = landed.absorb(spark, landing, str(tmp_path / "t"))
+    assert len(seen) == 3 and len(storage.found(spark, f"{tmp_path}/t/_landed/files/load=1/batch=*")) > 1
+    assert landed.deliveries(spark, str(tmp_path / "t"), now.new).count() == 4
+
+
+def test_logs_are_compacted_by_groups_of_buckets(spark, tmp_path, monkeypatch):
+    folder, tables = tmp_path / "landing", str(tmp_path / "t")
+    for name, goals in (("a", 1), ("b", 2)):
+        for n in range(12 if name == "a" else 6):
+            player = {"position": "F", "player": {"id": 7, "name": "P"}, "statistics": {"goals": goals}}
+            _land(folder / f"{name}{n}", "x", {"match_id": n, "home": {"players": [player]}, "away": None})
+        _land(folder / f"{name}_", "x", {"match_id": None, "home": None, "away": None})
+        for path in folder.glob(f"{name}*/x/a.json"):
+            to = folder / "lineups" / path.parts[-3]
+            to.mkdir(parents=True)
+            (to / "a.json").write_text(path.read_text() + ("\n{cut" if path.parts[-3] == "a0" else ""))
+        ingest(spark, str(folder), tables)
+    monkeypatch.setattr(landed, "DELIVERIES_EACH", 1)
+    seen = _noted(monkeypatch, landed, "_write")
+    assert landed.compact(spark, tables)
+    assert len(seen) > 4
+    now = landed.state(spark, tables)
+    goals = landed.payloads(spark, tables, "lineups", now.done).selectExpr("match_id", "home.players[0].statistics['goals'] AS goals")
+    assert sorted(map(tuple, goals.filter("match_id IS NOT NULL").collect())) == [(n, "2" if n < 6 else "1") for n in range(12)]
+    assert goals.filter("match_id IS NULL").count() == 2 and landed.quarantine(spark, tables).count() == 1
