@@ -2,6 +2,7 @@
 
 import json
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import DataFrame
@@ -165,3 +166,37 @@ def test_logs_are_compacted_by_groups_of_buckets(spark, tmp_path, monkeypatch):
     goals = landed.payloads(spark, tables, "lineups", now.done).selectExpr("match_id", "home.players[0].statistics['goals'] AS goals")
     assert sorted(map(tuple, goals.filter("match_id IS NOT NULL").collect())) == [(n, "2" if n < 6 else "1") for n in range(12)]
     assert goals.filter("match_id IS NULL").count() == 2 and landed.quarantine(spark, tables).count() == 1
+
+
+@pytest.mark.parametrize("way", ["batch", "stream"])
+def test_a_load_keeps_nothing_in_memory(spark, landing, tmp_path, monkeypatch, way):
+    kept, persist, tables = [], DataFrame.persist, str(tmp_path / "tables")
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *level: kept.append(df.columns) or persist(df, *level))
+    if way == "batch":
+        ingest(spark, landing, tables)
+    else:
+        stream_ingest(spark, landing, tables, str(tmp_path / "checkpoint")).awaitTermination()
+    assert not kept
+    assert read_table(spark, tables, "matches").count() == 2 and read_table(spark, tables, "player_stats_log").count() == 2
+    assert all(path.endswith("/chosen") for path, _ in storage.found(spark, f"{tables}/{storage.HELD}/*"))
+
+
+def test_a_large_first_load_is_dealt_to_more_buckets(spark, landing, tmp_path, monkeypatch):
+    tables = str(tmp_path / "t")
+    monkeypatch.setattr(landed, "BUCKET_BYTES", -(-sum(f.stat().st_size for f in Path(landing).glob("*/*.json")) // 7))
+    ingest(spark, landing, tables)
+    for name in ("player_stats_log", "match_stats_log"):
+        assert {part.buckets for part in storage.current_parts(spark, tables, name)} == {7}
+    assert landed.state(spark, tables).buckets == 7 * landed.BUCKETS_EACH
+    assert read_table(spark, tables, "player_stats_log").count() == 2 and read_table(spark, tables, "match_stats_log").count() == 1
+
+
+def test_few_deliveries_go_to_their_payloads(spark, tmp_path, monkeypatch):
+    """Payloads are joined with the keys of a piece where they are, unless these are too many."""
+    chosen = spark.createDataFrame([("lineups", n, 90) for n in range(8)], "kind string, match_id long, season_id long")
+    for most in (landed.DELIVERIES_EACH, 0):
+        monkeypatch.setattr(landed, "DELIVERIES_EACH", most)
+        for piece in jobs._pieces(chosen, str(tmp_path), 4):
+            other = spark.range(1000).withColumnRenamed("id", "match_id").join(piece.filter("kind = 'lineups'"), "match_id")
+            hinted = "rightHint=(strategy=broadcast)" in other._jdf.queryExecution().optimizedPlan().toString()
+            assert hinted == (most > 0)
