@@ -8,7 +8,8 @@ The search goes through a text once.  It keeps scores for the next ``longest pie
 back pointers since the last commit: when all paths that may still go on pass through one boundary,
 the ids up to there are committed.  Where no piece can span two neighbouring characters that is at
 once so; in longer runs the surviving paths are followed back to where they meet.  What lies between
-two boundaries that all paths pass is encoded alike everywhere, so words are remembered.
+two boundaries that all paths pass is encoded alike everywhere, so words are remembered:
+the latest ones, and those that keep coming.
 
 A space is written as U+2581, and one is put in front of a text.  Characters outside the vocabulary,
 U+2581 itself among them, become the pieces of their bytes, so decoding gives every text exactly.
@@ -17,6 +18,7 @@ U+2581 itself among them, become the pieces of their bytes, so decoding gives ev
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -74,10 +76,16 @@ class Pieces:
             for end in range(1, len(piece)):
                 self.prefixes.setdefault(piece[:end], (-1, _NO_PATH))
             self.prefixes[piece] = (n, score)
+        # the same as a tree: of each character what may follow it, and the id and score up to it
+        self.tree: dict[str, tuple[dict, int, float]] = {}
+        inner: dict[str, dict] = {"": self.tree}
+        for beginning in sorted(self.prefixes):  # shorter ones come before those they begin
+            own = inner[beginning] = {}
+            inner[beginning[:-1]][beginning[-1]] = (own, *self.prefixes[beginning])
         # words part before a space behind another character, which no piece spans
         self.parts = not any(SPACE in piece.lstrip(SPACE) for _, piece in normal)
         self.words = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
-        self.known: dict[str, list[int]] = {}
+        self.known = _Words(self)
 
     def _fallback(self, char: str) -> list[int]:
         raw = (SPACE if char == _OWN else char).encode("utf-8", "surrogatepass")
@@ -136,18 +144,26 @@ class Pieces:
 
     def _search(self, word: str) -> list[int]:
         """What ``stream`` gives, for a word so short that it fits the window whole."""
-        get, size, longest = self.prefixes.get, len(word), self.longest
+        size = len(word)
         best, back, last = [0] + [_NO_PATH] * size, [0] * (size + 1), [-1] * (size + 1)
-        for at in range(size):
-            score = best[at]
-            for end in range(at + 1, min(size, at + longest) + 1):
-                found = get(word[at:end])
+        for at, score in enumerate(best):
+            if at == size:
+                break
+            end, inner, alone = at, self.tree, -1
+            for char in word[at : at + self.longest]:
+                found = inner.get(char)
                 if found is None:
                     break
-                total = score + found[1]
-                if total > best[end]:
-                    best[end], back[end], last[end] = total, at, found[0]
-            if get(word[at], _UNKNOWN)[0] < 0:
+                inner, n, gain = found
+                end += 1
+                if n >= 0:
+                    if end == at + 1:
+                        alone = n
+                    if score + gain > best[end]:
+                        best[end], back[end], last[end] = score + gain, at, n
+                if not inner:
+                    break
+            if alone < 0:
                 total = score + self.byte_score * len(self._fallback(word[at]))
                 if total > best[at + 1]:
                     best[at + 1], back[at + 1], last[at + 1] = total, at, -1
@@ -158,23 +174,28 @@ class Pieces:
             place = start
         return ids[::-1]
 
-    def _word(self, word: str) -> list[int]:
-        if len(word) > LONGEST_WORD:
-            return [n for part in self.stream(word) for n in part]
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        ids = self.known[word] = self._search(word)
-        return ids
+    def _word(self, word: str) -> bytes:
+        ids = self._search(word) if len(word) <= LONGEST_WORD else [n for part in self.stream(word) for n in part]
+        return array("I", ids).tobytes()
 
-    def encode(self, text: str | None) -> list[int]:
+    def encoded(self, text: str | None) -> np.ndarray:
         """Ids of a text; none for NULL and the empty text."""
         if not text:
-            return []
-        written = SPACE + text.replace(SPACE, _OWN).replace(" ", SPACE)
-        if not self.parts:
-            return [n for part in self.stream(written) for n in part]
-        get, word = self.known.get, self._word
-        return [n for w in self.words(written) for n in (get(w) or word(w))]
+            raw = b""
+        elif not self.parts:
+            raw = self._word_by_word([SPACE + text.replace(SPACE, _OWN).replace(" ", SPACE)])
+        elif "  " in text or text[0] == " " or text[-1] == " ":
+            raw = self._word_by_word(self.words(SPACE + text.replace(SPACE, _OWN).replace(" ", SPACE)))
+        else:
+            raw = b"".join(map(self.known.__getitem__, text.split(" ")))
+        return np.frombuffer(raw, np.uint32)
+
+    def _word_by_word(self, words: list[str]) -> bytes:
+        known = self.known
+        return b"".join([known[w[1:]] if w.rfind(SPACE) == 0 and _OWN not in w else self._word(w) for w in words])
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.encoded(text).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids.  Control and unknown ids have none; bytes that are no text are replaced."""
@@ -182,6 +203,29 @@ class Pieces:
         return b"".join([pieces[n] for n in ids])[1:].decode("utf-8", "replace")
 
 
+class _Words(dict):
+    """Ids of words behind one space, as bytes.  Of those met last it holds some and, until these are
+    too many, those before them, so frequent words are met again before they are dropped."""
+
+    def __init__(self, model: Pieces) -> None:
+        self.model, self.before = model, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.model._word(SPACE + word.replace(SPACE, _OWN))
+        if len(word) < LONGEST_WORD:
+            if len(self) >= REMEMBERED // 2:
+                self.before = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def forget(self) -> None:
+        self.clear()
+        self.before = {}
+
+
 @cache
 def pieces(path: str | None = None) -> Pieces:
     """One vocabulary for each Python worker."""
@@ -198,14 +242,14 @@ def encode(docs: DataFrame, text: str = TEXT, to: str = "ids", path: str | None
     @F.arrow_udf("array<int>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield _listed([pieces(path).encode(t.as_py()) for t in texts])
+            yield _listed([pieces(path).encoded(t.as_py()) for t in texts])
 
     return docs.withColumn(to, of(F.col(text)))
 
 
-def _listed(ids: list[list[int]]) -> pa.Array:
+def _listed(ids: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array([n for part in ids for n in part], pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)))
 
 
 def decode(docs: DataFrame, ids: str = "ids", to: str = TEXT, path: str | None = None) -> DataFrame:
@@ -231,10 +275,10 @@ def encode_checked(docs: DataFrame, text: str = TEXT, to: tuple[str, str] = ("id
             ids, exact = [], []
             for text in texts:
                 own = text.as_py() or ""
-                ids.append(pieces(path).encode(own))
-                exact.append(pieces(path).decode(ids[-1]) == own)
+                ids.append(pieces(path).encoded(own))
+                exact.append(pieces(path).decode(ids[-1].tolist()) == own)
             yield pa.StructArray.from_arrays([_listed(ids), pa.array(exact)], list(to))
-        pieces(path).known.clear()  # other stages run in this worker
+        pieces(path).known.forget()  # other stages run in this worker
         release()
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in to]
@@ -254,11 +298,10 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = model.encode(text)
-                array = np.array(ids, "<u4")
-                decoded = model.decode(ids)
-                n_bytes = int(((array >= first) & (array <= last)).sum())
-                sums = zlib.crc32(array.tobytes()), zlib.crc32(decoded.encode("utf-8", "surrogatepass"))
+                ids = model.encoded(text)
+                decoded = model.decode(ids.tolist())
+                n_bytes = int(((ids >= first) & (ids <= last)).sum())
+                sums = zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(decoded.encode("utf-8", "surrogatepass"))
                 rows.append((key, len(ids), sums[0], n_bytes, sums[1], decoded == text))
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             types = [pa.int64()] * 5 + [pa.bool_()]

@@ -55,6 +55,29 @@ def test_ids_are_committed_on_the_way():
     assert seen == len(MODEL.encode("abcdefgh" * 2000)) and longest < 100
 
 
+def test_frequent_words_are_searched_once(monkeypatch):
+    """The memory forgets rare words, not those that keep coming."""
+    from matchstats.llm import pieces as module
+
+    searched = []
+    search = MODEL._search
+    monkeypatch.setattr(MODEL, "_search", lambda word: searched.append(word) or search(word))
+    monkeypatch.setattr(module, "REMEMBERED", 100)
+    MODEL.known.clear()
+    for n in range(1000):
+        text = f"often w{n} again"
+        assert MODEL.encode(text) == whole(text)
+        assert len(MODEL.known) <= 100
+    assert len(searched) < 1010
+
+
+@pytest.mark.parametrize("text", ["a  b", " a", "a ", " ", "  ", "a ▁ b", "▁a b", "a ▁▁ b▁ ", "▁", "one\ntwo  three"])
+def test_spaces_are_part_of_words(text):
+    for _ in range(2):
+        ids = MODEL.encode(text)
+        assert ids == whole(text) and MODEL.decode(ids) == text
+
+
 def test_about_as_many_ids_as_the_library(odd_docs):
     import public_tokenizers
     import sentencepiece
