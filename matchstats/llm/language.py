@@ -45,6 +45,8 @@ TOGETHER, HELD = 1 << 21, 200_000
 SOME = 20_000
 #: Parts that the words of a language are cut in before the most frequent ones are chosen.
 PARTS = 32
+#: N-grams at hand of which a task remembers the languages.
+REMEMBERED = 5_000
 #: Characters of a word whose n-grams are looked up together.
 SPAN = 1000
 
@@ -184,6 +186,8 @@ class Model:
                 self.grams[gram] = len(self.grams)
                 parts.append((row / size)[None, :])
         self.gram_scores = np.concatenate(parts)
+        #: What ``above`` gave for n-grams that were met first.
+        self.remembered: dict[str, list[tuple[int, float]]] = {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"every": None}
@@ -263,6 +267,16 @@ class Model:
                     break
                 yield at, end - at, span[at:end]
 
+    def above(self, gram: str) -> list[tuple[int, float]]:
+        """Languages that have seen an n-gram at hand, and what each has above its floor."""
+        found = self.remembered.get(gram)
+        if found is None:
+            row = self.tables[len(gram)][gram] - self.floors[len(gram)]
+            found = [(int(p), float(row[p])) for p in np.flatnonzero(row > 0.1)]  # log 2 at least
+            if len(self.remembered) < REMEMBERED:
+                self.remembered[gram] = found
+        return found
+
     def evidence(self, span: str, found: list[dict]) -> dict[int, float]:
         """What a span's n-grams add up to, with ``found (at, size, place, value)`` of missing ones:
         by size, the number of n-grams; from LONGEST + 1 on, what a language has above its floor."""
@@ -278,8 +292,7 @@ class Model:
                 for end in range(min(len(span), at + LONGEST), at, -1):
                     if span[at:end] in self.grams:
                         size = end - at
-                        row = self.tables[size][span[at:end]] - self.floors[size]
-                        above = [(int(p), float(row[p])) for p in np.flatnonzero(row > 0.1)]  # log 2 at least
+                        above = self.above(span[at:end])
                         break
                 else:
                     continue

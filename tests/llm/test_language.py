@@ -1,4 +1,7 @@
+import time
 from collections import Counter
+from functools import partial
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -6,6 +9,9 @@ import pytest
 
 from matchstats.llm import language
 from matchstats.llm.language import op3_language_id, predict, train
+from matchstats.llm.queries import registered
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 SMALL = [
     ("the cat and the dog", "en"), ("the house of the king", "en"), ("le chat et le chien", "fr"),
@@ -102,6 +108,28 @@ def test_every_language_can_be_predicted(spark, monkeypatch, cells):
     assert len(found) == 230 and all(r.lang_pred == r.lang for r in found)
 
 
+def test_shuffle_files_go_with_the_job_that_wrote_them(spark, monkeypatch, tmp_path):
+    docs = [(n, text, lang, "s", len(text or "")) for n, (text, lang) in enumerate(SMALL * 3)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    folders = [Path(str(d)) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for folder in folders for f in folder.rglob("shuffle_*")}
+
+    monkeypatch.setattr(language, "train", partial(language.train, words=1, grams=1))
+    spark.conf.unset(CLEANUP)  # the tests' session has it
+    before = files()
+    query = registered()["op3_language_id"](spark, str(tmp_path))
+    deadline = time.time() + 10
+    while (left := files() - before) and time.time() < deadline:
+        time.sleep(0.1)
+    spark.conf.set(CLEANUP, "true")
+    assert not left
+    assert query.count() == len(docs)
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
