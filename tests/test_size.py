@@ -68,6 +68,21 @@ def test_a_load_holds_no_payloads(spark, landing, tmp_path, monkeypatch, way):
     assert read_table(spark, tables, "match_stats_log").count() == 1
 
 
+def test_keys_of_a_load_do_not_go_through_the_driver(spark, landing, tmp_path, monkeypatch):
+    """What Spark takes for small by its files may be millions of matches: the joins of all keys are shuffles."""
+    plans, held = {}, storage.held
+
+    def noted(df, root, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return held(df, root, name)
+
+    monkeypatch.setattr(storage, "held", noted)
+    for _ in range(2):
+        ingest(spark, landing, str(tmp_path / "tables"), force=True)
+    for name in ("moved", "wanted", "chosen"):
+        assert "SortMergeJoin" in plans[name] and "Broadcast" not in plans[name]
+
+
 def test_payloads_of_one_moment_all_count(spark, landing, tmp_path):
     """Lineups that land at the same time as an empty second delivery: each payload's rows come once."""
     with open(f"{landing}/lineups/a.json", "a") as file:
