@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from matchstats import tune
 from matchstats.plans import ingest as jobs
+from matchstats.plans import queries as Q
 from matchstats.plans.ingest import ingest
 from matchstats.session import BYTES_EACH, PARTITIONS
 from matchstats.sources import landed
@@ -83,6 +84,22 @@ def test_keys_of_a_load_do_not_go_through_the_driver(spark, landing, tmp_path, m
         assert "SortMergeJoin" in plans[name] and "Broadcast" not in plans[name]
 
 
+def test_facts_to_be_put_right_are_appended_by_pieces(spark, monkeypatch):
+    """Pieces of whole buckets, with the rows that one piece has."""
+    name = "reprocess_team_attribution"
+    whole = sorted(map(tuple, Q.registered()[name](spark, SF).collect()), key=str)
+    appended, append = [], Q.append_facts
+
+    def noted(rows, root, *rest):
+        append(rows, root, *rest)
+        appended.append({p.bucket for p in storage.current_parts(spark, root, rest[0])})
+
+    monkeypatch.setattr(Q, "append_facts", noted)
+    monkeypatch.setattr(Q, "_PIECE_BYTES", B.bound_bytes(spark, SF) // 3)
+    assert sorted(map(tuple, Q.registered()[name](spark, SF).collect()), key=str) == whole
+    assert [len(buckets) for buckets in appended] == [2, 3, 4]
+
+
 def test_payloads_of_one_moment_all_count(spark, landing, tmp_path):
     """Lineups that land at the same time as an empty second delivery: each payload's rows come once."""
     with open(f"{landing}/lineups/a.json", "a") as file:
